@@ -43,8 +43,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 raw = readings_from_events
 
 
-def clean_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.clean(raw(spark, sf_dir), carry=["fetched_at"], tie_breaker=["reading_id"])
+def clean_batch(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
+    return cl.clean(
+        raw(spark, sf_dir), carry=["fetched_at"], tie_breaker=["reading_id"], keep_key=keep_key)
 
 
 # What the stored table holds once all readings are loaded.
@@ -137,7 +138,7 @@ def on_latest(plan: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def on_upsert(plan: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plan(clean_batch(spark, sf_dir), stored_part(spark, sf_dir))
+    return lambda spark, sf_dir: plan(clean_batch(spark, sf_dir, keep_key=True), stored_part(spark, sf_dir))
 
 
 def on_responses(plan: Callable[[DataFrame], DataFrame]) -> Query:
@@ -188,7 +189,7 @@ def queries() -> dict[str, Query]:
         "prepare": prepared,
         "display_name": on_raw(lambda: [city_name(F.col("city")).alias("city")]),
         "station_fallback": on_raw(lambda: [
-            station_name(F.col("station"), F.col("city")).alias("station")]),
+            station_name(F.col("station"), city_name(F.col("city"))).alias("station")]),
         "aqi_band_range_join": lambda s, d: raw(s, d).select(
             "reading_id", to_number("aqi", RAW["aqi"].dataType).alias("aqi")
         ).withColumn("category", category_of_range(F.col("aqi"))),

@@ -35,7 +35,7 @@ def title_case(column: Column) -> Column:
 def display_name(column: Column) -> Column:
     """Readable place name: '??' dropped, double spaces halved once, stripped, title-cased."""
     halved = F.replace(F.replace(column, F.lit("??"), F.lit("")), F.lit("  "), F.lit(" "))
-    return F.coalesce(F.nullif(title_case(strip(halved)), F.lit("")), F.lit(UNKNOWN))
+    return title_case(F.coalesce(F.nullif(strip(halved), F.lit("")), F.lit(UNKNOWN)))
 
 
 def shout(column: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hazeworks.functions import category_of, to_float, to_instant, to_int
 from hazeworks.operators.dedup import dedup_readings
+from hazeworks.operators.keys import KEY_PARTS
 from hazeworks.schemas import CLEAN_COLUMNS, POLLUTANTS
 
 
@@ -39,8 +40,11 @@ def valid_readings(readings: DataFrame) -> DataFrame:
     return readings.where(F.col("aqi").isNotNull())
 
 
-def clean(raw: DataFrame, *, carry: Sequence[str] = (), tie_breaker: Sequence[str] = ()) -> DataFrame:
+def clean(
+    raw: DataFrame, *, carry: Sequence[str] = (), tie_breaker: Sequence[str] = (), keep_key: bool = False,
+) -> DataFrame:
     """The whole cleaning step. `carry` keeps extra columns of the source in the result."""
     extra = list(dict.fromkeys([*carry, *tie_breaker]))
-    unique = dedup_readings(valid_readings(type_readings(raw, extra)), tie_breaker)
-    return unique.select(*CLEAN_COLUMNS, *carry)
+    valid = valid_readings(type_readings(raw, extra))
+    unique = dedup_readings(valid, tie_breaker, keep_key=keep_key)
+    return unique.select(*CLEAN_COLUMNS, *carry, *(KEY_PARTS if keep_key else ()))

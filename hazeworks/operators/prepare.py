@@ -14,9 +14,8 @@ def city_name(city: Column) -> Column:
 
 
 def station_name(station: Column, city: Column) -> Column:
-    """Display name of the station; a missing one takes the city's (stored) name."""
-    # A displayed name is its own display name except that halving double spaces can go on.
-    return display_name(F.coalesce(station, city_name(city)))
+    """Display name of the station; a missing one takes the city's display name."""
+    return display_name(F.coalesce(station, city))
 
 
 def category_label(category: Column) -> Column:
@@ -26,8 +25,10 @@ def category_label(category: Column) -> Column:
 def prepare(fact: DataFrame) -> DataFrame:
     """All columns of the stored readings in their analysis form. No shuffle, no filter."""
     types = {field.name: field.dataType for field in fact.schema}
-    return fact.select(
-        city_name(F.col("city")).alias("city"),
+    # In two steps, so that the city's name is computed once and serves both columns.
+    named = fact.withColumn("city", city_name(F.col("city")))
+    return named.select(
+        "city",
         station_name(F.col("station"), F.col("city")).alias("station"),
         *[to_number(name, types[name]).alias(name) for name in ("aqi", *POLLUTANTS)],
         category_label(F.col("aqi_category")).alias("aqi_category"),

@@ -1,35 +1,25 @@
-"""Insert-if-absent on (city, measurement time), as joins against the stored readings."""
+"""Insert-if-absent on (city, measurement time), as joins against the stored readings.
+
+The batch comes from `clean`, so its keys are unique; with `keep_key` it is partitioned for the join.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_KEY = ["_city", "_no_city", "_time", "_no_time"]
-
-
-def _key_columns(readings: DataFrame):
-    # Null-free key parts make null keys equal under plain equality. They also let the distinct
-    # and the join below use one hash partitioning; `<=>` would need a second shuffle.
-    time_type = readings.schema["recorded_at"].dataType.simpleString()
-    epoch = F.lit("1970-01-01 00:00:00").cast(time_type)
-    return {
-        "_city": F.coalesce(F.col("city"), F.lit("")),
-        "_no_city": F.col("city").isNull(),
-        "_time": F.coalesce(F.col("recorded_at"), epoch),
-        "_no_time": F.col("recorded_at").isNull(),
-    }
+from hazeworks.operators.keys import KEY_PARTS, key_columns, with_key, without_key
 
 
 def _stored_keys(stored: DataFrame) -> DataFrame:
     # Distinct before the join: partial aggregation shrinks a key that was stored many times.
-    keys = _key_columns(stored)
-    return stored.select(*[expr.alias(name) for name, expr in keys.items()]).distinct()
+    parts = key_columns(stored)
+    return stored.select(*[part.alias(name) for name, part in parts.items()]).distinct()
 
 
 def _match(batch: DataFrame, stored: DataFrame, how: str) -> DataFrame:
-    keyed = batch.withColumns(_key_columns(batch))
-    return keyed.join(_stored_keys(stored), _KEY, how).drop(*_KEY)
+    matched = with_key(batch).join(_stored_keys(stored), KEY_PARTS, how)
+    return without_key(matched.select(*batch.columns))
 
 
 def new_readings(batch: DataFrame, stored: DataFrame) -> DataFrame:
@@ -44,15 +34,15 @@ def known_readings(batch: DataFrame, stored: DataFrame) -> DataFrame:
 
 def load_counts(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Inserted and skipped row counts of a batch, in one pass over both sides."""
-    marked = batch.select("city", "recorded_at").withColumns(_key_columns(batch)).join(
-        _stored_keys(stored).withColumn("_known", F.lit(True)), _KEY, "left")
-    return marked.agg(
+    stored_keys = _stored_keys(stored).withColumn("_known", F.lit(True))
+    known = F.col("_known").isNotNull()
+    return with_key(batch).select(*KEY_PARTS).join(stored_keys, KEY_PARTS, "left").agg(
         F.count("*").alias("batch_rows"),
-        F.count_if(F.col("_known").isNull()).alias("inserted_rows"),
-        F.count_if(F.col("_known").isNotNull()).alias("skipped_rows"),
+        F.count_if(~known).alias("inserted_rows"),
+        F.count_if(known).alias("skipped_rows"),
     )
 
 
 def history_union(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """Stored readings and a batch on top of each other, columns matched by name."""
-    return stored.unionByName(batch)
+    return stored.unionByName(without_key(batch))

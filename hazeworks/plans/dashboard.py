@@ -40,10 +40,9 @@ def default_cities(fact: DataFrame, count: int = 3) -> DataFrame:
 
 def network_coverage(fact: DataFrame) -> DataFrame:
     pairs = fact.select("city", "station").distinct()
-    return sm.network_coverage(pairs.select(
-        city_name(F.col("city")).alias("city"),
-        station_name(F.col("station"), F.col("city")).alias("station"),
-    ))
+    named = pairs.withColumn("city", city_name(F.col("city")))
+    return sm.network_coverage(
+        named.select("city", station_name(F.col("station"), F.col("city")).alias("station")))
 
 
 def monitoring_log(fact: DataFrame, pollutant: str = "pm25", max_rows: int = sr.LOG_SIZE) -> DataFrame:

@@ -26,4 +26,4 @@ def load_raw(
     """
     keys = key_counts(raw).where(F.col("valid_rows") > 0)
     return store.append_new(
-        clean(raw), fetched_at=fetched_at, dates=batch_dates(keys), allow_empty=allow_empty)
+        clean(raw, keep_key=True), fetched_at=fetched_at, dates=batch_dates(keys), allow_empty=allow_empty)
