@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeworks.functions import shout
+from hazeworks.operators.topk import first_rows
 from hazeworks.schemas import CATEGORY_ROWS, DEFAULT_COLOR
 
 _RECENCY = ("fetched_at", "recorded_at", "station", "aqi")
@@ -26,9 +27,13 @@ def latest_per_city(readings: DataFrame) -> DataFrame:
     )
 
 
+def _worst_first() -> list[Column | str]:
+    return [F.col("aqi").desc_nulls_last(), "city"]
+
+
 def by_aqi(latest: DataFrame) -> DataFrame:
     """Worst city first, missing AQI last."""
-    return latest.orderBy(F.col("aqi").desc_nulls_last(), "city")
+    return latest.orderBy(*_worst_first())
 
 
 def category_color(category: Column) -> Column:
@@ -37,7 +42,7 @@ def category_color(category: Column) -> Column:
 
 
 def worst(latest: DataFrame) -> DataFrame:
-    return by_aqi(latest).limit(1)
+    return first_rows(latest, _worst_first(), 1)
 
 
 def status_panel(latest: DataFrame) -> DataFrame:

@@ -7,15 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazeworks.operators.topk import first_rows
+
+
+def _distinct(readings: DataFrame, column: str) -> DataFrame:
+    # Partial aggregation leaves one row per value and task.
+    return readings.select(column).where(F.col(column).isNotNull()).distinct()
+
 
 def distinct_values(readings: DataFrame, column: str) -> DataFrame:
-    """Sorted distinct values, nulls dropped. Partial aggregation leaves one row per value and task."""
-    return readings.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
+    """Sorted distinct values, nulls dropped."""
+    return _distinct(readings, column).orderBy(column)
 
 
 def first_values(readings: DataFrame, column: str, count: int = 3) -> DataFrame:
     """The first `count` distinct values in sort order: the selection a monitor starts with."""
-    return distinct_values(readings, column).limit(count)
+    return first_rows(_distinct(readings, column), [column], count)
 
 
 def filter_selection(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazeworks.operators.topk import first_rows
 from hazeworks.schemas import POLLUTANT_LABELS, check_pollutant
 
 # The column headings of the log table.
@@ -28,7 +29,7 @@ def recent_readings(readings: DataFrame, limit: int | None = RECENT_LIMIT) -> Da
     if limit is None:
         return readings
     order = [F.col("fetched_at").desc_nulls_last(), F.col("recorded_at").desc_nulls_last(), "city", "station"]
-    return readings.orderBy(*order).limit(limit)
+    return first_rows(readings, order, limit)
 
 
 def log_size(max_rows: int) -> int:
@@ -53,7 +54,7 @@ def time_series(readings: DataFrame, ordered: bool = True) -> DataFrame:
     """
     if ordered:
         readings = readings.orderBy(
-            F.col("fetched_at").asc_nulls_last(), "city", F.col("recorded_at").asc_nulls_last(), "station")
+            F.col("fetched_at").asc_nulls_last(), "city", F.col("recorded_at").asc_nulls_last(), "aqi")
     return readings.select("fetched_at", "aqi", "city")
 
 

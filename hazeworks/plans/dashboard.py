@@ -24,9 +24,12 @@ def latest_by_city(fact: DataFrame) -> DataFrame:
     return lt.latest_per_city(prepare(lt.latest_per_city(fact)))
 
 
+def _named_cities(fact: DataFrame) -> DataFrame:
+    return fact.select("city").distinct().select(city_name(F.col("city")).alias("city"))
+
+
 def distinct_cities(fact: DataFrame) -> DataFrame:
-    stored = fact.select("city").distinct()
-    return sl.distinct_values(stored.select(city_name(F.col("city")).alias("city")), "city")
+    return sl.distinct_values(_named_cities(fact), "city")
 
 
 def distinct_categories(fact: DataFrame) -> DataFrame:
@@ -35,7 +38,7 @@ def distinct_categories(fact: DataFrame) -> DataFrame:
 
 
 def default_cities(fact: DataFrame, count: int = 3) -> DataFrame:
-    return distinct_cities(fact).limit(count)
+    return sl.first_values(_named_cities(fact), "city", count)
 
 
 def network_coverage(fact: DataFrame) -> DataFrame:

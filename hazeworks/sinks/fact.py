@@ -7,7 +7,9 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
+from hazeworks.operators.keys import without_key
 from hazeworks.operators.quality import require_rows
 from hazeworks.operators.upsert import new_readings
 from hazeworks.schemas import FACT, PARTITION_COLUMN, READING_COLUMNS
@@ -105,6 +107,8 @@ class FactStore:
         zone = self.spark.conf.get("spark.sql.session.timeZone")
         if zone not in ("UTC", "Etc/UTC", "Z", "GMT"):
             raise ValueError(f"partition dates are UTC dates, but the session time zone is {zone}")
+        if not isinstance(batch.schema["recorded_at"].dataType, TimestampType):
+            batch = without_key(batch).withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
         dates = dates or batch_dates(batch)
         if dates.rows == 0 and allow_empty:
             return LoadResult(0, 0)

@@ -14,7 +14,7 @@ _SETTING = "spark.checkpoint.dir"
 
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder below the shared one the cluster names; a temporary one only in local mode."""
-    shared = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    shared = spark.conf.get(_SETTING, None)
     if shared:
         return f"{shared.rstrip('/')}/readings-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):

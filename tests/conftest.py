@@ -13,11 +13,12 @@ from hazeworks.plans.session import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = SparkSession.builder.master("local[8]").appName("tests")
     session = (
         configure(builder)
         .config("spark.sql.shuffle.partitions", 8)
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", False)
         .getOrCreate()

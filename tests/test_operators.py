@@ -1,0 +1,276 @@
+"""Operators on small frames: nulls, ties, thresholds, the sample's shape."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from hazeworks.operators import latest as lt
+from hazeworks.operators import selection as sl
+from hazeworks.operators import series as sr
+from hazeworks.operators import summary as sm
+from hazeworks.operators.clean import clean
+from hazeworks.operators.dedup import dedup_readings
+from hazeworks.operators.lookup import with_category_color, with_pollutant_name
+from hazeworks.operators.prepare import prepare
+from hazeworks.operators.profile import pollutant_long, pollutant_profile
+from hazeworks.operators.quality import EmptyBatchError, quality_counts, require_rows
+from hazeworks.operators.upsert import history_union, known_readings, load_counts, new_readings
+from hazeworks.plans import dashboard as db
+from hazeworks.schemas import (
+    CLEAN, FACT, PARTITION_COLUMN, RAW, READING_COLUMNS, category_dimension, pollutant_dimension,
+)
+
+FACT_SCHEMA = [f for f in FACT if f.name != PARTITION_COLUMN]
+T0 = datetime(2026, 5, 14, 12)
+
+
+def raw_frame(spark, rows):
+    """Rows of (city, aqi, recorded_at) or full raw rows."""
+    full = [r if len(r) == 10 else (r[0], r[0], r[1], None, None, None, None, None, None, r[2]) for r in rows]
+    return spark.createDataFrame(full, RAW)
+
+
+def fact_frame(spark, rows):
+    """Stored readings from dicts; what is left out is null."""
+    from pyspark.sql.types import StructType
+    return spark.createDataFrame(
+        [tuple(row.get(f.name) for f in FACT_SCHEMA) for row in rows], StructType(FACT_SCHEMA))
+
+
+SAMPLE_AQI = [100, 114, 34, 112, 57, 117, 136, 57, 39, 38, 153, 7, 37, 162]
+
+
+def test_sample_shape(spark):
+    # Fourteen stations with the sample's index values and a spread of offsets.
+    rows = [(f" Station {i}, Land ({'서울' if i % 2 else '北京'})", str(aqi), f"2026-05-14T2{i % 4}:00:00+0{i % 9}:00")
+            for i, aqi in enumerate(SAMPLE_AQI)]
+    result = clean(raw_frame(spark, rows))
+    assert result.schema.names == CLEAN.names
+    assert [f.dataType for f in result.schema] == [f.dataType for f in CLEAN]
+    bands = {r["category"]: r["readings"] for r in sm.category_distribution(result).collect()}
+    assert bands == {"Good": 5, "Moderate": 3, "Unhealthy for Sensitive Groups": 4, "Unhealthy": 2}
+
+
+def test_clean_drops_bad_aqi_and_keeps_null_keys(spark):
+    rows = [("A ", "-", "2026-01-01T00:00:00Z"), ("A", "10.9", "2026-01-01T00:00:00Z"),
+            (" a", "11", "2026-01-01T00:00:00Z"), (None, "5", None), (None, "6", None),
+            ("b", "7", "not a time"), ("b", "8", None), ("", "9", None)]
+    frame = raw_frame(spark, rows)
+    got = {(r["city"], r["recorded_at"], r["aqi"]) for r in clean(frame).collect()}
+    assert got == {("a", datetime(2026, 1, 1), 10), (None, None, 5), ("b", None, 7), ("", None, 9)}
+    counts = quality_counts(frame).first()
+    assert tuple(counts) == (8, 7, 4)
+
+
+def test_quality_counts_of_nothing(spark):
+    assert tuple(quality_counts(raw_frame(spark, [])).first()) == (0, 0, 0)
+    with pytest.raises(EmptyBatchError):
+        require_rows(0, "raw readings")
+    assert require_rows(3, "raw readings") == 3
+
+
+def test_dedup_is_deterministic_and_idempotent(spark):
+    rows = [("a", str(i % 7), "2026-01-01T00:00:00Z") for i in range(60)] + [(None, "3", None)] * 20
+    frame = raw_frame(spark, rows)
+    first = dedup_readings(frame.repartition(5))
+    assert sorted(first.collect(), key=str) == sorted(dedup_readings(frame.repartition(3)).collect(), key=str)
+    assert sorted(dedup_readings(first).collect(), key=str) == sorted(first.collect(), key=str)
+    assert first.count() == 2
+
+
+def upsert_frames(spark):
+    batch = fact_frame(spark, [
+        {"city": "a", "recorded_at": T0, "aqi": 1}, {"city": None, "recorded_at": T0, "aqi": 2},
+        {"city": "a", "recorded_at": None, "aqi": 3}, {"city": None, "recorded_at": None, "aqi": 4},
+        {"city": "", "recorded_at": T0, "aqi": 5}, {"city": "a", "recorded_at": datetime(1970, 1, 1), "aqi": 6}])
+    stored = fact_frame(spark, [
+        {"city": "a", "recorded_at": T0, "aqi": 9}, {"city": "a", "recorded_at": T0, "aqi": 9},
+        {"city": None, "recorded_at": T0, "aqi": 9}, {"city": "a", "recorded_at": None, "aqi": 9}])
+    return batch, stored
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_upsert_matches_null_keys(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        batch, stored = upsert_frames(spark)
+        assert {r["aqi"] for r in new_readings(batch, stored).collect()} == {4, 5, 6}
+        assert {r["aqi"] for r in known_readings(batch, stored).collect()} == {1, 2, 3}
+        assert tuple(load_counts(batch, stored).first()) == (6, 3, 3)
+        assert new_readings(batch, stored).columns == batch.columns
+        assert history_union(stored, batch).count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_prepare_coerces_and_names(spark):
+    text = spark.createDataFrame(
+        [("st.john's ??", None, "7.5", "1.25", "-", None, "3", "4", None, "pm25", "2026-05-14 12:00:00", "bad")],
+        "city string, station string, aqi string, pm25 string, pm10 string, o3 string, no2 string, co string, "
+        "aqi_category string, dominant_pollutant string, recorded_at string, fetched_at string")
+    row = prepare(text).first()
+    assert tuple(row) == ("St.John'S", "St.John'S", 7.5, 1.25, None, None, 3.0, 4.0, "Unknown", "pm25", T0, None)
+
+
+def test_missing_station_takes_the_displayed_city(spark):
+    row = prepare(fact_frame(spark, [{"city": "a     b", "station": None}, ])).first()
+    # The city's spaces are halved once for the city and once more for the station.
+    assert (row["city"], row["station"]) == ("A   B", "A  B")
+
+
+def test_latest_prefers_undated_then_newest(spark):
+    rows = [
+        {"city": "a", "fetched_at": T0, "aqi": 1}, {"city": "a", "fetched_at": T0 + timedelta(hours=1), "aqi": 2},
+        {"city": "b", "fetched_at": T0, "aqi": 3}, {"city": "b", "fetched_at": None, "aqi": None},
+        {"city": "c", "fetched_at": T0, "recorded_at": T0, "aqi": 5},
+        {"city": "c", "fetched_at": T0, "recorded_at": T0 - timedelta(hours=1), "aqi": 6},
+        {"city": None, "fetched_at": T0, "aqi": 9},
+    ]
+    frame = fact_frame(spark, rows)
+    latest = lt.latest_per_city(frame)
+    assert {(r["city"], r["aqi"]) for r in latest.collect()} == {("a", 2), ("b", None), ("c", 5), (None, 9)}
+    assert latest.columns == frame.columns
+    assert [r["city"] for r in lt.by_aqi(latest).collect()] == [None, "c", "a", "b"]
+    again = lt.latest_per_city(latest.union(latest))
+    assert sorted(again.collect(), key=str) == sorted(latest.collect(), key=str)
+
+
+def test_latest_over_names_equals_latest_over_prepared(spark):
+    rows = [{"city": c, "station": s, "fetched_at": T0 + timedelta(minutes=i), "aqi": i}
+            for i, (c, s) in enumerate([("x", "p"), ("x??", "q"), ("X", None), (None, "r"), ("unknown", "s")])]
+    frame = fact_frame(spark, rows)
+    assert sorted(db.latest_by_city(frame).collect()) == sorted(lt.latest_per_city(prepare(frame)).collect())
+    coverage = db.network_coverage(frame).first()
+    assert tuple(coverage) == (2, 5)
+    assert tuple(sm.network_coverage(prepare(frame)).first()) == (2, 5)
+    assert [r[0] for r in db.distinct_cities(frame).collect()] == ["Unknown", "X"]
+
+
+def test_status_peak_and_delta(spark):
+    frame = fact_frame(spark, [
+        {"city": "a", "aqi": 120, "aqi_category": "Unhealthy for Sensitive Groups", "dominant_pollutant": None},
+        {"city": "b", "aqi": 80, "aqi_category": "Moderate", "dominant_pollutant": "o3"}])
+    assert tuple(lt.status_panel(frame).first()) == (
+        "a", "UNHEALTHY FOR SENSITIVE GROUPS", "#f09300", 120, "N/A")
+    assert tuple(lt.peak_city(frame).first()) == ("a", 120)
+    assert {tuple(r) for r in lt.delta_to_threshold(frame).collect()} == {("a", 120, 20), ("b", 80, -20)}
+    other = frame.withColumn("aqi_category", F.lit("Else"))
+    assert lt.status_panel(other).first()["color"] == "#7f8c8d"
+
+
+def test_lookups(spark):
+    assert category_dimension(spark).count() == 6 and pollutant_dimension(spark).count() == 5
+    frame = fact_frame(spark, [{"aqi_category": "Good"}, {"aqi_category": "Else"}, {"aqi_category": None}])
+    assert sorted(r["color"] for r in with_category_color(frame).collect()) == ["#00a65a", "#7f8c8d", "#7f8c8d"]
+    codes = spark.createDataFrame([("no2",), ("else",)], "pollutant string")
+    assert {tuple(r) for r in with_pollutant_name(codes).collect()} == {
+        ("no2", "Nitrogen Dioxide", "ppb"), ("else", None, None)}
+
+
+def trend_of(spark, pairs):
+    return sm.aqi_trend(spark.createDataFrame(pairs, "fetched_at timestamp, aqi int")).first()
+
+
+def at(hours):
+    return T0 + timedelta(hours=hours)
+
+
+def test_trend_thresholds(spark):
+    assert trend_of(spark, [(T0, 5)])["trend_pct"] == 0
+    ten = [(at(-2), 10)] * 5 + [(T0, 20)] * 5
+    assert trend_of(spark, ten)["trend_pct"] == 0
+    eleven = ten + [(T0, 20)]
+    row = trend_of(spark, eleven)
+    current = (50 + 120) / 11
+    assert row["previous_avg"] == 10 and row["current_avg"] == pytest.approx(current)
+    assert row["trend_pct"] == pytest.approx((current - 10) / 10 * 100)
+
+
+def test_trend_without_a_usable_baseline(spark):
+    nothing_older = [(at(-1), 10)] * 6 + [(T0, 20)] * 6
+    row = trend_of(spark, nothing_older)
+    assert row["previous_avg"] is None and row["trend_pct"] == 0
+    assert trend_of(spark, [(at(-3), 0)] * 6 + [(T0, 20)] * 6)["trend_pct"] == 0
+    undated = trend_of(spark, [(None, 10)] * 12)
+    assert undated["previous_avg"] is None and undated["trend_pct"] == 0
+    assert trend_of(spark, [])["trend_pct"] == 0
+
+
+def test_trend_flag(spark):
+    trends = spark.createDataFrame([(1.5,), (0.0,), (-2.0,)], "trend_pct double")
+    assert [tuple(r) for r in sm.aqi_trend_flag(trends).collect()] == [("up", 1.5), ("down", 0.0), ("down", 2.0)]
+
+
+def test_summaries(spark):
+    frame = fact_frame(spark, [
+        {"aqi": 2, "pm25": 2.25, "fetched_at": T0, "aqi_category": "Good"},
+        {"aqi": None, "pm25": None, "fetched_at": None, "aqi_category": "Good"},
+        {"aqi": 3, "pm25": 1.0, "fetched_at": at(1), "aqi_category": "Moderate"}])
+    assert tuple(sm.kpi_summary(frame).first()) == (2.5, 2.25, 3)
+    rounded = sm.kpi_rounded(frame.withColumn("pm25", F.col("pm25").cast("double"))).first()
+    assert tuple(rounded) == (2.5, 2.2, 3)
+    assert tuple(sm.freshness(frame).first()) == (at(1), "2026-05-14", "13:00:00")
+    shares = [tuple(r) for r in sm.category_distribution(frame).collect()]
+    assert [s[:2] for s in shares] == [("Good", 2), ("Moderate", 1)]
+    assert sum(s[2] for s in shares) == pytest.approx(1)
+
+
+def test_selection(spark):
+    frame = fact_frame(spark, [{"city": c, "aqi_category": k} for c in "dcab" for k in ("Good", "Moderate")]
+                       + [{"city": None, "aqi_category": None}])
+    assert [r[0] for r in sl.distinct_values(frame, "city").collect()] == ["a", "b", "c", "d"]
+    assert [r[0] for r in sl.first_values(frame, "city").collect()] == ["a", "b", "c"]
+    assert sl.filter_selection(frame, ["a", "d"], ["Good"]).count() == 2
+    assert sl.filter_selection(frame).count() == 9
+    assert sl.filter_default_selection(frame, sl.first_values(frame, "city")).count() == 6
+
+
+def test_lists_and_series(spark):
+    frame = fact_frame(spark, [{"city": "a", "fetched_at": at(i), "aqi": i, "no2": float(i)} for i in range(60)]
+                       + [{"city": "b", "fetched_at": None, "aqi": 99}])
+    assert [r["aqi"] for r in sr.recent_readings(frame, 3).collect()] == [59, 58, 57]
+    assert sr.recent_readings(frame, None).count() == 61
+    assert [r["aqi"] for r in sr.time_series(frame).collect()] == [*range(60), 99]
+    log = db.monitoring_log(frame, "no2", 25)
+    assert log.count() == 25 and "NO₂ (ppb)" in log.columns and len(log.columns) == 8
+    assert [r["AQI"] for r in log.collect()] == list(range(59, 34, -1))
+    for size in (24, 30, 525, 0):
+        with pytest.raises(ValueError):
+            sr.log_size(size)
+    with pytest.raises(ValueError):
+        db.monitoring_log(frame, "so2")
+    assert [r["value"] for r in sr.city_series(frame, "a", "no2").collect()] == [float(i) for i in range(60)]
+    assert sr.city_series(frame, "b", "no2").count() == 0
+
+
+def test_profiles(spark):
+    frame = fact_frame(spark, [
+        {"city": "a", "fetched_at": T0, "pm25": 1.0, "co": 2.0},
+        {"city": "a", "fetched_at": at(1), "pm10": 3.0, "no2": 4.0},
+        {"city": "b", "fetched_at": at(2), "pm25": 5.0}])
+    assert {tuple(r) for r in pollutant_profile(frame, "a").collect()} == {
+        ("Particulate Matter 10", 3.0, "µg/m³"), ("Nitrogen Dioxide", 4.0, "ppb")}
+    assert pollutant_long(frame).count() == 5
+
+
+def test_refresh_gives_every_table(spark):
+    frame = fact_frame(spark, [
+        {"city": c, "station": c, "fetched_at": at(i), "recorded_at": at(i), "aqi": 10 * i, "pm25": float(i),
+         "aqi_category": "Good", "dominant_pollutant": "pm25"}
+        for i, c in enumerate("abcd" * 4)])
+    tables = db.refresh(frame, location="A", max_rows=25)
+    results = {name: table.collect() for name, table in tables.items()}
+    assert [r["city"] for r in results["latest"]] == ["C", "B", "A"]
+    assert [r["city"] for r in results["cities"]] == ["A", "B", "C", "D"]
+    assert tuple(results["coverage"][0]) == (3, 3)
+    assert results["kpi"][0]["records"] == 12
+    assert len(results["log"]) == 12 and len(results["series"]) == 12
+    assert [r["value"] for r in results["pollutant_series"]] == [0.0, 4.0, 8.0, 12.0]
+    assert tuple(results["profile"][0]) == ("Particulate Matter 2.5", 12.0, "µg/m³")
+    assert results["gauge"][0]["delta"] == 40
+    chosen = db.refresh(frame, cities=["D"], categories=["Good"], row_limit=5)
+    assert {r["city"] for r in chosen["log"].collect() for r in [{"city": r["Location"]}]} == {"D"}
+    assert set(READING_COLUMNS) == set(prepare(frame).columns)
