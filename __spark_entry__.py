@@ -26,7 +26,7 @@ from hazeworks.operators import summary as sm  # noqa: E402
 from hazeworks.operators import upsert as up  # noqa: E402
 from hazeworks.operators.dedup import dedup_readings  # noqa: E402
 from hazeworks.operators.lookup import with_category_color, with_pollutant_name  # noqa: E402
-from hazeworks.operators.prepare import city_name, prepare, station_name  # noqa: E402
+from hazeworks.operators.prepare import city_name, common_names, prepare, station_name  # noqa: E402
 from hazeworks.operators.quality import quality_counts  # noqa: E402
 from hazeworks.plans import dashboard as db  # noqa: E402
 from hazeworks.schemas import POLLUTANTS, RAW  # noqa: E402
@@ -187,6 +187,7 @@ def queries() -> dict[str, Query]:
         "history_union": on_upsert(lambda batch, stored: up.history_union(stored, batch)),
         # Analysis form
         "prepare": prepared,
+        "prepare_common_names": on_fact(lambda f: prepare(f, common_names(f, 50))),
         "display_name": on_raw(lambda: [city_name(F.col("city")).alias("city")]),
         "station_fallback": on_raw(lambda: [
             station_name(F.col("station"), city_name(F.col("city"))).alias("station")]),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeworks.functions import display_name, to_instant, to_number
+from hazeworks.operators.topk import first_rows
 from hazeworks.schemas import POLLUTANTS, UNKNOWN
 
 
@@ -22,14 +23,41 @@ def category_label(category: Column) -> Column:
     return F.coalesce(category, F.lit(UNKNOWN))
 
 
-def prepare(fact: DataFrame) -> DataFrame:
-    """All columns of the stored readings in their analysis form. No shuffle, no filter."""
-    types = {field.name: field.dataType for field in fact.schema}
+def common_names(fact: DataFrame, count: int = 20_000) -> DataFrame:
+    """The display names of the most frequent stored city and station names, `count` rows at most."""
+    pairs = fact.groupBy("city", "station").agg(F.count("*").alias("rows"))
+    texts = pairs.select(F.explode(F.array("city", "station")).alias("text"), "rows")
+    frequency = texts.where(F.col("text").isNotNull()).groupBy("text").agg(F.sum("rows").alias("rows"))
+    frequent = first_rows(frequency, [F.col("rows").desc(), "text"], count)
+    return frequent.select("text", display_name(F.col("text")).alias("name"))
+
+
+def _with_names(fact: DataFrame, names: DataFrame | None) -> DataFrame:
     # In two steps, so that the city's name is computed once and serves both columns.
-    named = fact.withColumn("city", city_name(F.col("city")))
-    return named.select(
+    if names is None:
+        named = fact.withColumn("city", city_name(F.col("city")))
+        return named.withColumn("station", station_name(F.col("station"), F.col("city")))
+
+    def look_up(readings: DataFrame, column: str, otherwise: Column) -> DataFrame:
+        known = F.broadcast(names.select(F.col("text").alias("_text"), F.col("name").alias("_name")))
+        found = readings.join(known, F.col(column) == F.col("_text"), "left")
+        return found.withColumn(column, F.coalesce("_name", otherwise)).drop("_text", "_name")
+
+    named = look_up(fact, "city", city_name(F.col("city")))
+    return look_up(named, "station", station_name(F.col("station"), F.col("city")))
+
+
+def prepare(fact: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """All columns of the stored readings in their analysis form. No shuffle, no filter.
+
+    A display name takes several string operations. With `names` (see `common_names`, whose row limit
+    bounds the broadcast) frequent names are looked up and only the others are computed; the result
+    is the same. That pays on tables much longer than their list of names.
+    """
+    types = {field.name: field.dataType for field in fact.schema}
+    return _with_names(fact, names).select(
         "city",
-        station_name(F.col("station"), F.col("city")).alias("station"),
+        "station",
         *[to_number(name, types[name]).alias(name) for name in ("aqi", *POLLUTANTS)],
         category_label(F.col("aqi_category")).alias("aqi_category"),
         F.col("dominant_pollutant"),

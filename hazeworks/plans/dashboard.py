@@ -1,7 +1,8 @@
 """The monitoring refresh over stored readings.
 
 Display names cost several string operations per value. Where an aggregate allows it, the plans here
-reduce by *stored* name first, name the few rows left, and reduce again.
+reduce by *stored* name first, name the few rows left, and reduce again; where every row needs its
+name, they look frequent names up.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from hazeworks.operators import profile as pf
 from hazeworks.operators import selection as sl
 from hazeworks.operators import series as sr
 from hazeworks.operators import summary as sm
-from hazeworks.operators.prepare import category_label, city_name, prepare, station_name
+from hazeworks.operators.prepare import category_label, city_name, common_names, prepare, station_name
 
 
 def latest_by_city(fact: DataFrame) -> DataFrame:
@@ -62,14 +63,18 @@ def refresh(
     location: str | None = None,
     max_rows: int = sr.LOG_SIZE,
     row_limit: int | None = None,
+    names: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every table of the monitor, lazily, for a selection of displayed cities and categories.
 
     Without `cities` the first three are selected. `row_limit` bounds all outputs to the newest
     rows (`operators.series.RECENT_LIMIT` gives the classic view); by default nothing is cut.
+
+    Each table is a query of its own. A caller that shows many of them passes `common_names` read
+    back from a small written table as `names`, so that the list is not counted anew for each.
     """
     fact = sr.recent_readings(fact, row_limit)
-    prepared = prepare(fact)
+    prepared = prepare(fact, common_names(fact) if names is None else names)
     if cities is None:
         chosen = sl.filter_default_selection(prepared, default_cities(fact))
     else:

@@ -186,6 +186,7 @@ WHERE rn = 1"""),
 FROM (SELECT {_KNOWN} AS known FROM fact f)"""),
         "history_union": _sql(_UPSERT, f"SELECT {_COLUMNS} FROM stored UNION ALL SELECT {_COLUMNS} FROM fact"),
         "prepare": _sql(_PREPARING, f"SELECT {_COLUMNS} FROM prepared"),
+        "prepare_common_names": _sql(_PREPARING, f"SELECT {_COLUMNS} FROM prepared"),
         "display_name": _sql(raw, f"SELECT reading_id, {_display('city')} AS city FROM readings"),
         "station_fallback": _sql(raw, f"""SELECT reading_id,
  {_display('coalesce(station, ' + _display('city') + ')')} AS station FROM readings"""),

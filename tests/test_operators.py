@@ -14,7 +14,7 @@ from hazeworks.operators import summary as sm
 from hazeworks.operators.clean import clean
 from hazeworks.operators.dedup import dedup_readings
 from hazeworks.operators.lookup import with_category_color, with_pollutant_name
-from hazeworks.operators.prepare import prepare
+from hazeworks.operators.prepare import common_names, prepare
 from hazeworks.operators.profile import pollutant_long, pollutant_profile
 from hazeworks.operators.quality import EmptyBatchError, quality_counts, require_rows
 from hazeworks.operators.upsert import history_union, known_readings, load_counts, new_readings
@@ -121,6 +121,18 @@ def test_missing_station_takes_the_displayed_city(spark):
     assert (row["city"], row["station"]) == ("A   B", "A  B")
 
 
+@pytest.mark.parametrize("known", [1, 3, 100])
+def test_common_names_change_nothing(spark, known):
+    texts = ["a  b", "a  b", "x??", None, "", "st.john's", "a  b", "unknown", "Q     q"]
+    frame = fact_frame(spark, [{"city": c, "station": s, "aqi": i} for i, (c, s) in enumerate(
+        (c, s) for c in texts for s in texts)])
+    names = common_names(frame, known)
+    assert names.count() == min(known, 6)
+    looked_up = prepare(frame, names)
+    assert looked_up.schema.names == prepare(frame).schema.names
+    assert sorted(map(str, looked_up.collect())) == sorted(map(str, prepare(frame).collect()))
+
+
 def test_latest_prefers_undated_then_newest(spark):
     rows = [
         {"city": "a", "fetched_at": T0, "aqi": 1}, {"city": "a", "fetched_at": T0 + timedelta(hours=1), "aqi": 2},

@@ -14,7 +14,7 @@ from hazeworks.operators import series as sr
 from hazeworks.operators import summary as sm
 from hazeworks.operators.clean import clean
 from hazeworks.operators.dedup import dedup_readings
-from hazeworks.operators.prepare import prepare
+from hazeworks.operators.prepare import common_names, prepare
 from hazeworks.operators.upsert import new_readings
 from hazeworks.plans import dashboard as db
 from hazeworks.sinks.fact import BatchDates, FactStore
@@ -136,6 +136,14 @@ def test_names_are_computed_after_the_reduction(spark, store):
         assert first_name < last_exchange
 
 
+def test_name_lookup_counts_names_once(spark, store):
+    named = prepare(store.read(), common_names(store.read()))
+    named.collect()
+    plan = plan_of(named)
+    assert "SortMergeJoin" not in plan and "ReusedExchange" in plan
+    assert exchanges(plan, "rangepartitioning") == 0
+
+
 def test_long_form_does_not_shuffle(spark, store):
     from hazeworks.operators.profile import pollutant_long
     plan = plan_of(pollutant_long(prepare(store.read())))
