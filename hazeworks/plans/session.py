@@ -7,11 +7,17 @@ import math
 from pyspark.sql import SparkSession
 
 _SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
+_MANY_PARTITIONS = 20_000
 
 
 def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
-    """Enough reduce tasks for about 256 MB each; adaptive execution merges what is too many."""
-    return max(2 * cores, math.ceil(shuffled_bytes / _SHUFFLE_TARGET_BYTES))
+    """Reduce tasks for about 256 MB each; adaptive execution merges what is too many.
+
+    Past some 20,000 of them the driver's map-output bookkeeping (map tasks x reduce tasks) weighs
+    more than a larger partition does: the shuffled operators here sort or hash, and both spill.
+    """
+    wanted = math.ceil(shuffled_bytes / _SHUFFLE_TARGET_BYTES)
+    return max(2 * cores, min(wanted, _MANY_PARTITIONS))
 
 
 def configure(

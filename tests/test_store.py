@@ -230,4 +230,5 @@ def test_scratch_folder_is_below_the_shared_one(spark):
 
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(0, 8) == 16
-    assert shuffle_partitions(100 * 1024 ** 4, 8000) == 409_600
+    assert shuffle_partitions(1024 ** 4, 800) == 4096
+    assert shuffle_partitions(100 * 1024 ** 4, 8000) == 20_000
