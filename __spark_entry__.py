@@ -20,6 +20,7 @@ from hazeworks.functions import (  # noqa: E402
 from hazeworks.operators import clean as cl  # noqa: E402
 from hazeworks.operators import latest as lt  # noqa: E402
 from hazeworks.operators import profile as pf  # noqa: E402
+from hazeworks.operators import rollup as rl  # noqa: E402
 from hazeworks.operators import selection as sl  # noqa: E402
 from hazeworks.operators import series as sr  # noqa: E402
 from hazeworks.operators import summary as sm  # noqa: E402
@@ -215,6 +216,7 @@ def queries() -> dict[str, Query]:
         "aqi_trend_flag": on_prepared(lambda p: sm.aqi_trend_flag(sm.aqi_trend(p))),
         "network_coverage": on_fact(db.network_coverage),
         "network_coverage_approx": on_prepared(sm.network_coverage_approx),
+        "overview": on_fact(lambda f: rl.overview(rl.rollup(f))),
         "category_distribution": on_prepared(sm.category_distribution),
         # Lists, series, reshaping
         "recent_readings": on_fact(sr.recent_readings),

@@ -16,19 +16,23 @@ def kpi_summary(readings: DataFrame) -> DataFrame:
     )
 
 
+def rounded(kpis: DataFrame) -> DataFrame:
+    """A KPI row as shown: one decimal, halves to even."""
+    return kpis.select(
+        F.bround("avg_aqi", 1).alias("avg_aqi"), F.bround("peak_pm25", 1).alias("peak_pm25"), "records")
+
+
 def kpi_rounded(readings: DataFrame) -> DataFrame:
-    """The KPI row as shown: one decimal, halves to even."""
-    return kpi_summary(readings).select(
-        F.bround("avg_aqi", 1).alias("avg_aqi"),
-        F.bround(F.col("peak_pm25"), 1).alias("peak_pm25"),
-        "records",
-    )
+    return rounded(kpi_summary(readings))
 
 
-def freshness(readings: DataFrame) -> DataFrame:
+def shown_freshness(summary: DataFrame) -> DataFrame:
     seen = F.col("last_seen")
-    return readings.agg(F.max("fetched_at").alias("last_seen")).select(
-        "last_seen", date_text(seen).alias("seen_date"), time_text(seen).alias("seen_time"))
+    return summary.select("last_seen", date_text(seen).alias("seen_date"), time_text(seen).alias("seen_time"))
+
+
+def freshness(readings: DataFrame) -> DataFrame:
+    return shown_freshness(readings.agg(F.max("fetched_at").alias("last_seen")))
 
 
 def network_coverage(names: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from hazeworks.operators import latest as lt
 from hazeworks.operators import profile as pf
+from hazeworks.operators import rollup as rl
 from hazeworks.operators import selection as sl
 from hazeworks.operators import series as sr
 from hazeworks.operators import summary as sm
@@ -64,37 +65,44 @@ def refresh(
     max_rows: int = sr.LOG_SIZE,
     row_limit: int | None = None,
     names: DataFrame | None = None,
+    partials: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every table of the monitor, lazily, for a selection of displayed cities and categories.
 
     Without `cities` the first three are selected. `row_limit` bounds all outputs to the newest
     rows (`operators.series.RECENT_LIMIT` gives the classic view); by default nothing is cut.
 
-    Each table is a query of its own. A caller that shows many of them passes `common_names` read
-    back from a small written table as `names`, so that the list is not counted anew for each.
+    Each table is a query of its own. A caller that shows many of them writes `common_names(fact)`
+    and `rollup(fact)` to small tables first and passes what it reads back as `names` and
+    `partials`: six tables then come from the rollup alone, and no other counts the names anew.
     """
     fact = sr.recent_readings(fact, row_limit)
     prepared = prepare(fact, common_names(fact) if names is None else names)
-    if cities is None:
-        chosen = sl.filter_default_selection(prepared, default_cities(fact))
-    else:
-        chosen = sl.filter_selection(prepared, cities)
-    chosen = sl.filter_selection(chosen, categories=categories)
+    partials = rl.rollup(fact) if partials is None else partials
+    first_cities = sl.first_values(partials, "city")
+
+    def select(rows: DataFrame) -> DataFrame:
+        if cities is None:
+            rows = sl.filter_default_selection(rows, first_cities)
+        return sl.filter_selection(rows, cities, categories)
+
+    chosen, totals = select(prepared), select(partials)
+    overview = rl.overview(totals)
     latest = lt.latest_per_city(chosen)
     trend = sm.aqi_trend(chosen)
     tables = {
-        "cities": distinct_cities(fact),
-        "categories": distinct_categories(fact),
+        "cities": sl.distinct_values(partials, "city"),
+        "categories": sl.distinct_values(partials, "aqi_category"),
+        "overview": overview,
+        "kpi": sm.rounded(overview),
+        "freshness": sm.shown_freshness(overview),
+        "distribution": rl.distribution(totals),
         "latest": lt.by_aqi(latest),
         "status": lt.status_panel(latest),
         "peak": lt.peak_city(latest),
         "gauge": lt.delta_to_threshold(lt.worst(latest)),
-        "freshness": sm.freshness(chosen),
-        "kpi": sm.kpi_rounded(chosen),
         "trend": trend,
         "trend_flag": sm.aqi_trend_flag(trend),
-        "coverage": sm.network_coverage(chosen.select("city", "station").distinct()),
-        "distribution": sm.category_distribution(chosen),
         "series": sr.time_series(chosen),
         "log": sr.log_table(sr.recent_readings(chosen, sr.log_size(max_rows)), pollutant),
     }

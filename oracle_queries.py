@@ -224,6 +224,9 @@ FROM trend_pct"""),
  CASE WHEN trend_pct > 0 THEN 'up' ELSE 'down' END AS direction, abs(trend_pct) AS change_pct FROM trend_pct"""),
         "network_coverage": _sql(_PREPARING, """SELECT count(DISTINCT city) AS cities,
  count(DISTINCT station) AS stations FROM prepared"""),
+        "overview": _sql(_PREPARING, """SELECT avg(aqi) AS avg_aqi, max(pm25) AS peak_pm25, count(*) AS records,
+ max(fetched_at) AS last_seen, count(DISTINCT city) AS cities, count(DISTINCT station) AS stations
+FROM prepared"""),
         "category_distribution": _sql(_PREPARING, """SELECT aqi_category AS category, count(*) AS readings,
  count(*) / (SELECT count(*) FROM prepared) AS share FROM prepared GROUP BY aqi_category"""),
         "recent_readings": _sql(_STORING, f"""SELECT {_COLUMNS} FROM fact

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazeworks.operators import latest as lt
+from hazeworks.operators import rollup as rl
 from hazeworks.operators import selection as sl
 from hazeworks.operators import series as sr
 from hazeworks.operators import summary as sm
@@ -268,6 +269,25 @@ def test_profiles(spark):
     assert pollutant_long(frame).count() == 5
 
 
+def test_rollup_answers_like_the_rows(spark):
+    frame = fact_frame(spark, [
+        {"city": c, "station": s, "fetched_at": at(i), "aqi": a, "pm25": p, "aqi_category": k}
+        for i, (c, s, a, p, k) in enumerate([
+            ("x", "p", 3, 1.5, "Good"), ("x??", "p", None, None, "Good"), (None, None, 9, 2.5, None),
+            ("x", "q", 60, None, "Moderate"), ("unknown", "p", 4, 0.5, "Good")])])
+    partials, named = rl.rollup(frame), prepare(frame)
+    row = rl.overview(partials).first()
+    assert tuple(row)[:3] == tuple(sm.kpi_summary(named).first())
+    assert row["last_seen"] == sm.freshness(named).first()["last_seen"]
+    assert (row["cities"], row["stations"]) == tuple(sm.network_coverage(named).first())
+    assert rl.distribution(partials).collect() == sm.category_distribution(named).collect()
+    picked = sl.filter_selection(partials, ["X"], ["Good"])
+    assert tuple(rl.overview(picked).first())[:3] == tuple(
+        sm.kpi_summary(sl.filter_selection(named, ["X"], ["Good"])).first())
+    nothing = rl.overview(sl.filter_selection(partials, ["none"])).first()
+    assert tuple(nothing) == (None, None, 0, None, 0, 0)
+
+
 def test_refresh_gives_every_table(spark):
     frame = fact_frame(spark, [
         {"city": c, "station": c, "fetched_at": at(i), "recorded_at": at(i), "aqi": 10 * i, "pm25": float(i),
@@ -277,7 +297,7 @@ def test_refresh_gives_every_table(spark):
     results = {name: table.collect() for name, table in tables.items()}
     assert [r["city"] for r in results["latest"]] == ["C", "B", "A"]
     assert [r["city"] for r in results["cities"]] == ["A", "B", "C", "D"]
-    assert tuple(results["coverage"][0]) == (3, 3)
+    assert (results["overview"][0]["cities"], results["overview"][0]["stations"]) == (3, 3)
     assert results["kpi"][0]["records"] == 12
     assert len(results["log"]) == 12 and len(results["series"]) == 12
     assert [r["value"] for r in results["pollutant_series"]] == [0.0, 4.0, 8.0, 12.0]

@@ -15,6 +15,7 @@ from hazeworks.operators import summary as sm
 from hazeworks.operators.clean import clean
 from hazeworks.operators.dedup import dedup_readings
 from hazeworks.operators.prepare import common_names, prepare
+from hazeworks.operators.rollup import rollup
 from hazeworks.operators.upsert import new_readings
 from hazeworks.plans import dashboard as db
 from hazeworks.sinks.fact import BatchDates, FactStore
@@ -136,6 +137,11 @@ def test_names_are_computed_after_the_reduction(spark, store):
         assert first_name < last_exchange
 
 
+def test_rollup_is_a_hash_aggregation(spark, store):
+    plan = plan_of(rollup(store.read()))
+    assert "SortAggregate" not in plan and exchanges(plan) == 1
+
+
 def test_name_lookup_counts_names_once(spark, store):
     named = prepare(store.read(), common_names(store.read()))
     named.collect()
