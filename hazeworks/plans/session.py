@@ -31,6 +31,8 @@ def configure(
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": True,
         "spark.sql.shuffle.partitions": shuffle_partitions(shuffled_bytes, cores),
         "spark.sql.files.maxPartitionBytes": 256 * 1024 * 1024,
+        # How large a rebalanced partition (and so a written file) gets before compression.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": 256 * 1024 * 1024,
         "spark.sql.parquet.compression.codec": "zstd",
         # Partial results of a malformed reply: keep its status, null the rest.
         "spark.sql.json.enablePartialResults": True,

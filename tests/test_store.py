@@ -66,6 +66,16 @@ def test_replies_as_text_equal_replies_as_files(spark, tmp_path):
     assert sorted(map(str, landed.parse_responses(text).collect())) == sorted(map(str, from_files.collect()))
 
 
+def test_unreadable_replies_are_rejected_not_lost(spark):
+    text = spark.createDataFrame(
+        [(None,), ("not json",), ('{"feed": "@1", "status": "ok", "data": [1]}',), ('{"status": "OK"}',)],
+        "document string")
+    responses = landed.parse_responses(text)
+    assert responses.count() == 4
+    assert landed.rejected(responses).count() == 3
+    assert landed.ingest(responses).first()["city"] == "@1"
+
+
 def test_feed_settings(spark):
     settings = spark.createDataFrame(
         [(1, " @1, ,seoul ,,@2 "), (2, None), (3, ""), (4, " , ")], "id int, feeds string")
