@@ -15,8 +15,8 @@ _RECENCY = ("fetched_at", "recorded_at", "station", "aqi")
 def latest_per_city(readings: DataFrame) -> DataFrame:
     """The row with the greatest ingestion time of every city; a missing time counts as latest.
 
-    Written as a maximum over structs, so each map task sends one row per city and no city is ever
-    sorted or collected as a group. Ties go to the later measurement, then to the greater remaining
+    Written as a maximum over structs: each map task sorts its own rows by city (the state is not of
+    fixed width), reduces them to one row per city and sends only those. Ties go to the later measurement, then to the greater remaining
     columns. The maximum of maxima is the maximum: applying this twice gives the same rows.
     """
     payload = [c for c in readings.columns if c not in ("city", *_RECENCY)]

@@ -23,11 +23,15 @@ def category_label(category: Column) -> Column:
     return F.coalesce(category, F.lit(UNKNOWN))
 
 
+# Longer names are computed rather than looked up: with the row count this bounds the lookup's size.
+_LOOKUP_LENGTH = 200
+
+
 def common_names(fact: DataFrame, count: int = 20_000) -> DataFrame:
     """The display names of the most frequent stored city and station names, `count` rows at most."""
     pairs = fact.groupBy("city", "station").agg(F.count("*").alias("rows"))
     texts = pairs.select(F.explode(F.array("city", "station")).alias("text"), "rows")
-    frequency = texts.where(F.col("text").isNotNull()).groupBy("text").agg(F.sum("rows").alias("rows"))
+    frequency = texts.where(F.length("text") <= _LOOKUP_LENGTH).groupBy("text").agg(F.sum("rows").alias("rows"))
     frequent = first_rows(frequency, [F.col("rows").desc(), "text"], count)
     return frequent.select("text", display_name(F.col("text")).alias("name"))
 

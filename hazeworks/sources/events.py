@@ -29,6 +29,7 @@ FROM {events}
 
 def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw readings over the whole table, with `reading_id` and `fetched_at`."""
+    # The table's times carry no zone and mean UTC; a caller's session may be set otherwise.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     raw = spark.sql(READINGS_SQL.format(events="{events}"), events=events)

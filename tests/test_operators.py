@@ -124,7 +124,7 @@ def test_missing_station_takes_the_displayed_city(spark):
 
 @pytest.mark.parametrize("known", [1, 3, 100])
 def test_common_names_change_nothing(spark, known):
-    texts = ["a  b", "a  b", "x??", None, "", "st.john's", "a  b", "unknown", "Q     q"]
+    texts = ["a  b", "a  b", "x??", None, "", "st.john's", "a  b", "unknown", "Q     q", "long name " * 50]
     frame = fact_frame(spark, [{"city": c, "station": s, "aqi": i} for i, (c, s) in enumerate(
         (c, s) for c in texts for s in texts)])
     names = common_names(frame, known)

@@ -76,6 +76,32 @@ def test_hot_key_sends_one_row_per_task(spark):
     assert written <= rows * 2 // 3 + tasks
 
 
+def test_hot_city_sends_one_row_per_task(spark):
+    rows, tasks = 30_000, 6
+    city = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), F.col("id") % 50))
+    latest = lt.latest_per_city(spark.range(0, rows, 1, tasks).select(
+        city.alias("city"), F.timestamp_seconds("id").alias("fetched_at"),
+        F.timestamp_seconds("id").alias("recorded_at"), F.lit("s").alias("station"),
+        F.col("id").cast("int").alias("aqi")))
+    assert latest.where("city = 'hot'").first()["aqi"] == (rows - 1) // 3 * 3
+    execution = latest._jdf.queryExecution()
+    execution.toRdd().count()
+    assert shuffled_rows(execution.executedPlan()) <= 51 * tasks
+
+
+def test_one_ingestion_time_is_still_sorted_by_many_tasks(spark):
+    rows = 20_000
+    load = spark.range(0, rows, 1, 6).select(
+        F.lit("2026-05-14 12:00:00").cast("timestamp").alias("fetched_at"), F.lit(1).alias("aqi"),
+        F.lit("one").alias("city"), F.timestamp_seconds("id").alias("recorded_at"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        spread = sr.time_series(load).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(r["count"] for r in spread) < rows / 3
+
+
 def shuffled_rows(plan):
     """Rows written by the first shuffle of an executed adaptive plan."""
     node = plan.finalPhysicalPlan() if "Adaptive" in plan.nodeName() else plan

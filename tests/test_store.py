@@ -10,6 +10,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from hazeworks.jobs import run
 from hazeworks.operators.clean import clean
 from hazeworks.operators.quality import EmptyBatchError
 from hazeworks.plans.load import load_raw
@@ -222,6 +223,38 @@ def test_stream_of_replies_archives_what_it_read(spark, tmp_path):
     assert glob.glob(f"{tmp_path}/archive/**/*.json", recursive=True)
 
 
+def test_jobs_run_the_chain(spark, tmp_path):
+    raw, text, fact = (str(tmp_path / name) for name in ("raw.json", "clean", "fact"))
+    rows = [dict(zip(("city", "aqi", "recorded_at"), r)) for r in BATCH]
+    (tmp_path / "raw.json").write_text(json.dumps(rows), encoding="utf-8")
+    assert run(spark, ["transform", raw, text, "--array-files"]) == "read 7 rows, 6 valid, wrote 5"
+    assert run(spark, ["load", text, fact]) == "inserted 5 rows, skipped 0 known ones"
+    assert run(spark, ["ingest", raw, fact, "--array-files"]) == "inserted 0 rows, skipped 5 known ones"
+    write_lines(tmp_path / "replies", "1.json", REPLIES)
+    assert run(spark, ["ingest", str(tmp_path / "replies"), fact, "--replies"]) == "inserted 2 rows, skipped 0 known ones"
+    write_lines(tmp_path / "landing", "1.json", [*rows, {"city": "new", "aqi": "1", "recorded_at": None}])
+    run(spark, ["stream", str(tmp_path / "landing"), fact, str(tmp_path / "checkpoint")])
+    assert FactStore(spark, fact).read().count() == 8
+    path = run(spark, ["export", fact, str(tmp_path), "--pollutant", "co", "--rows", "25"]).removeprefix("wrote ")
+    with open(glob.glob(f"{path}/*.csv")[0], encoding="utf-8", newline="") as handle:
+        lines = list(csv.reader(handle))
+    assert len(lines) == 9 and "CO (ppm)" in lines[0]
+    with pytest.raises(EmptyBatchError):
+        write_lines(tmp_path / "none", "1.json", [])
+        run(spark, ["transform", str(tmp_path / "none"), text])
+
+
+def test_stored_table_answers_plain_sql(spark, tmp_path):
+    store = FactStore(spark, str(tmp_path / "fact"), "readings_sql_test")
+    store.create()
+    try:
+        load_raw(raw_rows(spark, BATCH), store)
+        rows = spark.sql("SELECT city, aqi, aqi_category, recorded_at FROM readings_sql_test LIMIT 10").collect()
+        assert len(rows) == 5
+    finally:
+        spark.sql("DROP TABLE IF EXISTS readings_sql_test")
+
+
 def test_connection_settings():
     env = {"MYSQL_DB": "d", "MYSQL_USER": "u", "MYSQL_PASSWORD": "p"}
     assert connection_options(env) == {"url": "jdbc:mysql://localhost:3307/d", "user": "u", "password": "p"}
