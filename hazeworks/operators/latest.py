@@ -12,21 +12,27 @@ from hazeworks.schemas import CATEGORY_ROWS, DEFAULT_COLOR
 _RECENCY = ("fetched_at", "recorded_at", "station", "aqi")
 
 
-def latest_per_city(readings: DataFrame) -> DataFrame:
-    """The row with the greatest ingestion time of every city; a missing time counts as latest.
+def latest_per(readings: DataFrame, *keys: str) -> DataFrame:
+    """The row with the greatest ingestion time of every group; a missing time counts as latest.
 
-    Written as a maximum over structs: each map task sorts its own rows by city (the state is not of
-    fixed width), reduces them to one row per city and sends only those. Ties go to the later measurement, then to the greater remaining
-    columns. The maximum of maxima is the maximum: applying this twice gives the same rows.
+    Written as a maximum over structs: each map task sorts its own rows by key (the state is not of
+    fixed width), reduces them to one row per group and sends only those. Ties go to the later
+    measurement, then to the greater remaining columns. The maximum of maxima is the maximum, so
+    groups may be reduced in steps, from finer keys to coarser ones.
     """
-    payload = [c for c in readings.columns if c not in ("city", *_RECENCY)]
-    newest = F.max(F.struct(F.col("fetched_at").isNull().alias("_undated"), *_RECENCY, *payload))
+    order = [c for c in _RECENCY if c not in keys]
+    payload = [c for c in readings.columns if c not in (*keys, *order)]
+    newest = F.max(F.struct(F.col("fetched_at").isNull().alias("_undated"), *order, *payload))
     return (
-        readings.groupBy("city").agg(newest.alias("_newest"))
-        .select(*[F.col("city") if c == "city" else F.col(f"_newest.{c}") for c in readings.columns])
+        readings.groupBy(*keys).agg(newest.alias("_newest"))
+        .select(*[F.col(c) if c in keys else F.col(f"_newest.{c}") for c in readings.columns])
     )
 
 
+def latest_per_city(readings: DataFrame) -> DataFrame:
+    return latest_per(readings, "city")
+
+
 def _worst_first() -> list[Column | str]:
     return [F.col("aqi").desc_nulls_last(), "city"]
 

@@ -26,6 +26,11 @@ def latest_by_city(fact: DataFrame) -> DataFrame:
     return lt.latest_per_city(prepare(lt.latest_per_city(fact)))
 
 
+def newest_readings(fact: DataFrame) -> DataFrame:
+    """Latest reading per stored city and category, named: what any selection's latest rows come from."""
+    return prepare(lt.latest_per(fact, "city", "aqi_category"))
+
+
 def _named_cities(fact: DataFrame) -> DataFrame:
     return fact.select("city").distinct().select(city_name(F.col("city")).alias("city"))
 
@@ -66,19 +71,22 @@ def refresh(
     row_limit: int | None = None,
     names: DataFrame | None = None,
     partials: DataFrame | None = None,
+    newest: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every table of the monitor, lazily, for a selection of displayed cities and categories.
 
     Without `cities` the first three are selected. `row_limit` bounds all outputs to the newest
     rows (`operators.series.RECENT_LIMIT` gives the classic view); by default nothing is cut.
 
-    Each table is a query of its own. A caller that shows many of them writes `common_names(fact)`
-    and `rollup(fact)` to small tables first and passes what it reads back as `names` and
-    `partials`: six tables then come from the rollup alone, and no other counts the names anew.
+    Each table is a query of its own. A caller that shows many of them first writes three small
+    tables, `common_names(fact)`, `rollup(fact)` and `newest_readings(fact)`, and passes what it reads
+    back as `names`, `partials` and `newest`. Six tables then come from the rollup and five from the
+    newest readings; only trend, series and log still read the stored rows.
     """
     fact = sr.recent_readings(fact, row_limit)
     prepared = prepare(fact, common_names(fact) if names is None else names)
     partials = rl.rollup(fact) if partials is None else partials
+    newest = newest_readings(fact) if newest is None else newest
     first_cities = sl.first_values(partials, "city")
 
     def select(rows: DataFrame) -> DataFrame:
@@ -86,9 +94,9 @@ def refresh(
             rows = sl.filter_default_selection(rows, first_cities)
         return sl.filter_selection(rows, cities, categories)
 
-    chosen, totals = select(prepared), select(partials)
+    chosen, totals, candidates = select(prepared), select(partials), select(newest)
     overview = rl.overview(totals)
-    latest = lt.latest_per_city(chosen)
+    latest = lt.latest_per_city(candidates)
     trend = sm.aqi_trend(chosen)
     tables = {
         "cities": sl.distinct_values(partials, "city"),
@@ -107,6 +115,6 @@ def refresh(
         "log": sr.log_table(sr.recent_readings(chosen, sr.log_size(max_rows)), pollutant),
     }
     if location is not None:
-        tables["profile"] = pf.pollutant_profile(chosen, location)
+        tables["profile"] = pf.pollutant_profile(candidates, location)
         tables["pollutant_series"] = sr.city_series(chosen, location, pollutant)
     return tables

@@ -162,6 +162,19 @@ def test_latest_over_names_equals_latest_over_prepared(spark):
     assert [r[0] for r in db.distinct_cities(frame).collect()] == ["Unknown", "X"]
 
 
+def test_newest_readings_serve_every_selection(spark):
+    categories = ["Good", "Moderate", None]
+    frame = fact_frame(spark, [
+        {"city": c, "station": "s", "fetched_at": at(i * 7 % 11), "recorded_at": at(i), "aqi": i, "aqi_category": k}
+        for i, (c, k) in enumerate((c, k) for c in ["x", "x??", None, "unknown", "y"] for k in categories * 2)])
+    newest, named = db.newest_readings(frame), prepare(frame)
+    assert newest.count() <= 15
+    for cities, kinds in [(None, None), (["X"], None), (None, ["Good"]), (["X", "Unknown"], ["Moderate", "Unknown"])]:
+        from_newest = lt.latest_per_city(sl.filter_selection(newest, cities, kinds))
+        from_rows = lt.latest_per_city(sl.filter_selection(named, cities, kinds))
+        assert sorted(map(str, from_newest.collect())) == sorted(map(str, from_rows.collect()))
+
+
 def test_status_peak_and_delta(spark):
     frame = fact_frame(spark, [
         {"city": "a", "aqi": 120, "aqi_category": "Unhealthy for Sensitive Groups", "dominant_pollutant": None},
