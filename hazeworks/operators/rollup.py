@@ -8,18 +8,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from hazeworks.operators.prepare import category_label, city_name, station_name
+from hazeworks.operators.summary import BASELINE_AGE, trend_row
 
 
 def rollup(fact: DataFrame) -> DataFrame:
     """Partial aggregates of the stored readings under their display names, not merged by them."""
+    dated_aqi = F.when(F.col("fetched_at").isNotNull(), F.col("aqi"))
     stored = fact.groupBy("city", "station", "aqi_category").agg(
         F.count("*").alias("records"),
         F.sum("aqi").alias("aqi_sum"),
         F.count("aqi").alias("aqi_rows"),
         F.max("pm25").alias("peak_pm25"),
         F.max("fetched_at").alias("last_seen"),
+        # Of rows with an ingestion time only: what the trend's baseline can be taken from.
+        F.sum(dated_aqi).alias("dated_aqi_sum"),
+        F.count(dated_aqi).alias("dated_aqi_rows"),
     )
     named = stored.withColumn("city", city_name(F.col("city")))
     return named.withColumns({
@@ -40,6 +46,28 @@ def overview(partials: DataFrame) -> DataFrame:
     )
 
 
+def trend(partials: DataFrame, readings: DataFrame) -> DataFrame:
+    """The trend of `summary.aqi_trend`, with rows read for the newest hour only.
+
+    What is older is the rollup's total less that hour, which is exact for whole AQI numbers. The
+    cutoff is a scalar subquery, so that its value reaches the file scan and skips older row groups.
+    """
+    if not isinstance(partials.schema["aqi_sum"].dataType, IntegralType):
+        raise TypeError("the trend over a rollup needs whole AQI numbers; use summary.aqi_trend")
+    totals = partials.agg(F.struct(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("records"),
+        F.try_divide(F.sum("aqi_sum"), F.sum("aqi_rows")).alias("current_avg"),
+        F.sum("dated_aqi_sum").alias("dated_sum"),
+        F.sum("dated_aqi_rows").alias("dated_rows"),
+    ))
+    cutoff = partials.agg(F.max("last_seen") - F.expr(BASELINE_AGE)).scalar()
+    recent = readings.where(F.col("fetched_at") >= cutoff).agg(
+        F.coalesce(F.sum("aqi"), F.lit(0)).alias("recent_sum"), F.count("aqi").alias("recent_rows"))
+    both = recent.select("*", totals.scalar().alias("t")).select("*", "t.*")
+    older = F.try_divide(F.col("dated_sum") - F.col("recent_sum"), F.col("dated_rows") - F.col("recent_rows"))
+    return trend_row(both.withColumn("older_avg", older))
+
+
 def distribution(partials: DataFrame) -> DataFrame:
     """Readings per category and their share, as `summary.category_distribution` gives them."""
     total = F.sum("readings").over(Window.partitionBy())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeworks.functions import date_text, time_text
@@ -67,15 +67,23 @@ def category_distribution(readings: DataFrame) -> DataFrame:
     )
 
 
-def _trend_percent(current: Column, previous: Column) -> Column:
-    return F.when(previous > 0, (current - previous) / previous * 100).otherwise(0.0)
+BASELINE_AGE = "INTERVAL 1 HOUR"
+BASELINE_MIN_ROWS = 10
 
 
-def aqi_trend(readings: DataFrame, baseline_age: str = "INTERVAL 1 HOUR", min_rows: int = 10) -> DataFrame:
-    """Mean AQI against the mean of rows more than `baseline_age` older than the newest row.
+def trend_row(averages: DataFrame) -> DataFrame:
+    """Trend from `records`, `current_avg` and `older_avg`; 0 without a positive baseline."""
+    current, previous = F.col("current_avg"), F.col("previous_avg")
+    change = F.when(previous > 0, (current - previous) / previous * 100).otherwise(0.0)
+    baseline = F.when(F.col("records") > BASELINE_MIN_ROWS, F.col("older_avg")).otherwise(current)
+    return averages.select("records", "current_avg", baseline.alias("previous_avg")).withColumn("trend_pct", change)
 
-    The current mean covers all rows. With `min_rows` rows or fewer, or without a positive baseline,
-    the trend is 0. The newest time is a scalar subquery over the same two columns as the main
+
+def aqi_trend(readings: DataFrame) -> DataFrame:
+    """Mean AQI against the mean of rows more than an hour older than the newest row.
+
+    The current mean covers all rows. With ten rows or fewer, or without a positive baseline, the
+    trend is 0. The newest time is a scalar subquery over the same two columns as the main
     aggregation, so Spark can reuse one shuffle for both when the input itself is shuffled.
     """
     base = readings.select("fetched_at", "aqi")
@@ -86,15 +94,9 @@ def aqi_trend(readings: DataFrame, baseline_age: str = "INTERVAL 1 HOUR", min_ro
             F.avg("aqi").alias("current_avg"),
         ).alias("overall")
     )
-    cutoff = overall.scalar()["last_seen"] - F.expr(baseline_age)
+    cutoff = overall.scalar()["last_seen"] - F.expr(BASELINE_AGE)
     older = base.agg(F.avg(F.when(F.col("fetched_at") < cutoff, F.col("aqi"))).alias("older_avg"))
-    row = older.select(F.col("older_avg"), overall.scalar().alias("o")).select("older_avg", "o.*")
-    return row.select(
-        "records",
-        "current_avg",
-        F.when(F.col("records") > min_rows, F.col("older_avg"))
-        .otherwise(F.col("current_avg")).alias("previous_avg"),
-    ).withColumn("trend_pct", _trend_percent(F.col("current_avg"), F.col("previous_avg")))
+    return trend_row(older.select("older_avg", overall.scalar().alias("o")).select("older_avg", "o.*"))
 
 
 def aqi_trend_flag(trend: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ def refresh(
     Each table is a query of its own. A caller that shows many of them first writes three small
     tables, `common_names(fact)`, `rollup(fact)` and `newest_readings(fact)`, and passes what it reads
     back as `names`, `partials` and `newest`. Six tables then come from the rollup and five from the
-    newest readings; only trend, series and log still read the stored rows.
+    newest readings, the trend reads one hour, and only series and log still read the stored rows.
     """
     fact = sr.recent_readings(fact, row_limit)
     prepared = prepare(fact, common_names(fact) if names is None else names)
@@ -97,7 +97,7 @@ def refresh(
     chosen, totals, candidates = select(prepared), select(partials), select(newest)
     overview = rl.overview(totals)
     latest = lt.latest_per_city(candidates)
-    trend = sm.aqi_trend(chosen)
+    trend = rl.trend(totals, chosen)
     tables = {
         "cities": sl.distinct_values(partials, "city"),
         "categories": sl.distinct_values(partials, "aqi_category"),

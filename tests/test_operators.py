@@ -197,7 +197,10 @@ def test_lookups(spark):
 
 
 def trend_of(spark, pairs):
-    return sm.aqi_trend(spark.createDataFrame(pairs, "fetched_at timestamp, aqi int")).first()
+    frame = fact_frame(spark, [{"fetched_at": t, "aqi": a, "city": "ab"[a % 2]} for t, a in pairs])
+    row = sm.aqi_trend(frame).first()
+    assert rl.trend(rl.rollup(frame), frame).first() == row
+    return row
 
 
 def at(hours):
@@ -225,6 +228,14 @@ def test_trend_without_a_usable_baseline(spark):
     assert trend_of(spark, [])["trend_pct"] == 0
 
 
+def test_trend_over_some_undated_rows(spark):
+    row = trend_of(spark, [(None, 90)] * 3 + [(at(-2), 10)] * 5 + [(T0, 20)] * 5)
+    assert row["previous_avg"] == 10 and row["current_avg"] == pytest.approx((270 + 50 + 100) / 13)
+    with pytest.raises(TypeError):
+        fractions = fact_frame(spark, []).withColumn("aqi", F.lit(1.5))
+        rl.trend(rl.rollup(fractions), fractions)
+
+
 def test_trend_flag(spark):
     trends = spark.createDataFrame([(1.5,), (0.0,), (-2.0,)], "trend_pct double")
     assert [tuple(r) for r in sm.aqi_trend_flag(trends).collect()] == [("up", 1.5), ("down", 0.0), ("down", 2.0)]

@@ -16,6 +16,7 @@ from hazeworks.operators.clean import clean
 from hazeworks.operators.dedup import dedup_readings
 from hazeworks.operators.prepare import common_names, prepare
 from hazeworks.operators.rollup import rollup
+from hazeworks.operators.rollup import trend as rl_trend
 from hazeworks.operators.upsert import new_readings
 from hazeworks.plans import dashboard as db
 from hazeworks.sinks.fact import BatchDates, FactStore
@@ -168,6 +169,14 @@ def test_rollup_is_a_hash_aggregation(spark, store):
     assert "SortAggregate" not in plan and exchanges(plan) == 1
 
 
+def test_trend_over_a_rollup_skips_old_rows(spark, store):
+    fact = store.read()
+    trend = rl_trend(rollup(fact), fact)
+    assert trend.first() == sm.aqi_trend(prepare(fact)).first()
+    scans = re.findall(r"FileScan parquet \[aqi#\d+,fetched_at#\d+.*?ReadSchema", plan_of(trend), re.S)
+    assert any("fetched_at" in scan and "subquery" in scan for scan in scans)
+
+
 def test_name_lookup_counts_names_once(spark, store):
     named = prepare(store.read(), common_names(store.read()))
     named.collect()
