@@ -54,16 +54,19 @@ def trend(partials: DataFrame, readings: DataFrame) -> DataFrame:
     """
     if not isinstance(partials.schema["aqi_sum"].dataType, IntegralType):
         raise TypeError("the trend over a rollup needs whole AQI numbers; use summary.aqi_trend")
-    totals = partials.agg(F.struct(
+    totals = partials.agg(
         F.coalesce(F.sum("records"), F.lit(0)).alias("records"),
         F.try_divide(F.sum("aqi_sum"), F.sum("aqi_rows")).alias("current_avg"),
         F.sum("dated_aqi_sum").alias("dated_sum"),
         F.sum("dated_aqi_rows").alias("dated_rows"),
-    ))
+    )
     cutoff = partials.agg(F.max("last_seen") - F.expr(BASELINE_AGE)).scalar()
     recent = readings.where(F.col("fetched_at") >= cutoff).agg(
         F.coalesce(F.sum("aqi"), F.lit(0)).alias("recent_sum"), F.count("aqi").alias("recent_rows"))
-    both = recent.select("*", totals.scalar().alias("t")).select("*", "t.*")
+    # Two single rows side by side. A second scalar subquery over the rollup would be merged with the
+    # cutoff's into one struct, whose field is no longer a value the scan can filter by.
+    rows = totals.unionByName(recent, allowMissingColumns=True)
+    both = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
     older = F.try_divide(F.col("dated_sum") - F.col("recent_sum"), F.col("dated_rows") - F.col("recent_rows"))
     return trend_row(both.withColumn("older_avg", older))
 

@@ -116,8 +116,9 @@ class FactStore:
         if "fetched_at" not in batch.columns:
             stamp = F.lit(fetched_at).cast("timestamp") if fetched_at else F.current_timestamp()
             batch = batch.withColumn("fetched_at", stamp)
-        fresh = new_readings(batch, self.read_dates(dates)).select(
-            *READING_COLUMNS, F.to_date("recorded_at").alias(PARTITION_COLUMN))
+        fresh = new_readings(batch, self.read_dates(dates)).withColumn(
+            PARTITION_COLUMN, F.to_date("recorded_at")
+        ).select(*[F.col(field.name).cast(field.dataType) for field in FACT])
         inserted = Observation()
         # Rebalance: few files for a quiet date, several tasks for a date that holds much of the batch.
         # The city order narrows the row-group statistics that city filters prune by.
