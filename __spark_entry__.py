@@ -37,6 +37,13 @@ from hazeworks.sources import landed  # noqa: E402
 from hazeworks.sources.events import readings_from_events, responses_from_readings  # noqa: E402
 from hazeworks.sources.files import read_clean_text, read_raw  # noqa: E402
 from hazeworks.sources.scratch import scratch_dir  # noqa: E402
+try:  # a separate part, which may be absent
+    import corpus_pipeline
+    from hazeworks.llm import queries as corpus
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "hazeworks.llm"):
+        raise
+    corpus = corpus_pipeline = None
 from oracle_queries import CHOSEN_CATEGORIES, CHOSEN_CITY, CHOSEN_POLLUTANT, oracle_queries  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,8 +164,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["latest_by_city"](spark, "/root/testdata/sf0.001")
 
 
+def corpus_queries() -> dict[str, Query]:
+    return {} if corpus is None else corpus.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def corpus_sql() -> dict[str, str]:
+    if corpus is None:
+        return {}
+    whole = corpus_pipeline.ORACLE_SQL
+    return corpus.oracle_sql() | ({"pipeline": whole} if whole else {})
+
+
 def queries() -> dict[str, Query]:
-    return {
+    return corpus_queries() | {
         # Sources
         "ingest_responses": on_responses(response_columns),
         "ingest_ok": on_responses(lambda r: response_columns(landed.accepted(r))),
@@ -231,4 +249,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB twins. `network_coverage_approx` has none: its counts are estimates."""
-    return oracle_queries()
+    return oracle_queries() | corpus_sql()
