@@ -86,3 +86,9 @@ def with_homes(docs: DataFrame, home_bytes: int) -> DataFrame:
     homes = max(1, math.ceil(total / home_bytes))
     key = F.pmod(F.xxhash64("doc_id"), F.lit(homes)).cast("int")
     return docs.withColumn(HOME, key)
+
+
+def spread(blocks: DataFrame) -> DataFrame:
+    """Blocks dealt by bucket over all shuffle partitions. Their work is not in proportion to their few bytes, so the
+    number is given, and adaptive execution leaves it."""
+    return blocks.repartition(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), BUCKET)

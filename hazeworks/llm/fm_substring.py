@@ -25,7 +25,8 @@ DIGEST = (T.StructType().add("doc_id", "long").add("n_words", "long").add("n_rem
           .add("kept_sha256", "string").add("spans", T.ArrayType(T.ArrayType(T.LongType()))))
 
 
-def compare_words(texts: list[np.ndarray], smallest: np.ndarray, window: int) -> list[np.ndarray]:
+def compare_words(texts: list[np.ndarray], smallest: np.ndarray, window: int, names: np.ndarray,
+                  places: np.ndarray) -> list[np.ndarray]:
     data = np.concatenate(texts)
     offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
     starts, ends, bounds = tx.words(data, offsets)

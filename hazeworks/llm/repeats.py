@@ -41,15 +41,15 @@ class Scheme:
     """What a window is, and when it counts as repeated.
 
     by_smaller: only if it also starts in a document with a smaller id; else if it starts anywhere else.
-    compare(sequences of a block, their smallest documents, window): for each sequence and window of it, the smallest
-    document that has the window, or _NEVER if it occurs once.
+    compare(sequences of a block, their smallest documents, window, their anchors, the anchors' places): for each
+    sequence and window of it, the smallest document that has the window, or _NEVER if it occurs once.
     """
 
     window: int
     gram: int
     by_words: bool
     by_smaller: bool
-    compare: Callable[[list[np.ndarray], np.ndarray, int], list[np.ndarray]]
+    compare: Callable[[list[np.ndarray], np.ndarray, int, np.ndarray, np.ndarray], list[np.ndarray]]
     most: int = 2000
     block: int = 1 << 21
 
@@ -69,6 +69,7 @@ class Part:
     context: np.ndarray
     low: np.ndarray
     high: np.ndarray  # last window, included
+    place: np.ndarray  # of the anchor, from the first window
     doc: np.ndarray  # of each run, counted in the home
 
     def text(self, run: int, window: int) -> np.ndarray:
@@ -94,13 +95,9 @@ def anchor_runs(hashed: tx.Hashed, bounds: np.ndarray, window: int, gram: int):
             key = np.minimum(key[:wide - width], key[width - wide:])
         places.append((key & np.uint64((1 << 20) - 1)).astype(np.int64) + a)
     place = np.concatenate(places)
-    # windows that would reach into the next document
-    low, high = np.maximum(bounds[:-1], bounds[1:] - window + 1), np.minimum(bounds[1:], count)
-    some = low < high
-    steps = np.zeros(count + 1, np.int32)
-    np.add.at(steps, low[some], 1)
-    np.add.at(steps, high[some], -1)
-    inside = np.cumsum(steps[:-1]) == 0
+    inside = np.ones(count, bool)  # not the windows that would reach into the next document
+    for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        inside[max(x, y - window + 1):y] = False
     same = np.zeros(count, bool)
     same[1:] = inside[1:] & inside[:-1] & (place[1:] == place[:-1])
     first = np.flatnonzero(inside & ~same)
@@ -121,7 +118,7 @@ def parts(table: pa.Table, scheme: Scheme) -> Iterator[Part]:
         place, low, high, anchor = anchor_runs(hashed, bounds, scheme.window, scheme.gram)
         context = hashed.of(low, high + scheme.window) ^ tx.mix((place - low).astype(np.uint64))
         doc = np.searchsorted(bounds, low, "right") - 1
-        yield Part(x, some, where, starts, ends, bounds, hashed, anchor, context, low, high, doc + x)
+        yield Part(x, some, where, starts, ends, bounds, hashed, anchor, context, low, high, place - low, doc + x)
 
 
 def combined(keys: list[np.ndarray], least: np.ndarray, many: np.ndarray):
@@ -226,7 +223,7 @@ def send_contexts(docs: pa.Table, told: pa.Table, scheme: Scheme, buckets: int)
         at = look.find(context, p.context)
         run = np.flatnonzero(at >= 0)
         run = run[anchor[at[run]] == p.anchor[run]]
-        keys.append((p.anchor[run], p.context[run], ids[p.doc[run]]))
+        keys.append((p.anchor[run], p.context[run], ids[p.doc[run]], p.place[run].astype(np.uint32)))
         for r, row in zip(run, at[run], strict=True):
             texts.append(p.text(r, scheme.window) if kind[row] & COPY else None)
         start, hashes, owner = split_windows(p, np.flatnonzero(np.isin(p.anchor, split)), scheme.window)
@@ -234,13 +231,15 @@ def send_contexts(docs: pa.Table, told: pa.Table, scheme: Scheme, buckets: int)
     home = int(docs[ex.HOME][0].as_py())
     columns = [np.concatenate(c) for c in zip(*keys, strict=True)]
     (anchor, context), least, _, example = combined(columns[:2], columns[2], np.ones(len(columns[0]), np.uint8))
+    place = columns[3][example]
     chosen = [texts[i] if texts[i] is not None else np.zeros(0, np.uint8) for i in example]
     shift, rows = np.uint64(64 - (buckets.bit_length() - 1)), []
     bucket = (anchor >> shift).astype(np.int64) if len(anchor) else np.zeros(0, np.int64)
     for b in np.unique(bucket):
         x, y = np.searchsorted(bucket, [b, b + 1])
         sizes = np.array([len(t) for t in chosen[x:y]], np.int32)
-        rows.append((int(b), home, ex.pack(anchor[x:y], context[x:y], least[x:y], sizes, np.concatenate(chosen[x:y]))))
+        rows.append((int(b), home, ex.pack(
+            anchor[x:y], context[x:y], least[x:y], sizes, place[x:y], np.concatenate(chosen[x:y]))))
     hashes, smallest = (np.concatenate(c) for c in zip(*windows, strict=True))
     (hashes,), smallest, many, _ = combined([hashes], smallest, np.ones(len(hashes), np.uint8))
     return ex.blocks_table(rows + ex.to_buckets(home, hashes, [smallest, many], buckets))
@@ -258,10 +257,10 @@ def compare_contexts(table: pa.Table, scheme: Scheme) -> pa.Table:
         at = np.searchsorted(name, hashes)
         keep = number[at] > 1
         out.append(answers(bucket, who[keep], [hashes[keep], smallest[at][keep]]))
-    sent = [(h, b) for h, b in zip(homes, blocks, strict=True) if len(b) == 5]
+    sent = [(h, b) for h, b in zip(homes, blocks, strict=True) if len(b) == 6]
     if sent:
         who = np.repeat([h for h, _ in sent], [len(b[0]) for _, b in sent])
-        anchor, context, least, sizes, data = (np.concatenate(c) for c in zip(*(b for _, b in sent), strict=True))
+        anchor, context, least, sizes, place, data = (np.concatenate(c) for c in zip(*(b for _, b in sent), strict=True))
         ends = np.cumsum(sizes, dtype=np.int64)
         by = np.lexsort((-sizes, context, anchor))  # of equal contexts the one with text comes first
         new = np.concatenate(([True], (np.diff(anchor[by]) != 0) | (np.diff(context[by]) != 0)))
@@ -275,7 +274,8 @@ def compare_contexts(table: pa.Table, scheme: Scheme) -> pa.Table:
         while done < len(texts):  # blocks of whole anchors
             stop = max(done + 1, int(np.searchsorted(size, (size[done - 1] if done else 0) + scheme.block)))
             stop = int(np.searchsorted(names, names[stop - 1], "right"))
-            values += scheme.compare(texts[done:stop], smallest[done:stop], scheme.window)
+            values += scheme.compare(texts[done:stop], smallest[done:stop], scheme.window, names[done:stop],
+                                     place[first[done:stop]].astype(np.int64))
             done = stop
         counts = np.array([len(v) for v in values], np.int32)
         begins, flat = np.concatenate(([0], np.cumsum(counts))), np.concatenate(values)
@@ -370,9 +370,9 @@ def without_repeats(docs: DataFrame, scheme: Scheme, describe: Callable[[pa.Tabl
 
     arrow = to_arrow_schema(schema)
     sent = homes.groupBy(ex.HOME).applyInArrow(tell, ex.BLOCKS)
-    met = sent.groupBy(ex.BUCKET).applyInArrow(meet, ex.BLOCKS)
+    met = ex.spread(sent).groupBy(ex.BUCKET).applyInArrow(meet, ex.BLOCKS)
     texts = homes.groupBy(ex.HOME).cogroup(met.groupBy(ex.HOME)).applyInArrow(send, ex.BLOCKS)
-    compared = texts.groupBy(ex.BUCKET).applyInArrow(compare, ex.BLOCKS)
+    compared = ex.spread(texts).groupBy(ex.BUCKET).applyInArrow(compare, ex.BLOCKS)
     told = met.unionByName(compared)
     return homes.groupBy(ex.HOME).cogroup(told.groupBy(ex.HOME)).applyInArrow(apply, schema)
 

@@ -23,17 +23,58 @@ from hazeworks.llm.repeats import _NEVER, Scheme, sha256, without_repeats
 DIGEST = (T.StructType().add("doc_id", "long").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
           .add("kept_sha256", "string"))
 
+DIGEST = (T.StructType().add("doc_id", "long").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
+          .add("kept_sha256", "string"))
+
+
+#: Windows whose anchors have offsets in one class of this many share all but so many bytes.
+_CLASS = 16
+
+
+def alike(texts: list[np.ndarray], window: int, names: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int]]:
+    """(sequence, first window, window after the last): windows that may repeat.
+
+    Windows of a class, by the anchor's offset, have a core in common. One whose core nothing else with that anchor has
+    cannot repeat.
+    """
+    hashed = tx.Hashed(np.concatenate(texts))
+    sizes = np.array([len(t) for t in texts], np.int64)
+    begin, count = np.cumsum(sizes) - sizes, sizes - window + 1
+    lowest, highest = (places - count + 1) // _CLASS, places // _CLASS
+    number = highest - lowest + 1
+    owner = np.repeat(np.arange(len(texts)), number)
+    kind = np.repeat(lowest - np.cumsum(number) + number, number) + np.arange(number.sum())
+    anchor = (begin + places)[owner]
+    first = np.maximum(anchor - kind * _CLASS - _CLASS + 1, begin[owner])  # of the windows of the class
+    last = np.minimum(anchor - kind * _CLASS, (begin + count - 1)[owner])
+    core = hashed.of(anchor - kind * _CLASS, anchor - kind * _CLASS - _CLASS + 1 + window)
+    key = tx.mix(names[owner] ^ tx.mix(core + kind.astype(np.uint64)))
+    _, same, many = np.unique(key, return_inverse=True, return_counts=True)
+    out: list[list[int]] = []
+    alive = np.flatnonzero(many[same] > 1)
+    for i, x, y in sorted(zip(owner[alive].tolist(), (first - begin[owner])[alive].tolist(),
+                              (last - begin[owner])[alive].tolist(), strict=True)):
+        if out and out[-1][0] == i and out[-1][2] == x:
+            out[-1][2] = y + 1
+        else:
+            out.append([i, x, y + 1])
+    return [tuple(o) for o in out]
+
 
-def compare_bytes(texts: list[np.ndarray], smallest: np.ndarray, window: int) -> list[np.ndarray]:
-    text, begins = sx.joined(texts, 256)
-    start, counts = sx.starts_of_windows(begins, window)
-    hit = sx.repeated_by_intervals(text, window)[start]
-    value = np.where(hit, np.iinfo(np.int64).min, _NEVER)
-    return np.split(value, np.cumsum(counts)[:-1])
+def compare_bytes(texts: list[np.ndarray], smallest: np.ndarray, window: int, names: np.ndarray,
+                  places: np.ndarray) -> list[np.ndarray]:
+    values = [np.full(len(t) - window + 1, _NEVER) for t in texts]
+    pieces = alike(texts, window, names, places)
+    if pieces:
+        text, begins = sx.joined([texts[i][x:y + window - 1].astype(np.int64) + 1 for i, x, y in pieces])
+        hit = sx.repeated_by_intervals(text, window)
+        for (i, x, y), b in zip(pieces, begins, strict=False):
+            values[i][x:y][hit[b:b + y - x]] = np.iinfo(np.int64).min
+    return values
 
 
 def scheme(min_bytes: int) -> Scheme:
-    return Scheme(min_bytes, max(1, min_bytes * 8 // 25), False, False, compare_bytes)
+    return Scheme(min_bytes, max(1, min_bytes * 4 // 25), False, False, compare_bytes)
 
 
 def repeated_bytes(docs: DataFrame, min_bytes: int = 200, home_bytes: int = 8 << 20) -> DataFrame:

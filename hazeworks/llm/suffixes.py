@@ -6,17 +6,25 @@ import numpy as np
 
 
 def suffix_array(values: np.ndarray) -> np.ndarray:
-    """Starts of all suffixes in order. Some value occurs once near each end, so that suffixes differ.
+    """Starts of all suffixes in order; the first symbols are ranked together where they fit into one number.
 
-    Prefix doubling that sorts only suffixes whose place is still open.
+    Prefix doubling that sorts only suffixes whose place is still open. The end sorts before every symbol.
     """
     n = len(values)
-    order = np.argsort(values, kind="stable")
-    head = np.concatenate(([True], np.diff(values[order]) != 0))
+    if not n:
+        return np.zeros(0, np.int64)
+    wide = int(values.max() + 1).bit_length()
+    depth = max(1, 62 // wide)
+    key = np.zeros(n + depth, np.int64)
+    key[:n] = values + 1
+    first = key[:n].copy()
+    for i in range(1, depth):
+        first = (first << wide) | key[i:n + i]
+    order = np.argsort(first, kind="stable")
+    head = np.concatenate(([True], np.diff(first[order]) != 0))
     start = np.maximum.accumulate(np.where(head, np.arange(n), 0))
     rank = np.empty(n + 1, np.int64)
     rank[order], rank[n] = start, -1
-    depth = 1
     while True:
         open_ = np.flatnonzero(~(head & np.concatenate((head[1:], [True]))))
         if not len(open_):
@@ -32,17 +40,17 @@ def suffix_array(values: np.ndarray) -> np.ndarray:
         depth *= 2
 
 
-def joined(sequences: list[np.ndarray], symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """All sequences, each followed by a separator of its own that sorts first; and where each begins."""
-    m = len(sequences)
-    lengths = np.array([len(s) for s in sequences], np.int64)
-    begins = np.concatenate(([0], np.cumsum(lengths + 1)))
-    text = np.empty(begins[-1], np.int64)
-    text[begins[1:] - 1] = np.arange(m)
+def joined(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All sequences of symbols from 1 on, each followed by the separator 0; and where each begins.
+
+    A string without a separator lies in one sequence wherever it occurs.
+    """
+    begins = np.concatenate(([0], np.cumsum([len(s) + 1 for s in sequences], dtype=np.int64)))
+    text = np.zeros(begins[-1], np.int64)
     inside = np.ones(begins[-1], bool)
     inside[begins[1:] - 1] = False
-    if m:
-        text[inside] = np.concatenate(sequences).astype(np.int64) + m
+    if sequences:
+        text[inside] = np.concatenate(sequences)
     return text, begins
 
 
@@ -60,31 +68,37 @@ def repeated_by_intervals(text: np.ndarray, least: int) -> np.ndarray:
     extended by every symbol before it in the Burrows-Wheeler transform. The first interval that ends at a row fixes
     the common prefix of that row and the next one: the length before the extension. So the values appear in
     increasing order; the search stops at `least`, and rows still open have a common prefix at least that long.
-    Strings with a separator never repeat, since separators occur once.
     """
     n = len(text)
     order = suffix_array(text)
-    before = text[order - 1]
-    by = np.argsort(before, kind="stable")
-    step = np.empty(n, np.int64)
-    step[by] = np.arange(n)
+    before = text[order - 1].astype(np.int16 if text.max(initial=0) < 1 << 15 else np.int64)
+    step = np.empty(n, np.int32)
+    step[np.argsort(before, kind="stable")] = np.arange(n, dtype=np.int32)
     known = np.zeros(n + 1, bool)
     known[[0, n]] = True
-    low, high = np.array([0]), np.array([n])
+    one, low, high = np.zeros(0, np.int32), np.array([0]), np.array([n])
     for _ in range(least):
-        sizes = high - low
-        rows = np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        owner = np.repeat(np.arange(len(low)), sizes)
-        to = step[rows]
-        by = np.argsort(to)
-        to, owner, symbol = to[by], owner[by], before[rows[by]]
-        edge = np.flatnonzero((np.diff(to) != 1) | (np.diff(owner) != 0) | (np.diff(symbol) != 0))
-        low = to[np.concatenate(([0], edge + 1))]
-        high = to[np.concatenate((edge, [len(to) - 1]))] + 1
-        new = ~known[high]
-        low, high = low[new], high[new]
-        known[high] = True
-        if not len(low):
+        # intervals of one row have one extension, of one row
+        one = step[one]
+        one = one[~known[one + 1]]
+        known[one + 1] = True
+        if len(low):
+            sizes = high - low
+            rows = np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            owner = np.repeat(np.arange(len(low), dtype=np.int32), sizes)
+            to = step[rows]
+            by = np.argsort(to)
+            to, owner, symbol = to[by], owner[by], before[rows[by]]
+            edge = np.flatnonzero((np.diff(to) != 1) | (np.diff(owner) != 0) | (np.diff(symbol) != 0))
+            low = to[np.concatenate(([0], edge + 1))].astype(np.int64)
+            high = to[np.concatenate((edge, [len(to) - 1]))].astype(np.int64) + 1
+            new = ~known[high]
+            low, high = low[new], high[new]
+            known[high] = True
+            single = high - low == 1
+            one = np.concatenate((one, low[single].astype(np.int32)))
+            low, high = low[~single], high[~single]
+        elif not len(one):
             break
     out = np.zeros(n, bool)
     out[order[~known[:-1] | ~known[1:]]] = True
@@ -124,9 +138,8 @@ class FMIndex:
     """Backward search over sequences of symbols 1..symbols-1, kept as a wavelet matrix of the transform."""
 
     def __init__(self, sequences: list[np.ndarray], symbols: int):
-        text, self.begins = joined(sequences, symbols)
-        self.order = suffix_array(text)
-        self.text = np.maximum(0, text - len(sequences))  # all separators are 0 from here on
+        self.text, self.begins = joined(sequences)
+        self.order = suffix_array(self.text)
         self.counts = np.concatenate(([0], np.cumsum(np.bincount(self.text, minlength=symbols))))
         self.tree = WaveletMatrix(self.text[self.order - 1], symbols)
 

@@ -56,9 +56,9 @@ class Hashed:
         return mix((self._sums[end] - self._sums[start]) * self._down[start])
 
     def grams(self, k: int) -> np.ndarray:
-        """Of all parts of length k, in order."""
+        """Of all parts of length k, in order; not mixed: their high bits are what is used."""
         n = len(self._sums) - k
-        return mix((self._sums[k:] - self._sums[:n]) * self._down[:n]) if n > 0 else np.zeros(0, U)
+        return (self._sums[k:] - self._sums[:n]) * self._down[:n] if n > 0 else np.zeros(0, U)
 
 
 #: Bytes that part words: [\x20\x09-\x0D].
@@ -92,7 +92,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return Hashed(data).of(starts, ends)
 
 
-def batches(offsets: np.ndarray, size: int = 1 << 20):
+def batches(offsets: np.ndarray, size: int = 1 << 17):
     """Ranges of texts of about `size` bytes together; a longer text is a range of its own."""
     first = 0
     while first < len(offsets) - 1:
