@@ -68,24 +68,24 @@ def bucket_count(docs: DataFrame) -> int:
     return 1 << max(1, math.ceil(math.log2(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
 
 
-def to_buckets(home: int, keys: np.ndarray, columns: list[np.ndarray], buckets: int) -> list[tuple[int, int, bytes]]:
+def to_buckets(home: int, keys: np.ndarray, columns: list[np.ndarray], buckets: int,
+               all_buckets: bool = False) -> list[tuple[int, int, bytes]]:
     """Blocks of sorted 64-bit keys and their columns, cut by the keys' highest bits."""
     shift = np.uint64(64 - (buckets.bit_length() - 1))
     cuts = np.searchsorted(keys, np.arange(buckets, dtype=np.uint64) << shift).tolist() + [len(keys)]
     return [(b, home, pack(keys[x:y], *(c[x:y] for c in columns)))
-            for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
+            for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x or all_buckets]
 
 
-def with_homes(docs: DataFrame, home_bytes: int) -> DataFrame:
-    """Documents dealt into homes of about home_bytes of text each.
+def with_homes(docs: DataFrame, home_bytes: int, like: DataFrame | None = None) -> DataFrame:
+    """Rows dealt by doc_id into homes of about home_bytes of text each; `like`, if given, has the texts.
 
     The number of homes follows from the total size of all texts. Every use of the result in one plan reads the same
     exchange.
     """
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = (like or docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     homes = max(1, math.ceil(total / home_bytes))
-    key = F.pmod(F.xxhash64("doc_id"), F.lit(homes)).cast("int")
-    return docs.withColumn(HOME, key)
+    return docs.withColumn(HOME, F.pmod(F.xxhash64("doc_id"), F.lit(homes)).cast("int"))
 
 
 def spread(blocks: DataFrame) -> DataFrame:

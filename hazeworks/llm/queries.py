@@ -5,29 +5,84 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from hazeworks.llm import mixing
+from hazeworks.llm.ann import nearest
+from hazeworks.llm.decontam import contaminated
 from hazeworks.llm.fm_substring import repeated_words
+from hazeworks.llm.licenses import scan
+from hazeworks.llm.lm_score import cross_entropy_difference
+from hazeworks.llm.resampling import resampled
+from hazeworks.llm.saving import shared_folder
+from hazeworks.llm.simhash import near_duplicates
 from hazeworks.llm.suffix_dedup import repeated_bytes
+from hazeworks.llm.warc import archived
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op3_fm_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_words(table(spark, sf_dir, "documents"), window=13)
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents"), min_bytes=200)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = archived(table(spark, sf_dir, "pages"), shared_folder(spark, "warc"), least=100)
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "url_key",
+                           "captured")
+
+
+def op7_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return kept.select("doc_id", F.col("__ngrams").alias("n_ngrams"), F.col("__log_weight").alias("log_weight"),
+                       F.col("__key").alias("gumbel_key"))
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), radius=4, shingle=4)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
+        op1_lm_scoring,
+        op2_source_mixing,
         op3_fm_substring_dedup,
+        op4_nearest_neighbours,
         op5_suffix_array_dedup,
+        op6_warc,
+        op7_quality_resampling,
+        op8_simhash_near_dedup,
+        op9_license_scan,
+        op10_benchmark_decontamination,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB twins. The other queries are tested against brute force instead."""
+    return {"op2_source_mixing": mixing.SQL}

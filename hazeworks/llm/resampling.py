@@ -108,7 +108,7 @@ def counted(docs: DataFrame, labels: DataFrame, buckets: int, most_labels: int)
         yield pa.RecordBatch.from_arrays([pa.array(range(sections), pa.int32()), pa.array([
             pack(p, texts if i == 0 else texts[:0]) for i, p in enumerate(parts)], pa.binary())], ["section", "block"])
 
-    def add(key, table: pa.Table) -> pa.Table:
+    def add(key, table):
         parts, texts = zip(*(unpack(b.as_py()) for b in table["block"]), strict=True)
         return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([pack(sum(parts), sum(texts))], pa.binary())],
                         names=["section", "block"])

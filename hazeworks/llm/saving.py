@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -56,3 +57,11 @@ def up_to(order: list[str], cut: Row | None, values: dict[str, Column] | None =
         return F.lit(False)
     here = F.struct(*[(values or {}).get(c, F.col(c)).alias(c) for c in order])
     return here <= F.struct(*[F.lit(cut[c]).alias(c) for c in order])
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that the cluster shares; in local mode without such a setting, a temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{(shared or tempfile.mkdtemp(prefix='corpus-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
