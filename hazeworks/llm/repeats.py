@@ -102,7 +102,8 @@ def anchor_runs(hashed: tx.Hashed, bounds: np.ndarray, window: int, gram: int):
     same[1:] = inside[1:] & inside[:-1] & (place[1:] == place[:-1])
     first = np.flatnonzero(inside & ~same)
     last = np.flatnonzero(inside & ~np.concatenate((same[1:], [False])))
-    return place[first], first, last, grams[place[first]]
+    # smallest hashes are small: spread them again
+    return place[first], first, last, tx.mix(grams[place[first]])
 
 
 def parts(table: pa.Table, scheme: Scheme) -> Iterator[Part]:
