@@ -1,20 +1,22 @@
 """Quality classifier by importance resampling.
 
 Generative models of hashed n-grams (words and runs of punctuation, lower-cased; one and two in a row) are fitted for
-target text (labelled good and not toxic) and for raw text. Raw text is a mixture of the kinds of labelled rejects, each
-with its share among the labelled documents, so that a rare kind of bad text weighs in the ratio; all models are
-smoothed towards the counts of the whole corpus. A document's log weight is log p(target) - log p(raw), with the shares
-as priors. Keys are log weight plus Gumbel noise; the k largest keys are a sample without replacement in proportion to
-the weights. k is the number of documents the weights themselves call for: the sum over all documents of the
-probability of being target text.
+target text (labelled good and not toxic) and for raw text. The target model is smoothed towards the counts of the
+whole corpus. Raw text is a mixture of the kinds of labelled rejects, each with its share among the labelled documents,
+so that a rare kind of bad text weighs in. A reject model has its own probability for the cells whose counts differ from
+the target's beyond doubt (`least` n-grams, `factor` times, six deviations), within exp(`clip`) of the target's, and the
+target's, scaled to what is left, for all others; otherwise chance would drown the few words that tell.
+
+A document's log weight is log p(target) - log p(raw), shares included. Keys are log weight plus Gumbel noise; the k
+largest keys are a sample without replacement in proportion to the weights. k is the number of documents the weights
+themselves call for: the sum over all documents of the probability of being target text.
 
 `temperature` scales the noise: 1 samples in proportion to the weights; the default 0.1, to their tenth power, so that
 short clean texts, whose weights are near 1, are not left to chance.
 
 Two equal words in a row are one n-gram of their own whatever the word, so that endless repetition of unseen words shows.
-The smoothing is as strong as `prior` n-grams.
 
-Bounds: the models have `buckets` cells each (2**16: 0.3 MB a class) and are sent to all tasks, as are ids and classes
+Bounds: the models have `buckets` cells each (2**17: 0.5 MB a kind) and are sent to all tasks, as are ids and classes
 of `most_labels` labelled documents (200,000: 2.4 MB), chosen by a hash of the id if there are more. Corpus counts are
 over all documents. Cases: null and empty texts have no n-gram, so their weight is the target's share among
 labels; documents labelled twice count for each label; without target or reject labels, weights are 0 and all are kept;
@@ -122,33 +124,42 @@ def counted(docs: DataFrame, labels: DataFrame, buckets: int, most_labels: int)
 
 
 class Models:
-    """Log probabilities of cells: the target's and those of the raw mixture, with the mixture's shares."""
+    """Log ratios of cells, raw to target, for each kind of reject, and the kinds' log shares to the target's."""
 
-    def __init__(self, counts: np.ndarray, texts: np.ndarray, buckets: int, prior: float):
+    def __init__(self, counts: np.ndarray, texts: np.ndarray, least: int, factor: float, clip: float):
         counts = counts.astype(float)
+        buckets = counts.shape[1]
         corpus = (counts[0] + 0.5) / (counts[0].sum() + 0.5 * buckets)
-        smooth = (counts[1:] + prior * corpus) / (counts[1:].sum(1, keepdims=True) + prior)
-        self.fitted = texts[1] > 0 and texts[2:].sum() > 0
-        share = texts[1:] / max(1.0, texts[1:].sum())
-        kept = [0] + [c for c in range(1, CLASSES - 1) if share[c] > 0]
-        self.share = np.log(share[kept]) if self.fitted else np.zeros(1)
-        self.log = np.log(smooth[kept]).astype(np.float32)
+        target = (counts[1] + buckets * corpus) / (counts[1].sum() + buckets)
+        ratios, shares = [], []
+        for own, number in zip(counts[2:], texts[2:], strict=True):
+            if texts[1] == 0 or number == 0 or own.sum() == 0:
+                continue
+            expected = own.sum() * target
+            more = (own >= least) & (own >= factor * expected) & (own - expected >= 6 * np.sqrt(expected + 1))
+            less = (expected >= 4 * least) & (factor * own <= expected)
+            told = more | less
+            ratio = np.clip(np.log((own + 0.5) / (expected + 0.5)), -clip, clip)
+            rest = [np.log(max(1e-3, 1 - share)) for share in (own[told].sum() / own.sum(), target[told].sum())]
+            ratios.append(np.where(told, ratio, rest[0] - rest[1]))
+            shares.append(np.log(number / texts[1]))
+        self.fitted = bool(ratios)
+        self.log, self.shares = np.array(ratios, np.float32), np.array(shares)
 
     def weights(self, cell: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray:
-        """log(share * p) of the target less that of all rejects together."""
+        """log p(target) - log p(raw), each with its share."""
         if not self.fitted:
             return np.zeros(texts)
-        score = np.stack([np.bincount(doc, row[cell], texts) for row in self.log]) + self.share[:, None]
-        rest = score[1:]
-        top = rest.max(0)
-        return score[0] - (top + np.log(np.exp(rest - top).sum(0)))
+        raw = np.stack([np.bincount(doc, row[cell], texts) for row in self.log]) + self.shares[:, None]
+        top = raw.max(0)
+        return -(top + np.log(np.exp(raw - top).sum(0)))
 
 
-def weighed(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 16, prior: float = 20000.0,
-            temperature: float = 0.1, seed: int = 7, most_labels: int = 200_000) -> DataFrame:
+def weighed(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, least: int = 20, factor: float = 4.0,
+            clip: float = 3.0, temperature: float = 0.1, seed: int = 7, most_labels: int = 200_000) -> DataFrame:
     """All columns of docs and __ngrams, __log_weight, __key."""
     counts, texts = counted(docs, labels, buckets, most_labels)
-    model = docs.sparkSession.sparkContext.broadcast(Models(counts, texts, buckets, prior))
+    model = docs.sparkSession.sparkContext.broadcast(Models(counts, texts, least, factor, clip))
     extra = [("__ngrams", pa.int64()), ("__log_weight", pa.float64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -172,3 +172,11 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, radius: int = 4, shingle: int = 5, seed: int = 42, most: int = 2000) -> DataFrame:
+    """The documents, all columns, of which no linked one has a smaller id; of repeated rows, one."""
+    named = near_duplicates(docs, radius, shingle, seed, most)
+    kept = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return docs.dropDuplicates(["doc_id"]).join(kept.withColumnRenamed("doc_id", "__kept"), F.col("doc_id").eqNullSafe(
+        F.col("__kept"))).drop("__kept")

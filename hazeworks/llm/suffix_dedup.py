@@ -93,3 +93,25 @@ def repeated_bytes(docs: DataFrame, min_bytes: int = 200, home_bytes: int = 8 <<
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=DIGEST.names)
 
     return without_repeats(docs.select("doc_id", "text"), scheme(min_bytes), describe, DIGEST, home_bytes)
+
+
+def without_repeated_bytes(docs: DataFrame, min_bytes: int = 200, home_bytes: int = 8 << 20) -> DataFrame:
+    """The documents, all columns, with repeated strings cut out of their texts; characters cut in part stay whole."""
+
+    names = docs.columns
+
+    def describe(table, found):
+        texts: list[str | None] = table["text"].to_pylist()
+        for part, gone in found:
+            mask = tx.covered(len(part.data), gone, min_bytes)
+            head = (part.data & 0xC0) != 0x80  # first bytes of characters
+            whole = np.logical_and.reduceat(mask, np.flatnonzero(head)) if len(mask) else mask
+            mask = whole[np.cumsum(head) - 1] if len(mask) else mask
+            for i, (x, y) in enumerate(zip(part.offsets[:-1], part.offsets[1:], strict=True)):
+                own = mask[x:y]
+                if own.any():
+                    texts[part.first + i] = part.data[x:y][~own].tobytes().decode("utf-8")
+        at = table.schema.get_field_index("text")
+        return table.set_column(at, "text", pa.array(texts, table.schema.field("text").type)).select(names)
+
+    return without_repeats(docs, scheme(min_bytes), describe, docs.schema, home_bytes)
