@@ -1,15 +1,65 @@
-"""Corpus pipeline: stages that turn documents into a training mix."""
+"""Corpus pipeline: from all documents to a training mix, in five stages.
+
+1. quality: documents that importance resampling rejects go.
+2. near_duplicates: of the documents that SimHash links, the one with the smallest id stays.
+3. repeated_text: strings of 200 bytes or more that occur again anywhere are cut out of all texts; documents stay.
+4. benchmark: documents that hold a copy of a benchmark item go.
+5. mix: what the mix to target weights takes, in the order in which it takes it.
+
+All stages but the last return the columns of their input. Nulls, empty tables, repeated rows and further columns are
+treated as the operators say; repeated rows of one document are copies, of which the second stage keeps one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hazeworks.llm.decontam import decontaminated
+from hazeworks.llm.mixing import mix
+from hazeworks.llm.resampling import resampled
+from hazeworks.llm.saving import saved
+from hazeworks.llm.simhash import one_of_each
+from hazeworks.llm.suffix_dedup import without_repeated_bytes
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return resampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return one_of_each(docs)
+
+
+def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = without_repeated_bytes(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if (
+        "n_chars" in docs.columns) else cut
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mix(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeated_text", repeated_text),
+    ("benchmark", benchmark),
+    ("mix", mixed),
+]
 
-STAGES = []
+#: SQL cannot express the stages before the mix; tests compare them with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over documents, each on what the one before it kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = saved(stage(spark, docs, sf_dir))
     return docs
