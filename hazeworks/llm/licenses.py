@@ -78,6 +78,8 @@ def tools(notices: tuple[tuple[str, str], ...]):
 
 def fuzzy(line: str, notices: tuple[tuple[str, str], ...]) -> list[tuple[int, int, int, int]]:
     """(notice, start, end, errors) of all verified places, the best where candidates of a notice overlap."""
+    if not notices:
+        return []
     automaton, patterns = tools(notices)
     windows: dict[int, list[list[int]]] = {}
     for end, (size, places) in automaton.iter(line):

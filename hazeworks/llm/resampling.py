@@ -8,8 +8,8 @@ the target's beyond doubt (`least` n-grams, `factor` times, six deviations), wit
 target's, scaled to what is left, for all others; otherwise chance would drown the few words that tell.
 
 A document's log weight is log p(target) - log p(raw), shares included. Keys are log weight plus Gumbel noise; the k
-largest keys are a sample without replacement in proportion to the weights. k is the number of documents the weights
-themselves call for: the sum over all documents of the probability of being target text.
+largest keys are a sample without replacement in proportion to the weights. k is the number of documents, of all, that
+are more likely target than raw text.
 
 `temperature` scales the noise: 1 samples in proportion to the weights; the default 0.1, to their tenth power, so that
 short clean texts, whose weights are near 1, are not left to chance.
@@ -25,7 +25,6 @@ repeated rows share one key; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -185,12 +184,10 @@ def resampled(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The sampled rows of docs with __ngrams, __log_weight, __key."""
     scored = weighed(docs, labels, **options)
     skinny = saved(scored.select("doc_id", "__log_weight", "__key", F.xxhash64("doc_id", "text").alias("__tie")))
-    chance = 1 / (1 + F.exp(-F.greatest(F.least("__log_weight", F.lit(500.0)), F.lit(-500.0))))
-    fitted = skinny.where("__log_weight <> 0").limit(1).count() > 0
-    number = skinny.agg(F.coalesce(F.sum(chance), F.lit(0.0))).first()[0]
-    if not fitted:
+    number = skinny.agg(F.count(F.when(F.col("__log_weight") > 0, 1)), F.count(F.when(F.col("__log_weight") != 0, 1))).first()
+    if not number[1]:
         return scored
     order = ["__down", "__tie"]
     down = (-F.col("__key")).alias("__down")
-    cut = prefix_cut(skinny.select(down, "__tie", F.lit(1).alias("__one")), order, "__one", math.ceil(number))
+    cut = prefix_cut(skinny.select(down, "__tie", F.lit(1).alias("__one")), order, "__one", number[0])
     return scored.where(up_to(order, cut, {"__down": -F.col("__key"), "__tie": F.xxhash64("doc_id", "text")}))
