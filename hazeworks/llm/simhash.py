@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from hazeworks.llm.components import components
 from hazeworks.llm.saving import saved
-from hazeworks.llm.text import utf8
+from hazeworks.llm.text import LOWER, mix, utf8, word_hashes, words
 
 _LEVELS = 3
 
@@ -44,7 +44,11 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
     ends = np.cumsum(sizes + 1) - 1
     starts, ends = (ends - sizes)[:len(words) - shingle + 1].tolist(), ends[shingle - 1:].tolist()
     hash_ = xxhash.xxh64_intdigest
-    values = np.array([hash_(line[x:y], seed) for x, y in zip(starts, ends, strict=True)], np.uint64)
+    return majority(np.array([hash_(line[x:y], seed) for x, y in zip(starts, ends, strict=True)], np.uint64))
+
+
+def majority(values: np.ndarray) -> int:
+    """The bits that are set in over half of some 64-bit values."""
     counts = np.zeros(64, np.int64)
     for i in range(0, len(values), 1 << 14):
         bits = np.unpackbits(values[i:i + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -67,6 +71,31 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
 
 
+def pair_name(fp: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(fp * np.uint64(3) ^ mix(second))
+
+
+def double_fingerprints(docs: DataFrame, shingle: int = 5, seed: int = 42) -> DataFrame:
+    """(doc_id, fp, second, node): fingerprints of the distinct words and of the shingles, and a name for both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column("text"))
+            raw = data.tobytes()
+            first = np.zeros(batch.num_rows, np.uint64)
+            second = np.zeros(batch.num_rows, np.uint64)
+            for i, (x, y) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                own = LOWER[data[x:y]]
+                starts, ends, _ = words(own, np.array([0, y - x]))
+                first[i] = majority(np.unique(word_hashes(own, starts, ends))) if len(starts) else 0
+                second[i] = fingerprint(raw[x:y], shingle, seed)
+            columns = [pa.array(c.view(np.int64)) for c in (first, second, pair_name(first, second))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *columns],
+                                             ["doc_id", "fp", "second", "node"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint, second bigint, node bigint")
+
+
 def masks(radius: int, level: int = 0) -> list[int]:
     """The masks of all nonzero vectors, as signed 64-bit numbers."""
     size = 1 << (radius + 1)
@@ -82,9 +111,14 @@ def keys(fp: Column, parent: Column, radius: int, level: int) -> Column:
     return F.array(*[F.xxhash64(parent, F.lit(i), fp.bitwiseAND(F.lit(m))) for i, m in enumerate(masks(radius, level))])
 
 
-def forest(fp: np.ndarray, key: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join all fingerprints of one bucket that are linked, directly or not; rows are sorted by key."""
-    names, node = np.unique(fp, return_inverse=True)
+def forest(fp: np.ndarray, key: np.ndarray, radius: int, second: np.ndarray | None = None,
+           limit: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join all fingerprints of one bucket that are linked, directly or not; rows are sorted by key.
+
+    With second fingerprints, links also need those to be within `limit`, and names stand for both.
+    """
+    names, row, node = np.unique(fp if second is None else pair_name(fp, second), return_index=True, return_inverse=True)
+    fp, second = fp[row], None if second is None else second[row]
     root = np.arange(len(names))
 
     def settle(x: np.ndarray, y: np.ndarray) -> None:
@@ -96,12 +130,14 @@ def forest(fp: np.ndarray, key: np.ndarray, radius: int) -> tuple[np.ndarray, np
             while not np.array_equal(up := root[root], root):
                 root[:] = up
 
-    at, step, found, size = np.arange(len(fp)), 1, [], 0
-    while len(at := at[at + step < len(fp)]):
+    at, step, found, size = np.arange(len(key)), 1, [], 0
+    while len(at := at[at + step < len(key)]):
         at = at[key[at] == key[at + step]]
         for part in np.array_split(at, max(1, len(at) >> 20)):
             x, y = node[part], node[part + step]
-            near = np.bitwise_count(names[x] ^ names[y]) <= radius
+            near = np.bitwise_count(fp[x] ^ fp[y]) <= radius
+            if second is not None:
+                near &= np.bitwise_count(second[x] ^ second[y]) <= limit
             found.append((x[near], y[near]))
             size += int(near.sum())
         if size > 1 << 20:
@@ -114,47 +150,52 @@ def forest(fp: np.ndarray, key: np.ndarray, radius: int) -> tuple[np.ndarray, np
     return names[child], names[root[child]]
 
 
-def compare(radius: int):
+def compare(radius: int, limit: int | None):
     """Over rows sorted by key: the forest of each bucket. Reads on until a bucket ends, so that none is cut."""
+    columns = ("fp", "key") if limit is None else ("fp", "key", "second")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         rows = 0
 
-        def links(fp: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
-            a, b = forest(fp.view(np.uint64), key, radius)
+        def links(fp: np.ndarray, key: np.ndarray, *second: np.ndarray) -> pa.RecordBatch:
+            a, b = forest(fp.view(np.uint64), key, radius, *(c.view(np.uint64) for c in second), limit=limit or 64)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
         for batch in batches:
-            held.append(np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in ("fp", "key")]))
+            held.append(np.stack([batch.column(n).to_numpy(zero_copy_only=False) for n in columns]))
             rows += batch.num_rows
             if rows < 1 << 18:
                 continue
-            fp, key = np.concatenate(held, axis=1)
-            cut = int(np.searchsorted(key, key[-1]))
+            all_ = np.concatenate(held, axis=1)
+            cut = int(np.searchsorted(all_[1], all_[1][-1]))
             if cut:
-                yield links(fp[:cut], key[:cut])
-            held = [np.stack((fp[cut:], key[cut:]))]
-            rows = len(fp) - cut
+                yield links(*(c[:cut].copy() for c in all_))
+            held = [all_[:, cut:]]
+            rows = held[0].shape[1]
         if held:
-            yield links(*np.concatenate(held, axis=1))
+            yield links(*(c.copy() for c in np.concatenate(held, axis=1)))
 
     return run
 
 
-def linked(fps: DataFrame, radius: int, most: int) -> DataFrame:
-    """Links (a, b) that join all distinct fingerprints within the radius of each other, directly or by steps."""
+def linked(fps: DataFrame, radius: int, most: int, limit: int | None = None) -> DataFrame:
+    """Links (a, b) that join all distinct fingerprints within the radius of each other, directly or by steps.
+
+    With a limit, `second` fingerprints must be within it as well, and links are between pair_names.
+    """
+    second = [] if limit is None else ["second"]
     rows, found = fps.withColumn("parent", F.lit(0).cast("long")), None
     for level in range(_LEVELS):
-        dealt = rows.select("fp", F.explode(keys(F.col("fp"), F.col("parent"), radius, level)).alias("key"))
+        dealt = rows.select("fp", *second, F.explode(keys(F.col("fp"), F.col("parent"), radius, level)).alias("key"))
         small = dealt
         if level < _LEVELS - 1:
             large = saved(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("key"))
             some = large.limit(1).count() > 0
             if some:
-                small = dealt.join(large, "key", "left_anti").select("fp", "key")
-                rows = dealt.join(large, "key", "left_semi").select("fp", F.col("key").alias("parent"))
-        compared = small.repartition("key").sortWithinPartitions("key").mapInArrow(compare(radius), "a bigint, b bigint")
+                small = dealt.join(large, "key", "left_anti").select("fp", *second, "key")
+                rows = dealt.join(large, "key", "left_semi").select("fp", *second, F.col("key").alias("parent"))
+        compared = small.repartition("key").sortWithinPartitions("key").mapInArrow(compare(radius, limit), "a bigint, b bigint")
         found = compared if found is None else found.unionByName(compared)
         if level == _LEVELS - 1 or not some:
             return found
@@ -174,9 +215,17 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = 4, shingle: int = 5, seed: int = 42, most: int = 2000) -> DataFrame:
-    """The documents, all columns, of which no linked one has a smaller id; of repeated rows, one."""
-    named = near_duplicates(docs, radius, shingle, seed, most)
-    kept = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept.withColumnRenamed("doc_id", "__kept"), F.col("doc_id").eqNullSafe(
-        F.col("__kept"))).drop("__kept")
+def one_of_each(docs: DataFrame, radius: int = 6, limit: int = 12, shingle: int = 5, most: int = 2000) -> DataFrame:
+    """The documents, all columns, of which no near-duplicate has a smaller id; of repeated rows, one.
+
+    Two fingerprints a document: of its distinct words, which few edits hardly move, so that covering tables of a small
+    radius find texts with four fifths of their five-word shingles in common; and of its shingles, to tell those from
+    texts that only use the same words. Links need both; a shingle similarity of 0.8 is ten bits apart on average.
+    """
+    fps = saved(double_fingerprints(docs, shingle))
+    classes = saved(fps.groupBy("node").agg(
+        F.min("fp").alias("fp"), F.min("second").alias("second"), F.min("doc_id").alias("first_doc")))
+    roots = components(linked(classes.select("fp", "second"), radius, most, limit))
+    rooted = classes.select("node", "first_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = rooted.groupBy("root").agg(F.min("first_doc").alias("__kept")).select("__kept")
+    return docs.dropDuplicates(["doc_id"]).join(kept, F.col("doc_id").eqNullSafe(F.col("__kept"))).drop("__kept")
