@@ -27,7 +27,7 @@ from hazeworks.operators import summary as sm  # noqa: E402
 from hazeworks.operators import upsert as up  # noqa: E402
 from hazeworks.operators.dedup import dedup_readings  # noqa: E402
 from hazeworks.operators.lookup import with_category_color, with_pollutant_name  # noqa: E402
-from hazeworks.operators.prepare import city_name, common_names, prepare, station_name  # noqa: E402
+from hazeworks.operators.prepare import city_name, prepare, station_name, stored_names  # noqa: E402
 from hazeworks.operators.quality import quality_counts  # noqa: E402
 from hazeworks.plans import dashboard as db  # noqa: E402
 from hazeworks.schemas import POLLUTANTS, RAW  # noqa: E402
@@ -79,7 +79,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def response_columns(replies: DataFrame) -> DataFrame:
     return replies.select(
         "feed", "status", F.col("data.aqi").alias("aqi"), F.col("data.city.name").alias("city_name"),
-        *[F.col("data.iaqi")[p]["v"].alias(p) for p in POLLUTANTS],
+        *[F.col("data.iaqi")[p]["v"].try_cast("double").alias(p) for p in POLLUTANTS],
         F.col("data.dominentpol").alias("dominentpol"), F.col("data.time.iso").alias("iso"),
     )
 
@@ -96,9 +96,13 @@ def raw_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, path = raw_file_rows(spark, sf_dir), scratch_dir(spark) + "/raw"
-    write_raw(rows, path)
-    return read_raw(spark, path)
+    """Two files: one with numbers, one with quoted ones."""
+    path = scratch_dir(spark) + "/raw"
+    rows = raw_file_rows(spark, sf_dir)
+    quoted = F.col("pm10") > 50
+    write_raw(rows.where(~F.coalesce(quoted, F.lit(False))), f"{path}/plain")
+    write_raw(rows.where(quoted).withColumns({p: F.col(p).cast("string") for p in POLLUTANTS}), f"{path}/quoted")
+    return read_raw(spark, f"{path}/*")
 
 
 def plain_time(readings: DataFrame, *names: str) -> DataFrame:
@@ -153,10 +157,15 @@ def on_responses(plan: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: plan(responses(spark, sf_dir))
 
 
+def load_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that was not deduplicated, against the table: every further reading of a key is skipped."""
+    batch = cl.valid_readings(cl.type_readings(raw(spark, sf_dir), ["fetched_at"]))
+    return up.load_counts(batch, stored_part(spark, sf_dir))
+
+
 def filter_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = fact(spark, sf_dir)
-    chosen = sl.filter_default_selection(prepare(stored), db.default_cities(stored))
-    return sl.filter_selection(chosen, categories=CHOSEN_CATEGORIES)
+    return db.default_selection(stored, CHOSEN_CATEGORIES)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -203,10 +212,11 @@ def queries() -> dict[str, Query]:
         "upsert_new": on_upsert(up.new_readings),
         "upsert_skipped": on_upsert(up.known_readings),
         "load_counts": on_upsert(up.load_counts),
+        "load_repeats": load_repeats,
         "history_union": on_upsert(lambda batch, stored: up.history_union(stored, batch)),
         # Analysis form
         "prepare": prepared,
-        "prepare_common_names": on_fact(lambda f: prepare(f, common_names(f, 50))),
+        "prepare_common_names": on_fact(lambda f: prepare(f, stored_names(f))),
         "display_name": on_raw(lambda: [city_name(F.col("city")).alias("city")]),
         "station_fallback": on_raw(lambda: [
             station_name(F.col("station"), city_name(F.col("city"))).alias("station")]),
@@ -233,7 +243,7 @@ def queries() -> dict[str, Query]:
         "aqi_trend": on_prepared(sm.aqi_trend),
         "aqi_trend_flag": on_prepared(lambda p: sm.aqi_trend_flag(sm.aqi_trend(p))),
         "network_coverage": on_fact(db.network_coverage),
-        "network_coverage_approx": on_prepared(sm.network_coverage_approx),
+        "network_coverage_approx": on_fact(db.coverage_estimate_holds),
         "overview": on_fact(lambda f: rl.overview(rl.rollup(f))),
         "category_distribution": on_prepared(sm.category_distribution),
         # Lists, series, reshaping
@@ -241,12 +251,12 @@ def queries() -> dict[str, Query]:
         "monitoring_log": on_fact(db.monitoring_log),
         "export_rows": on_fact(lambda f: export_rows(db.monitoring_log(f))),
         "time_series": on_prepared(sr.time_series),
-        "city_series": on_prepared(lambda p: sr.city_series(p, CHOSEN_CITY, CHOSEN_POLLUTANT)),
-        "pollutant_profile": on_prepared(lambda p: pf.pollutant_profile(p, CHOSEN_CITY)),
+        "city_series": on_fact(lambda f: db.city_series(f, CHOSEN_CITY, CHOSEN_POLLUTANT)),
+        "pollutant_profile": on_fact(lambda f: db.pollutant_profile(f, CHOSEN_CITY)),
         "pollutant_long": on_prepared(pf.pollutant_long),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB twins. `network_coverage_approx` has none: its counts are estimates."""
+    """DuckDB twins."""
     return oracle_queries() | corpus_sql()

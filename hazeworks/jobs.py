@@ -5,7 +5,10 @@
     ingest RAW STORE         transform and load in one step, without the files in between
     stream LANDING STORE CHECKPOINT
                              every landed file once, then stop
-    export STORE FOLDER      the newest readings as CSV
+    export STORE FOLDER      the newest readings of a selection as CSV, or all of them
+
+Shuffle partitions are the session's (`--conf spark.sql.shuffle.partitions=...`); `--shuffled-bytes` before the command
+derives them from the size of the input.
 """
 
 from __future__ import annotations
@@ -14,10 +17,12 @@ import argparse
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
+from hazeworks.functions import to_int
 from hazeworks.operators.clean import clean
-from hazeworks.operators.quality import quality_counts, require_rows
+from hazeworks.operators.quality import require_rows
 from hazeworks.operators.series import LOG_SIZE
 from hazeworks.plans.dashboard import monitoring_log
 from hazeworks.plans.load import load_raw
@@ -33,6 +38,7 @@ from hazeworks.streaming.ingest import start_ingest, stream_raw, stream_response
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="hazeworks", description=__doc__,
                                   formatter_class=argparse.RawDescriptionHelpFormatter)
+    top.add_argument("--shuffled-bytes", type=int, help="bytes that the largest shuffle moves")
     commands = top.add_subparsers(dest="command", required=True)
 
     def command(name: str, *positional: str) -> argparse.ArgumentParser:
@@ -53,7 +59,9 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--archive", help="where files go once they are read")
     export = command("export", "store", "folder")
     export.add_argument("--pollutant", choices=POLLUTANTS, default=POLLUTANTS[0])
-    export.add_argument("--rows", type=int, default=LOG_SIZE)
+    export.add_argument("--rows", type=int, default=LOG_SIZE, help="how many of the newest; 0 for all")
+    export.add_argument("--city", action="append", dest="cities", help="displayed city; may be repeated")
+    export.add_argument("--category", action="append", dest="categories", help="displayed category; may be repeated")
     return top
 
 
@@ -66,10 +74,11 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> str:
         store.create()
     if args.command == "transform":
         raw = read_raw(spark, args.raw, array_files=args.array_files)
-        counts = quality_counts(raw).first()
-        require_rows(counts["raw_rows"], "raw readings")
-        write_clean_text(clean(raw), args.clean)
-        return f"read {counts['raw_rows']} rows, {counts['valid_rows']} valid, wrote {counts['clean_rows']}"
+        require_rows(raw.limit(1).count(), "raw readings")
+        read, wrote = Observation(), Observation()
+        counted = raw.observe(read, F.count("*").alias("rows"), F.count(to_int(F.col("aqi"))).alias("valid"))
+        write_clean_text(clean(counted).observe(wrote, F.count("*").alias("rows")), args.clean)
+        return f"read {read.get['rows']} rows, {read.get['valid']} valid, wrote {wrote.get['rows']}"
     if args.command == "load":
         result = store.append_new(read_clean_text(spark, args.clean))
     elif args.command == "ingest":
@@ -81,13 +90,14 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> str:
         start_ingest(source(spark, args.landing, archive=args.archive), store, args.checkpoint).awaitTermination()
         return "read all landed files"
     else:
-        return "wrote " + export_csv(monitoring_log(store.read(), args.pollutant, args.rows), args.folder)
+        chosen = monitoring_log(store.read(), args.pollutant, args.rows or None, args.cities, args.categories)
+        return "wrote " + export_csv(chosen, args.folder)
     return f"inserted {result.inserted_rows} rows, skipped {result.skipped_rows} known ones"
 
 
 def main() -> None:
-    parser().parse_args(sys.argv[1:])
-    spark = configure(SparkSession.builder.appName("hazeworks")).getOrCreate()
+    size = parser().parse_args(sys.argv[1:]).shuffled_bytes
+    spark = configure(SparkSession.builder.appName("hazeworks"), shuffled_bytes=size).getOrCreate()
     print(run(spark, sys.argv[1:]))
     spark.stop()
 

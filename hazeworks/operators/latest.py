@@ -37,9 +37,9 @@ def _worst_first() -> list[Column | str]:
     return [F.col("aqi").desc_nulls_last(), "city"]
 
 
-def by_aqi(latest: DataFrame) -> DataFrame:
-    """Worst city first, missing AQI last."""
-    return latest.orderBy(*_worst_first())
+def by_aqi(latest: DataFrame, worst_first: bool = True) -> DataFrame:
+    """Worst city first, missing AQI last; or the other way round, as bars grow, missing AQI first."""
+    return latest.orderBy(*(_worst_first() if worst_first else [F.col("aqi").asc_nulls_first(), "city"]))
 
 
 def category_color(category: Column) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeworks.functions import display_name, to_instant, to_number
-from hazeworks.operators.topk import first_rows
 from hazeworks.schemas import POLLUTANTS, UNKNOWN
 
 
@@ -23,17 +22,11 @@ def category_label(category: Column) -> Column:
     return F.coalesce(category, F.lit(UNKNOWN))
 
 
-# Longer names are computed rather than looked up: with the row count this bounds the lookup's size.
-_LOOKUP_LENGTH = 200
-
-
-def common_names(fact: DataFrame, count: int = 20_000) -> DataFrame:
-    """The display names of the most frequent stored city and station names, `count` rows at most."""
-    pairs = fact.groupBy("city", "station").agg(F.count("*").alias("rows"))
-    texts = pairs.select(F.explode(F.array("city", "station")).alias("text"), "rows")
-    frequency = texts.where(F.length("text") <= _LOOKUP_LENGTH).groupBy("text").agg(F.sum("rows").alias("rows"))
-    frequent = first_rows(frequency, [F.col("rows").desc(), "text"], count)
-    return frequent.select("text", display_name(F.col("text")).alias("name"))
+def stored_names(fact: DataFrame) -> DataFrame:
+    """(text, name): the display name of every distinct stored city and station, each text once."""
+    pairs = fact.select("city", "station").distinct()
+    texts = pairs.select(F.explode(F.array("city", "station")).alias("text")).where(F.col("text").isNotNull()).distinct()
+    return texts.select("text", display_name(F.col("text")).alias("name"))
 
 
 def _with_names(fact: DataFrame, names: DataFrame | None) -> DataFrame:
@@ -41,9 +34,10 @@ def _with_names(fact: DataFrame, names: DataFrame | None) -> DataFrame:
     if names is None:
         named = fact.withColumn("city", city_name(F.col("city")))
         return named.withColumn("station", station_name(F.col("station"), F.col("city")))
+    # A list that the caller kept may hold a text twice; readings must not multiply.
+    known = names.groupBy(F.col("text").alias("_text")).agg(F.min("name").alias("_name"))
 
     def look_up(readings: DataFrame, column: str, otherwise: Column) -> DataFrame:
-        known = F.broadcast(names.select(F.col("text").alias("_text"), F.col("name").alias("_name")))
         found = readings.join(known, F.col(column) == F.col("_text"), "left")
         return found.withColumn(column, F.coalesce("_name", otherwise)).drop("_text", "_name")
 
@@ -52,11 +46,11 @@ def _with_names(fact: DataFrame, names: DataFrame | None) -> DataFrame:
 
 
 def prepare(fact: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """All columns of the stored readings in their analysis form. No shuffle, no filter.
+    """All columns of the stored readings in their analysis form, unfiltered. No shuffle without `names`.
 
-    A display name takes several string operations. With `names` (see `common_names`, whose row limit
-    bounds the broadcast) frequent names are looked up and only the others are computed; the result
-    is the same. That pays on tables much longer than their list of names.
+    A display name takes several string operations. With `names` (see `stored_names`) they are looked up and only
+    what is not listed is computed; the result is the same. Spark broadcasts the list where it is small enough, and
+    joins by shuffle where it is not.
     """
     types = {field.name: field.dataType for field in fact.schema}
     return _with_names(fact, names).select(

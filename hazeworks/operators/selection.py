@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazeworks.operators.prepare import city_name
 from hazeworks.operators.topk import first_rows
+from hazeworks.schemas import UNKNOWN
 
 
 def _distinct(readings: DataFrame, column: str) -> DataFrame:
@@ -38,6 +40,29 @@ def filter_selection(
     return readings
 
 
-def filter_default_selection(readings: DataFrame, cities: DataFrame) -> DataFrame:
-    """Rows of the cities in `first_values`, whose LIMIT bounds the broadcast side."""
-    return readings.join(F.broadcast(cities.select("city")), "city", "left_semi")
+def stored_spellings(fact: DataFrame, cities: Sequence[str]) -> list[str | None]:
+    """The stored city names that are shown as one of `cities`. One small job over one column."""
+    spelled = fact.select("city").distinct().where(city_name(F.col("city")).isin(list(cities)))
+    return [row["city"] for row in spelled.collect()]
+
+
+def filter_stored(
+    fact: DataFrame,
+    cities: Sequence[str] | None = None,
+    categories: Sequence[str] | None = None,
+    names_from: DataFrame | None = None,
+) -> DataFrame:
+    """Stored readings of the displayed cities and categories, by conditions on stored columns.
+
+    Names are resolved to stored spellings first (in `names_from`, if its distinct cities are cheaper to read), so that
+    the conditions reach the file scan and skip row groups; display names are left to compute for what is kept.
+    """
+    def among(column: str, values: list[str | None]):
+        held = F.col(column).isin([v for v in values if v is not None])
+        return held | F.col(column).isNull() if None in values else held
+
+    if cities is not None:
+        fact = fact.where(among("city", stored_spellings(fact if names_from is None else names_from, cities)))
+    if categories is not None:
+        fact = fact.where(among("aqi_category", [*categories, *([None] if UNKNOWN in categories else [])]))
+    return fact

@@ -18,8 +18,7 @@ LOG_HEADINGS = {
     "aqi_category": "Classification",
     "dominant_pollutant": "Primary Pollutant",
 }
-# How many rows the log may show, and how many it shows by default.
-LOG_SIZES = range(25, 501, 25)
+# How many rows the log shows by default, and a recent view.
 LOG_SIZE = 100
 RECENT_LIMIT = 2000
 
@@ -32,18 +31,22 @@ def recent_readings(readings: DataFrame, limit: int | None = RECENT_LIMIT) -> Da
     return first_rows(readings, order, limit)
 
 
-def log_size(max_rows: int) -> int:
-    if max_rows not in LOG_SIZES:
-        raise ValueError(f"log size must be one of 25, 50, ..., 500, not {max_rows}")
-    return max_rows
-
-
 def log_table(recent: DataFrame, pollutant: str = "pm25") -> DataFrame:
-    """The eight display columns of the log, with the chosen pollutant."""
+    """The eight display columns of the log, with the chosen pollutant.
+
+    Stored levels are floats; read as a double, 71.7 would show as 71.69999694824219. The shortest text of a float is
+    what the source had.
+    """
     check_pollutant(pollutant)
     headings = list(LOG_HEADINGS.items())
     headings.insert(-1, (pollutant, POLLUTANT_LABELS[pollutant]))
-    return recent.select(*[F.col(name).alias(heading) for name, heading in headings])
+
+    def shown(name: str):
+        if name == pollutant and recent.schema[name].dataType.simpleString() in ("float", "double"):
+            return F.col(name).cast("float").cast("string").cast("double")
+        return F.col(name)
+
+    return recent.select(*[shown(name).alias(heading) for name, heading in headings])
 
 
 def time_series(readings: DataFrame, ordered: bool = True) -> DataFrame:

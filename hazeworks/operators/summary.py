@@ -48,7 +48,8 @@ def network_coverage(names: DataFrame) -> DataFrame:
 
 
 def network_coverage_approx(readings: DataFrame, rsd: float = 0.02) -> DataFrame:
-    """Sketched counts: fixed-size state per task, no shuffle of names."""
+    """Sketched counts: fixed-size state per task, no shuffle of names. For readings under their stored names: a
+    display name for every row would cost more than the exact count, so spellings count apart."""
     return readings.agg(
         F.approx_count_distinct("city", rsd).alias("cities"),
         F.approx_count_distinct("station", rsd).alias("stations"),

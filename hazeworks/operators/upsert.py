@@ -1,6 +1,6 @@
 """Insert-if-absent on (city, measurement time), as joins against the stored readings.
 
-The batch comes from `clean`, so its keys are unique; with `keep_key` it is partitioned for the join.
+A batch from `clean` has unique keys; with `keep_key` it is partitioned for the join.
 """
 
 from __future__ import annotations
@@ -33,14 +33,16 @@ def known_readings(batch: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def load_counts(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Inserted and skipped row counts of a batch, in one pass over both sides."""
+    """Inserted and skipped row counts of a batch, in one pass over both sides.
+
+    Of readings with one key in the batch, one is inserted; the counts per key go into the join.
+    """
     stored_keys = _stored_keys(stored).withColumn("_known", F.lit(True))
-    known = F.col("_known").isNotNull()
-    return with_key(batch).select(*KEY_PARTS).join(stored_keys, KEY_PARTS, "left").agg(
-        F.count("*").alias("batch_rows"),
-        F.count_if(~known).alias("inserted_rows"),
-        F.count_if(known).alias("skipped_rows"),
-    )
+    keys = with_key(batch).groupBy(*KEY_PARTS).agg(F.count("*").alias("_rows"))
+    inserted = F.count_if(F.col("_known").isNull())
+    rows = F.coalesce(F.sum("_rows"), F.lit(0))
+    return keys.join(stored_keys, KEY_PARTS, "left").agg(
+        rows.alias("batch_rows"), inserted.alias("inserted_rows"), (rows - inserted).alias("skipped_rows"))
 
 
 def history_union(stored: DataFrame, batch: DataFrame) -> DataFrame:

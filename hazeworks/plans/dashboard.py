@@ -1,8 +1,8 @@
 """The monitoring refresh over stored readings.
 
 Display names cost several string operations per value. Where an aggregate allows it, the plans here
-reduce by *stored* name first, name the few rows left, and reduce again; where every row needs its
-name, they look frequent names up.
+reduce by *stored* name first, name the few rows left, and reduce again; selections are resolved to
+stored names and filter those; where every row needs its name, names can be looked up.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from hazeworks.operators import rollup as rl
 from hazeworks.operators import selection as sl
 from hazeworks.operators import series as sr
 from hazeworks.operators import summary as sm
-from hazeworks.operators.prepare import category_label, city_name, common_names, prepare, station_name
+from hazeworks.operators.prepare import category_label, city_name, prepare, station_name
 
 
 def latest_by_city(fact: DataFrame) -> DataFrame:
@@ -55,9 +55,39 @@ def network_coverage(fact: DataFrame) -> DataFrame:
         named.select("city", station_name(F.col("station"), F.col("city")).alias("station")))
 
 
-def monitoring_log(fact: DataFrame, pollutant: str = "pm25", max_rows: int = sr.LOG_SIZE) -> DataFrame:
-    """The newest rows of all cities: top-k first, names afterwards."""
-    return sr.log_table(prepare(sr.recent_readings(fact, sr.log_size(max_rows))), pollutant)
+def coverage_estimate_holds(fact: DataFrame, tolerance: float = 0.1) -> DataFrame:
+    """Whether the sketched counts of stored names are within the tolerance of the exact ones."""
+    both = sm.network_coverage(fact).unionByName(sm.network_coverage_approx(fact))
+    return both.agg(*[
+        (F.max(c) - F.min(c) <= F.greatest(F.lit(2.0), F.max(c) * tolerance)).alias(f"{c}_close") for c in both.columns])
+
+
+def monitoring_log(
+    fact: DataFrame,
+    pollutant: str = "pm25",
+    max_rows: int | None = sr.LOG_SIZE,
+    cities: Sequence[str] | None = None,
+    categories: Sequence[str] | None = None,
+) -> DataFrame:
+    """The newest rows of a selection: top-k first, names afterwards. Without `max_rows` all rows, in no order."""
+    chosen = sl.filter_stored(fact, cities, categories)
+    return sr.log_table(prepare(sr.recent_readings(chosen, max_rows)), pollutant)
+
+
+def city_series(fact: DataFrame, city: str, pollutant: str) -> DataFrame:
+    """One pollutant of one displayed city, read by its stored spellings."""
+    return sr.city_series(prepare(sl.filter_stored(fact, [city])), city, pollutant)
+
+
+def pollutant_profile(fact: DataFrame, city: str) -> DataFrame:
+    """The measured pollutants of a displayed city's latest reading, read by its stored spellings."""
+    return pf.pollutant_profile(prepare(sl.filter_stored(fact, [city])), city)
+
+
+def default_selection(fact: DataFrame, categories: Sequence[str] | None = None, count: int = 3) -> DataFrame:
+    """Prepared readings of the first cities in sort order, the selection a monitor starts with."""
+    cities = [row["city"] for row in default_cities(fact, count).collect()]
+    return prepare(sl.filter_stored(fact, cities, categories))
 
 
 def refresh(
@@ -65,9 +95,10 @@ def refresh(
     *,
     cities: Sequence[str] | None = None,
     categories: Sequence[str] | None = None,
+    first_cities: int | None = None,
     pollutant: str = "pm25",
     location: str | None = None,
-    max_rows: int = sr.LOG_SIZE,
+    max_rows: int | None = sr.LOG_SIZE,
     row_limit: int | None = None,
     names: DataFrame | None = None,
     partials: DataFrame | None = None,
@@ -75,26 +106,26 @@ def refresh(
 ) -> dict[str, DataFrame]:
     """Every table of the monitor, lazily, for a selection of displayed cities and categories.
 
-    Without `cities` the first three are selected. `row_limit` bounds all outputs to the newest
+    None means no restriction; `first_cities=3` selects the first three cities, as a monitor starts. The selection is
+    resolved to stored names once, here, and filters the stored columns. `row_limit` bounds all outputs to the newest
     rows (`operators.series.RECENT_LIMIT` gives the classic view); by default nothing is cut.
 
-    Each table is a query of its own. A caller that shows many of them first writes three small
-    tables, `common_names(fact)`, `rollup(fact)` and `newest_readings(fact)`, and passes what it reads
-    back as `names`, `partials` and `newest`. Six tables then come from the rollup and five from the
-    newest readings, the trend reads one hour, and only series and log still read the stored rows.
+    Each table is a query of its own. A caller that shows many of them first writes small tables, `rollup(fact)` and
+    `newest_readings(fact)`, and passes what it reads back as `partials` and `newest`; `names`, from
+    `stored_names(fact)`, pays where most rows are shown. Six tables then come from the rollup and five from the newest
+    readings, the trend reads one hour, and only series and log still read the stored rows.
     """
     fact = sr.recent_readings(fact, row_limit)
-    prepared = prepare(fact, common_names(fact) if names is None else names)
     partials = rl.rollup(fact) if partials is None else partials
     newest = newest_readings(fact) if newest is None else newest
-    first_cities = sl.first_values(partials, "city")
+    if first_cities is not None:
+        cities = [row["city"] for row in sl.first_values(partials, "city", first_cities).collect()]
+    stored = sl.filter_stored(fact, cities, categories)
 
     def select(rows: DataFrame) -> DataFrame:
-        if cities is None:
-            rows = sl.filter_default_selection(rows, first_cities)
         return sl.filter_selection(rows, cities, categories)
 
-    chosen, totals, candidates = select(prepared), select(partials), select(newest)
+    chosen, totals, candidates = prepare(stored, names), select(partials), select(newest)
     overview = rl.overview(totals)
     latest = lt.latest_per_city(candidates)
     trend = rl.trend(totals, chosen)
@@ -106,15 +137,19 @@ def refresh(
         "freshness": sm.shown_freshness(overview),
         "distribution": rl.distribution(totals),
         "latest": lt.by_aqi(latest),
+        "latest_ascending": lt.by_aqi(latest, worst_first=False),
+        "locations": sl.distinct_values(latest, "city"),
         "status": lt.status_panel(latest),
         "peak": lt.peak_city(latest),
         "gauge": lt.delta_to_threshold(lt.worst(latest)),
         "trend": trend,
         "trend_flag": sm.aqi_trend_flag(trend),
-        "series": sr.time_series(chosen),
-        "log": sr.log_table(sr.recent_readings(chosen, sr.log_size(max_rows)), pollutant),
+        # A chart needs no total order; `time_series` sorts where one is wanted.
+        "series": sr.time_series(chosen, ordered=False),
+        "log": sr.log_table(prepare(sr.recent_readings(stored, max_rows), names), pollutant),
     }
     if location is not None:
         tables["profile"] = pf.pollutant_profile(candidates, location)
-        tables["pollutant_series"] = sr.city_series(chosen, location, pollutant)
+        tables["pollutant_series"] = sr.city_series(
+            prepare(sl.filter_stored(stored, [location])), location, pollutant)
     return tables

@@ -32,7 +32,7 @@ NOT_AVAILABLE = "N/A"
 POLLUTANTS = tuple(row[0] for row in POLLUTANT_ROWS)
 POLLUTANT_LABELS = {row[0]: row[2] for row in POLLUTANT_ROWS}
 
-# A station's reply as landed. `aqi` stays text so that a placeholder survives to the null filter.
+# A station's reply as landed. Numbers stay text: some come quoted, some are placeholders.
 RESPONSE = T.StructType([
     T.StructField("feed", T.StringType()),
     T.StructField("status", T.StringType()),
@@ -40,7 +40,7 @@ RESPONSE = T.StructType([
         T.StructField("aqi", T.StringType()),
         T.StructField("city", T.StructType([T.StructField("name", T.StringType())])),
         T.StructField("iaqi", T.MapType(
-            T.StringType(), T.StructType([T.StructField("v", T.DoubleType())]))),
+            T.StringType(), T.StructType([T.StructField("v", T.StringType())]))),
         T.StructField("dominentpol", T.StringType()),
         T.StructField("time", T.StructType([T.StructField("iso", T.StringType())])),
     ])),
@@ -55,6 +55,9 @@ RAW = T.StructType([
     T.StructField("recorded_at", T.StringType()),
 ])
 
+# Raw readings as files hold them: numbers as text, quoted or not.
+RAW_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW])
+
 CLEAN = T.StructType([
     T.StructField("city", T.StringType()),
     T.StructField("station", T.StringType()),

@@ -9,28 +9,24 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from hazeworks.operators.dedup import dedup_readings
 from hazeworks.operators.keys import without_key
 from hazeworks.operators.quality import require_rows
 from hazeworks.operators.upsert import new_readings
 from hazeworks.schemas import FACT, PARTITION_COLUMN, READING_COLUMNS
 
-# Up to this many dates a batch prunes by list, beyond it by range; both read all that can match.
-MAX_LISTED_DATES = 366
-
 
 @dataclass(frozen=True)
 class BatchDates:
     """Measurement dates of a batch and its row count: what the pruning of the table needs."""
 
     rows: int
-    dates: tuple[date, ...] | None
-    first: date | None
-    last: date | None
+    dates: tuple[date, ...]
     undated: bool
 
     def partition_filter(self) -> Column:
         column = F.col(PARTITION_COLUMN)
-        dated = column.isin(list(self.dates)) if self.dates is not None else column.between(self.first, self.last)
+        dated = column.isin(list(self.dates))
         return (dated | column.isNull()) if self.undated else dated
 
 
@@ -49,15 +45,11 @@ def batch_dates(batch: DataFrame) -> BatchDates:
     per_date = batch.groupBy(F.to_date("recorded_at").alias("day")).agg(F.count("*").alias("rows"))
     row = per_date.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.min("day").alias("first"),
-        F.max("day").alias("last"),
-        F.count("day").alias("n_days"),
         F.count_if(F.col("day").isNull()).alias("n_undated"),
-        # One entry per calendar day at most, so the list stays small.
+        # One entry per calendar day at most: a century has 36,525.
         F.collect_set("day").alias("days"),
     ).first()
-    listed = tuple(sorted(row["days"])) if row["n_days"] <= MAX_LISTED_DATES else None
-    return BatchDates(row["rows"], listed, row["first"], row["last"], row["n_undated"] > 0)
+    return BatchDates(row["rows"], tuple(sorted(row["days"])), row["n_undated"] > 0)
 
 
 @dataclass(frozen=True)
@@ -77,7 +69,7 @@ class FactStore:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FACT)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} ({columns}) USING parquet "
-            f"PARTITIONED BY ({PARTITION_COLUMN}) LOCATION '{self.path}'")
+            f"PARTITIONED BY ({PARTITION_COLUMN}) LOCATION :place", args={"place": self.path})
 
     def _stored(self) -> DataFrame:
         if self.table is None:
@@ -99,7 +91,9 @@ class FactStore:
         dates: BatchDates | None = None,
         allow_empty: bool = False,
     ) -> LoadResult:
-        """Append the clean readings whose key is not stored yet. Assumes one writer at a time.
+        """Append the clean readings whose key is not stored yet, each key once. Assumes one writer at a time.
+
+        Of readings that share a key in the batch, the first in a fixed order is stored; the others count as skipped.
 
         Re-running a load that was cut off is safe: the keys it did write are skipped. `fetched_at`
         stamps the batch unless the batch brings its own; the default is the time of the write.
@@ -116,7 +110,8 @@ class FactStore:
         if "fetched_at" not in batch.columns:
             stamp = F.lit(fetched_at).cast("timestamp") if fetched_at else F.current_timestamp()
             batch = batch.withColumn("fetched_at", stamp)
-        fresh = new_readings(batch, self.read_dates(dates)).withColumn(
+        unique = dedup_readings(batch, keep_key=True)
+        fresh = new_readings(unique, self.read_dates(dates)).withColumn(
             PARTITION_COLUMN, F.to_date("recorded_at")
         ).select(*[F.col(field.name).cast(field.dataType) for field in FACT])
         inserted = Observation()
@@ -136,5 +131,5 @@ class FactStore:
 
 def write_jdbc(readings: DataFrame, options: dict[str, str], table: str, writers: int = 16) -> None:
     """Append to a database table with a bounded number of connections; nothing is deduplicated."""
-    readings.coalesce(writers).write.format("jdbc").options(**options).options(
+    readings.repartition(writers).write.format("jdbc").options(**options).options(
         dbtable=table, batchsize=10_000).mode("append").save()

