@@ -11,8 +11,8 @@ size (`block_mb`), the vectors stay where they are, and each shard reports its k
 
 Cases: vectors that are null, zero or hold null or non-finite components take no part, nor do those of another length
 than the most frequent one (the smallest, if several are); rows with the query's own id are no candidates; equal
-vectors are ties, and the smaller id comes first, all vectors at projected distance zero being verified; an empty table
-gives an empty result.
+vectors are ties, and the smaller ids come first: a shard keeps the k + 1 smallest ids of equal vectors, more cannot be
+returned; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -49,6 +49,18 @@ class Tree:
         return (np.maximum(0, np.maximum(self.low - query, query - self.high)) ** 2).sum(1)
 
 
+def few_of_equal(ids: np.ndarray, points: np.ndarray, most: int) -> np.ndarray:
+    """Rows, of equal vectors only the `most` smallest ids: no search can return more of them."""
+    by = np.argsort(ids, kind="stable")
+    whole = np.ascontiguousarray(points[by] + 0.0).view(np.dtype((np.void, points.itemsize * points.shape[1]))).ravel()
+    _, group = np.unique(whole, return_inverse=True)
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    new = np.concatenate(([True], np.diff(group) != 0))
+    place = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    return by[order[place < most]]
+
+
 def chi_square_below(x: float, half: int) -> float:
     """The chi-square distribution function for 2 * half degrees of freedom."""
     term, total = 1.0, 1.0
@@ -113,6 +125,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec
 
             def shard() -> pa.RecordBatch:
                 own, points = np.concatenate(ids), np.concatenate(held)
+                some = few_of_equal(own, points, k + 1)  # one may be the query's own
+                own, points = own[some], points[some]
                 tree, (names, wanted) = Tree(points @ base), asked.value
                 found = [search(tree, points, own, q, q @ base, n, k, half, sure)
                          for n, q in zip(names.tolist(), wanted, strict=True)]

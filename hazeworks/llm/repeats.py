@@ -14,7 +14,7 @@ An anchor with more than `most` different contexts (a line in very many document
 homes send the hashes of its windows in step 2 instead, which spread over all buckets, and equal ones combine. No
 window is left out either way.
 
-Hashes: contexts are compared under one anchor by anchor and context hash, 128 bits together.
+Contexts are taken as equal if anchor and context hash are, windows sent as hashes if two hashes are: 128 bits each.
 """
 
 from __future__ import annotations
@@ -65,6 +65,7 @@ class Part:
     ends: np.ndarray
     bounds: np.ndarray  # symbols of documents
     hashed: tx.Hashed
+    symbols: np.ndarray
     anchor: np.ndarray
     context: np.ndarray
     low: np.ndarray
@@ -112,14 +113,16 @@ def parts(table: pa.Table, scheme: Scheme) -> Iterator[Part]:
         some, where = data[offsets[x]:offsets[y]], offsets[x:y + 1] - offsets[x]
         if scheme.by_words:
             starts, ends, bounds = tx.words(some, where)
-            hashed = tx.Hashed(tx.word_hashes(some, starts, ends))
+            symbols = tx.word_hashes(some, starts, ends)
         else:
-            starts, bounds, hashed = np.arange(len(some)), where, tx.Hashed(some)
+            starts, bounds, symbols = np.arange(len(some)), where, some
             ends = starts + 1
+        hashed = tx.Hashed(symbols)
         place, low, high, anchor = anchor_runs(hashed, bounds, scheme.window, scheme.gram)
         context = hashed.of(low, high + scheme.window) ^ tx.mix((place - low).astype(np.uint64))
         doc = np.searchsorted(bounds, low, "right") - 1
-        yield Part(x, some, where, starts, ends, bounds, hashed, anchor, context, low, high, place - low, doc + x)
+        yield Part(x, some, where, starts, ends, bounds, hashed, symbols, anchor, context, low, high, place - low,
+                   doc + x)
 
 
 def combined(keys: list[np.ndarray], least: np.ndarray, many: np.ndarray):
@@ -185,50 +188,51 @@ def meet_anchors(table: pa.Table, scheme: Scheme) -> pa.Table:
                    [anchor[keep], context[keep], kind[keep].astype(np.uint8), smallest[keep]])
 
 
-class Answers:
-    """What the buckets told a home."""
+def told_to(table: pa.Table, wide: int, kinds: bool = True) -> list[np.ndarray]:
+    """The columns of all answers to a home that have so many. Two sorts have four: with kinds of contexts (small
+    numbers), and with values of windows."""
+    blocks = [b for b in ex.gather(table)[1] if len(b) == wide and (wide != 4 or (b[2].dtype == np.uint8) == kinds)]
+    return [np.concatenate(c) for c in zip(*blocks, strict=True)] if blocks else []
 
-    def __init__(self, table: pa.Table, wide: int):
-        blocks = ex.gather(table)[1]
-        blocks = [b for b in blocks if len(b) == wide]
-        self.columns = [np.concatenate(c) for c in zip(*blocks, strict=True)] if blocks else []
 
-    def find(self, names: np.ndarray, key: np.ndarray, other: np.ndarray | None = None) -> np.ndarray:
-        """The row of each key, -1 if there is none."""
-        if not len(names):
-            return np.full(len(key), -1)
-        by = np.argsort(names, kind="stable")
-        at = by[np.minimum(np.searchsorted(names[by], key), len(names) - 1)]
-        held = names[at] == key
-        return np.where(held if other is None else held & other, at, -1)
+def find(names: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """The row of each key among names, -1 if there is none."""
+    if not len(names):
+        return np.full(len(key), -1)
+    by = np.argsort(names, kind="stable")
+    at = by[np.minimum(np.searchsorted(names[by], key), len(names) - 1)]
+    return np.where(names[at] == key, at, -1)
 
 
-def split_windows(part: Part, run: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All windows of some runs: their starts, hashes and runs."""
+def split_windows(part: Part, run: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of some runs: their starts, two hashes of each, and their runs."""
+    if not len(run):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), run
     sizes = part.high[run] - part.low[run] + 1
     start = np.repeat(part.low[run] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-    return start, part.hashed.of(start, start + window), np.repeat(run, sizes)
+    other = tx.Hashed(tx.mix(part.symbols.astype(np.uint64) + np.uint64(7)))
+    return start, part.hashed.of(start, start + window), other.of(start, start + window), np.repeat(run, sizes)
 
 
 def send_contexts(docs: pa.Table, told: pa.Table, scheme: Scheme, buckets: int) -> pa.Table:
     """Texts and lists of contexts to compare, and hashes of windows to count."""
-    answer = Answers(told, 4).columns
+    answer = told_to(told, 4)
     if not answer or not docs.num_rows:
         return ex.blocks_table([])
     anchor, context, kind, _ = answer
     asked = (kind & (COPY | LISTED)) > 0
     anchor, context, kind, split = anchor[asked], context[asked], kind[asked], np.unique(anchor[kind == SPLIT])
-    ids, look = doc_ids(docs, scheme), Answers(ex.blocks_table([]), 0)
+    ids = doc_ids(docs, scheme)
     keys, texts, windows = [], [], []
     for p in parts(docs, scheme):
-        at = look.find(context, p.context)
+        at = find(context, p.context)
         run = np.flatnonzero(at >= 0)
         run = run[anchor[at[run]] == p.anchor[run]]
         keys.append((p.anchor[run], p.context[run], ids[p.doc[run]], p.place[run].astype(np.uint32)))
         for r, row in zip(run, at[run], strict=True):
             texts.append(p.text(r, scheme.window) if kind[row] & COPY else None)
-        start, hashes, owner = split_windows(p, np.flatnonzero(np.isin(p.anchor, split)), scheme.window)
-        windows.append((hashes, ids[p.doc[owner]]))
+        _, *names, owner = split_windows(p, np.flatnonzero(np.isin(p.anchor, split)), scheme.window)
+        windows.append((*names, ids[p.doc[owner]]))
     home = int(docs[ex.HOME][0].as_py())
     columns = [np.concatenate(c) for c in zip(*keys, strict=True)]
     (anchor, context), least, _, example = combined(columns[:2], columns[2], np.ones(len(columns[0]), np.uint8))
@@ -241,23 +245,26 @@ def send_contexts(docs: pa.Table, told: pa.Table, scheme: Scheme, buckets: int)
         sizes = np.array([len(t) for t in chosen[x:y]], np.int32)
         rows.append((int(b), home, ex.pack(
             anchor[x:y], context[x:y], least[x:y], sizes, place[x:y], np.concatenate(chosen[x:y]))))
-    hashes, smallest = (np.concatenate(c) for c in zip(*windows, strict=True))
-    (hashes,), smallest, many, _ = combined([hashes], smallest, np.ones(len(hashes), np.uint8))
-    return ex.blocks_table(rows + ex.to_buckets(home, hashes, [smallest, many], buckets))
+    *names, smallest = (np.concatenate(c) for c in zip(*windows, strict=True))
+    (name, other), smallest, many, _ = combined(names, smallest, np.ones(len(smallest), np.uint8))
+    return ex.blocks_table(rows + ex.to_buckets(home, name, [other, smallest, many], buckets))
 
 
 def compare_contexts(table: pa.Table, scheme: Scheme) -> pa.Table:
     """For each listed context, the smallest document of each of its windows; the same for windows sent as hashes."""
     homes, blocks = ex.gather(table)
     bucket, out = int(table[ex.BUCKET][0].as_py()), []
-    sent = [(h, b) for h, b in zip(homes, blocks, strict=True) if len(b) == 3]
+    sent = [(h, b) for h, b in zip(homes, blocks, strict=True) if len(b) == 4]
     if sent:
         who = np.repeat([h for h, _ in sent], [len(b[0]) for _, b in sent])
-        hashes, least, many = (np.concatenate(c) for c in zip(*(b for _, b in sent), strict=True))
-        (name,), smallest, number, _ = combined([hashes], least, many)
-        at = np.searchsorted(name, hashes)
-        keep = number[at] > 1
-        out.append(answers(bucket, who[keep], [hashes[keep], smallest[at][keep]]))
+        name, other, least, many = (np.concatenate(c) for c in zip(*(b for _, b in sent), strict=True))
+        by = np.lexsort((other, name))
+        who, name, other, least, many = who[by], name[by], other[by], least[by], many[by]
+        new = np.concatenate(([True], (np.diff(name) != 0) | (np.diff(other) != 0)))
+        group, at = np.cumsum(new) - 1, np.flatnonzero(new)
+        keep = np.add.reduceat(many.astype(np.int64), at)[group] > 1
+        smallest = np.minimum.reduceat(least, at)[group]
+        out.append(answers(bucket, who[keep], [name[keep], other[keep], smallest[keep]]))
     sent = [(h, b) for h, b in zip(homes, blocks, strict=True) if len(b) == 6]
     if sent:
         who = np.repeat([h for h, _ in sent], [len(b[0]) for _, b in sent])
@@ -295,19 +302,8 @@ def compare_contexts(table: pa.Table, scheme: Scheme) -> pa.Table:
 
 def removed_windows(docs: pa.Table, told: pa.Table, scheme: Scheme) -> Iterator[tuple[Part, np.ndarray]]:
     """For each part of a home, the starts of the windows to remove."""
-    blocks = ex.gather(told)[1]
-
-    def columns(wide: int) -> list[np.ndarray]:
-        some = [b for b in blocks if len(b) == wide]
-        return [np.concatenate(c) for c in zip(*some, strict=True)] if some else []
-
-    ids, look = doc_ids(docs, scheme), Answers(ex.blocks_table([]), 0)
-    # Blocks differ by their columns: 4 with kinds or with window values, 2 with window hashes.
-    kinds = [b for b in blocks if len(b) == 4 and b[2].dtype == np.uint8]
-    values = [b for b in blocks if len(b) == 4 and b[2].dtype != np.uint8]
-    kinds = [np.concatenate(c) for c in zip(*kinds, strict=True)] if kinds else []
-    values = [np.concatenate(c) for c in zip(*values, strict=True)] if values else []
-    hashes = columns(2)
+    ids = doc_ids(docs, scheme)
+    kinds, values, hashes = told_to(told, 4), told_to(told, 4, kinds=False), told_to(told, 3)
     split = np.unique(kinds[0][kinds[2] == SPLIT]) if kinds else np.zeros(0, np.uint64)
     begins = np.concatenate(([0], np.cumsum(values[2], dtype=np.int64))) if values else None
     for p in parts(docs, scheme):
@@ -315,13 +311,13 @@ def removed_windows(docs: pa.Table, told: pa.Table, scheme: Scheme) -> Iterator[
         if kinds:
             whole = (kinds[2] & WHOLE) > 0
             anchor, context, _, smallest = (c[whole] for c in kinds)
-            at = look.find(context, p.context)
+            at = find(context, p.context)
             run = np.flatnonzero(at >= 0)
             run = run[(anchor[at[run]] == p.anchor[run]) & (smallest[at[run]] < _below(ids[p.doc[run]], scheme))]
             sizes = p.high[run] - p.low[run] + 1
             gone.append(np.repeat(p.low[run] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum()))
         if values:
-            at = look.find(values[1], p.context)
+            at = find(values[1], p.context)
             run = np.flatnonzero(at >= 0)
             run = run[values[0][at[run]] == p.anchor[run]]
             sizes = p.high[run] - p.low[run] + 1
@@ -330,9 +326,10 @@ def removed_windows(docs: pa.Table, told: pa.Table, scheme: Scheme) -> Iterator[
             hit = value < np.repeat(_below(ids[p.doc[run]], scheme), sizes)
             gone.append((np.repeat(p.low[run], sizes) + inside)[hit])
         if hashes and len(split):
-            start, name, owner = split_windows(p, np.flatnonzero(np.isin(p.anchor, split)), scheme.window)
-            at = look.find(hashes[0], name)
-            hit = (at >= 0) & (hashes[1][np.maximum(at, 0)] < _below(ids[p.doc[owner]], scheme))
+            start, name, other, owner = split_windows(p, np.flatnonzero(np.isin(p.anchor, split)), scheme.window)
+            at = find(hashes[0], name)
+            row = np.maximum(at, 0)
+            hit = (at >= 0) & (hashes[1][row] == other) & (hashes[2][row] < _below(ids[p.doc[owner]], scheme))
             gone.append(start[hit])
         yield p, np.concatenate(gone)
 
