@@ -115,7 +115,7 @@ def parts(table: pa.Table, scheme: Scheme) -> Iterator[Part]:
             starts, ends, bounds = tx.words(some, where)
             symbols = tx.word_hashes(some, starts, ends)
         else:
-            starts, bounds, symbols = np.arange(len(some)), where, some
+            starts, bounds, symbols = np.arange(len(some), dtype=np.int32), where, some
             ends = starts + 1
         hashed = tx.Hashed(symbols)
         place, low, high, anchor = anchor_runs(hashed, bounds, scheme.window, scheme.gram)
@@ -147,9 +147,10 @@ def doc_ids(table: pa.Table, scheme: Scheme) -> np.ndarray:
 
 
 def send_anchors(table: pa.Table, scheme: Scheme, buckets: int) -> pa.Table:
-    ids, found = doc_ids(table, scheme), list(parts(table, scheme))
-    keys = [np.concatenate([getattr(p, n) for p in found] or [np.zeros(0, np.uint64)]) for n in ("anchor", "context")]
-    least = ids[np.concatenate([p.doc for p in found] or [np.zeros(0, np.int64)])]
+    none = np.zeros(0, np.uint64)
+    found = [(none, none, np.zeros(0, np.int64)), *((p.anchor, p.context, p.doc) for p in parts(table, scheme))]
+    *keys, doc = (np.concatenate(c) for c in zip(*found, strict=True))
+    least = doc_ids(table, scheme)[doc]
     (anchor, context), least, many, _ = combined(keys, least, np.ones(len(least), np.uint8))
     home = int(table[ex.HOME][0].as_py())
     return ex.blocks_table(ex.to_buckets(home, anchor, [context, least, many], buckets))
