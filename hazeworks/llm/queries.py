@@ -14,13 +14,14 @@ from hazeworks.llm.fm_substring import repeated_words
 from hazeworks.llm.licenses import scan
 from hazeworks.llm.lm_score import cross_entropy_difference
 from hazeworks.llm.resampling import resampled
-from hazeworks.llm.saving import shared_folder
+from hazeworks.llm.saving import let_workers_import, shared_folder
 from hazeworks.llm.simhash import near_duplicates
 from hazeworks.llm.suffix_dedup import repeated_bytes
 from hazeworks.llm.warc import archived
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

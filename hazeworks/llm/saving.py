@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -65,3 +67,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not shared and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{(shared or tempfile.mkdtemp(prefix='corpus-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Adds the folder of this package to the Python path of workers. It helps where they share a file system with the
+    driver, as in local mode; on a cluster, ship the package with --py-files."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, root])
