@@ -18,26 +18,30 @@ from pyspark.sql import functions as F
 from hazeworks.llm.decontam import decontaminated
 from hazeworks.llm.mixing import mix
 from hazeworks.llm.resampling import resampled
-from hazeworks.llm.saving import saved
+from hazeworks.llm.saving import let_workers_import, saved
 from hazeworks.llm.simhash import one_of_each
 from hazeworks.llm.suffix_dedup import without_repeated_bytes
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    let_workers_import(spark)
     return resampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    let_workers_import(spark)
     return one_of_each(docs)
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    let_workers_import(spark)
     cut = without_repeated_bytes(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if (
         "n_chars" in docs.columns) else cut
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    let_workers_import(spark)
     return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
