@@ -37,6 +37,7 @@ from hazeworks.sources import landed  # noqa: E402
 from hazeworks.sources.events import readings_from_events, responses_from_readings  # noqa: E402
 from hazeworks.sources.files import read_clean_text, read_raw  # noqa: E402
 from hazeworks.sources.scratch import scratch_dir  # noqa: E402
+from hazeworks.streaming.ingest import start_ingest, stream_raw  # noqa: E402
 try:  # a separate part, which may be absent
     import corpus_pipeline
     from hazeworks.llm import queries as corpus
@@ -123,6 +124,24 @@ def scan_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_time(store.read(), "recorded_at", "fetched_at")
 
 
+def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after two loads, the second of which brings the first one's keys again."""
+    store = FactStore(spark, scratch_dir(spark) + "/fact")
+    store.create()
+    store.append_new(stored_part(spark, sf_dir))
+    store.append_new(clean_batch(spark, sf_dir, keep_key=True))
+    return plain_time(store.read(), "recorded_at", "fetched_at")
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys stored by a stream over several landed files, one file a batch."""
+    folder = scratch_dir(spark)
+    raw_file_rows(spark, sf_dir).repartition(3, "city").write.json(f"{folder}/landing")
+    store = FactStore(spark, f"{folder}/fact")
+    start_ingest(stream_raw(spark, f"{folder}/landing", max_files=1), store, f"{folder}/checkpoint").awaitTermination()
+    return plain_time(store.read().select("city", "recorded_at"), "recorded_at")
+
+
 def parse_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = raw(spark, sf_dir)
     text = F.when(F.col("reading_id") % 17 == 0, "x").otherwise(
@@ -195,6 +214,8 @@ def queries() -> dict[str, Query]:
         "scan_raw": scan_raw,
         "scan_clean": scan_clean,
         "scan_fact": scan_fact,
+        "append_twice": append_twice,
+        "stream_ingest": stream_ingest,
         # Cleaning
         "clean_city": on_raw(lambda: [cl.clean_city(F.col("city")).alias("city")]),
         "clean_station": on_raw(lambda: [cl.clean_station(F.col("station")).alias("station")]),

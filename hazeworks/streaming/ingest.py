@@ -11,8 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from hazeworks.plans.load import load_raw
-from hazeworks.schemas import RAW, RESPONSE
+from hazeworks.schemas import RAW_TEXT, RESPONSE
 from hazeworks.sinks.fact import FactStore
+from hazeworks.sources.files import typed_raw
 from hazeworks.sources.landed import ingest
 
 
@@ -31,7 +32,7 @@ def stream_raw(
     spark: SparkSession, landing: str, max_files: int | None = None, archive: str | None = None,
 ) -> DataFrame:
     """Raw readings from a folder that fills with JSON Lines files."""
-    return _file_stream(spark, RAW, landing, max_files, archive)
+    return typed_raw(_file_stream(spark, RAW_TEXT, landing, max_files, archive))
 
 
 def stream_responses(

@@ -161,6 +161,9 @@ FROM (SELECT reading_id, list, unnest(range(len(list))) AS i FROM tokens)"""),
         "scan_raw": _sql(raw, f"""SELECT city, station, aqi, pm25, pm10, o3, no2, co, dominant_pollutant,
  {_ISO} AS recorded_at FROM readings"""),
         "scan_clean": _sql(_STORING, f"SELECT {_CLEAN_COLUMNS} FROM fact"),
+        "append_twice": _sql(_UPSERT, f"""SELECT {_COLUMNS} FROM stored
+UNION ALL SELECT {_COLUMNS} FROM fact f WHERE NOT {_KNOWN}"""),
+        "stream_ingest": _sql(_STORING, "SELECT city, recorded_at FROM fact"),
         "scan_fact": _sql(_STORING, f"SELECT {_COLUMNS} FROM fact"),
         "clean_city": _sql(raw, "SELECT reading_id, lower(trim(city)) AS city FROM readings"),
         "clean_station": _sql(raw, "SELECT reading_id, trim(station) AS station FROM readings"),

@@ -22,7 +22,7 @@ from hazeworks.plans import dashboard as db
 from hazeworks.sinks.fact import BatchDates, FactStore
 
 QUERIES = {k: q for k, q in entry_module.queries().items() if k not in entry_module.corpus_queries()}
-WRITING = {"scan_raw", "scan_clean", "scan_fact"}
+WRITING = {"scan_raw", "scan_clean", "scan_fact", "append_twice", "stream_ingest"}
 
 
 def plan_of(frame):
