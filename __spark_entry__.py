@@ -30,8 +30,9 @@ from hazeworks.operators.lookup import with_category_color, with_pollutant_name
 from hazeworks.operators.prepare import city_name, prepare, station_name, stored_names  # noqa: E402
 from hazeworks.operators.quality import quality_counts  # noqa: E402
 from hazeworks.plans import dashboard as db  # noqa: E402
+from hazeworks.plans.partials import Partials  # noqa: E402
 from hazeworks.schemas import POLLUTANTS, RAW  # noqa: E402
-from hazeworks.sinks.fact import FactStore  # noqa: E402
+from hazeworks.sinks.fact import FactStore, batch_dates  # noqa: E402
 from hazeworks.sinks.files import export_rows, stringify, write_clean_text, write_raw  # noqa: E402
 from hazeworks.sources import landed  # noqa: E402
 from hazeworks.sources.events import readings_from_events, responses_from_readings  # noqa: E402
@@ -133,6 +134,23 @@ def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_time(store.read(), "recorded_at", "fetched_at")
 
 
+def kept_partials(spark: SparkSession, sf_dir: str) -> Partials:
+    """Stored readings and the small tables beside them, after two loads."""
+    folder = scratch_dir(spark)
+    store = FactStore(spark, f"{folder}/fact")
+    store.create()
+    partials = Partials(store, f"{folder}/partials")
+    for batch in (stored_part(spark, sf_dir), clean_batch(spark, sf_dir)):
+        dates = batch_dates(batch)
+        store.append_new(batch, dates=dates)
+        partials.update(dates)
+    return partials
+
+
+def on_partials(plan: Callable[[Partials], DataFrame], *times: str) -> Query:
+    return lambda spark, sf_dir: plain_time(plan(kept_partials(spark, sf_dir)), *times)
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keys stored by a stream over several landed files, one file a batch."""
     folder = scratch_dir(spark)
@@ -216,6 +234,11 @@ def queries() -> dict[str, Query]:
         "scan_fact": scan_fact,
         "append_twice": append_twice,
         "stream_ingest": stream_ingest,
+        "overview_from_partials": on_partials(lambda p: rl.overview(p.read("rollup")), "last_seen"),
+        "distribution_from_partials": on_partials(lambda p: rl.distribution(p.read("rollup"))),
+        "latest_from_partials": on_partials(
+            lambda p: lt.by_aqi(lt.latest_per_city(p.read("newest"))), "recorded_at", "fetched_at"),
+        "recent_from_partials": on_partials(lambda p: p.recent_readings(2000), "recorded_at", "fetched_at"),
         # Cleaning
         "clean_city": on_raw(lambda: [cl.clean_city(F.col("city")).alias("city")]),
         "clean_station": on_raw(lambda: [cl.clean_station(F.col("station")).alias("station")]),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +47,8 @@ def _with_names(fact: DataFrame, names: DataFrame | None) -> DataFrame:
     return look_up(named, "station", station_name(F.col("station"), F.col("city")))
 
 
-def prepare(fact: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """All columns of the stored readings in their analysis form, unfiltered. No shuffle without `names`.
+def prepare(fact: DataFrame, names: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """All columns of the stored readings in their analysis form, and those to keep as they are, unfiltered. No shuffle without `names`.
 
     A display name takes several string operations. With `names` (see `stored_names`) they are looked up and only
     what is not listed is computed; the result is the same. Spark broadcasts the list where it is small enough, and
@@ -54,6 +56,7 @@ def prepare(fact: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """
     types = {field.name: field.dataType for field in fact.schema}
     return _with_names(fact, names).select(
+        *keep,
         "city",
         "station",
         *[to_number(name, types[name]).alias(name) for name in ("aqi", *POLLUTANTS)],

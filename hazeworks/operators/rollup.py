@@ -14,10 +14,14 @@ from hazeworks.operators.prepare import category_label, city_name, station_name
 from hazeworks.operators.summary import BASELINE_AGE, trend_row
 
 
-def rollup(fact: DataFrame) -> DataFrame:
-    """Partial aggregates of the stored readings under their display names, not merged by them."""
+def rollup(fact: DataFrame, *within: str) -> DataFrame:
+    """Partial aggregates of the stored readings under their display names, not merged by them.
+
+    `within` are further columns to group by. What is read off a rollup adds its rows up, so rollups of parts of the
+    table, one below the other, serve as the rollup of all.
+    """
     dated_aqi = F.when(F.col("fetched_at").isNotNull(), F.col("aqi"))
-    stored = fact.groupBy("city", "station", "aqi_category").agg(
+    stored = fact.groupBy(*within, "city", "station", "aqi_category").agg(
         F.count("*").alias("records"),
         F.sum("aqi").alias("aqi_sum"),
         F.count("aqi").alias("aqi_rows"),

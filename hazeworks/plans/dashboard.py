@@ -26,9 +26,10 @@ def latest_by_city(fact: DataFrame) -> DataFrame:
     return lt.latest_per_city(prepare(lt.latest_per_city(fact)))
 
 
-def newest_readings(fact: DataFrame) -> DataFrame:
+def newest_readings(fact: DataFrame, *within: str) -> DataFrame:
     """Latest reading per stored city and category, named: what any selection's latest rows come from."""
-    return prepare(lt.latest_per(fact, "city", "aqi_category"))
+    newest = lt.latest_per(fact, *within, "city", "aqi_category")
+    return prepare(newest, keep=within)
 
 
 def _named_cities(fact: DataFrame) -> DataFrame:

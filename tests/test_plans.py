@@ -22,7 +22,7 @@ from hazeworks.plans import dashboard as db
 from hazeworks.sinks.fact import BatchDates, FactStore
 
 QUERIES = {k: q for k, q in entry_module.queries().items() if k not in entry_module.corpus_queries()}
-WRITING = {"scan_raw", "scan_clean", "scan_fact", "append_twice", "stream_ingest"}
+WRITING = {"scan_raw", "scan_clean", "scan_fact", "append_twice", "stream_ingest"} | {n for n in QUERIES if n.endswith("_from_partials")}
 
 
 def plan_of(frame):
@@ -216,3 +216,18 @@ def test_long_form_does_not_shuffle(spark, store):
     from hazeworks.operators.profile import pollutant_long
     plan = plan_of(pollutant_long(prepare(store.read())))
     assert "Exchange hash" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_recent_rows_skip_old_row_groups(spark, store, tmp_path):
+    from hazeworks.plans.partials import Partials
+    from hazeworks.sinks.fact import batch_dates
+
+    partials = Partials(store, str(tmp_path / "partials"))
+    partials.update(batch_dates(store.read()))
+    recent = partials.recent_readings(20)
+    assert recent.collect() == sr.recent_readings(store.read(), 20).collect()
+    execution = recent._jdf.queryExecution()
+    execution.toRdd().count()
+    assert max(scanned_rows(execution.executedPlan())) < store.read().count() / 5
+    partials.update(batch_dates(store.read()))  # again: nothing twice
+    assert partials.read("hours").agg({"rows": "sum"}).first()[0] == store.read().count()
