@@ -75,6 +75,15 @@ def pair_name(fp: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(fp * np.uint64(3) ^ mix(second))
 
 
+def telling_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = 5) -> np.ndarray:
+    """Hashes of the distinct words of `size` bytes or more, or of all words if those are few. The short words of a
+    language are in all its texts and would pull their fingerprints together."""
+    long = ends - starts >= size
+    if long.sum() >= 5:
+        starts, ends = starts[long], ends[long]
+    return np.unique(word_hashes(data, starts, ends)) if len(starts) else np.zeros(0, np.uint64)
+
+
 def double_fingerprints(docs: DataFrame, shingle: int = 5, seed: int = 42) -> DataFrame:
     """(doc_id, fp, second, node): fingerprints of the distinct words and of the shingles, and a name for both."""
 
@@ -87,7 +96,7 @@ def double_fingerprints(docs: DataFrame, shingle: int = 5, seed: int = 42) -> Da
             for i, (x, y) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
                 own = LOWER[data[x:y]]
                 starts, ends, _ = words(own, np.array([0, y - x]))
-                first[i] = majority(np.unique(word_hashes(own, starts, ends))) if len(starts) else 0
+                first[i] = majority(telling_words(own, starts, ends))
                 second[i] = fingerprint(raw[x:y], shingle, seed)
             columns = [pa.array(c.view(np.int64)) for c in (first, second, pair_name(first, second))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *columns],
@@ -97,11 +106,18 @@ def double_fingerprints(docs: DataFrame, shingle: int = 5, seed: int = 42) -> Da
 
 
 def masks(radius: int, level: int = 0) -> list[int]:
-    """The masks of all nonzero vectors, as signed 64-bit numbers."""
+    """The masks of all nonzero vectors, as signed 64-bit numbers.
+
+    Any choice of the places' vectors has the guarantee; of some random ones, that whose smallest mask is largest keeps
+    all tables selective.
+    """
     size = 1 << (radius + 1)
-    vectors = np.resize(np.arange(1, size), 64)
-    np.random.default_rng(level).shuffle(vectors)
-    odd = np.bitwise_count(vectors[None, :] & np.arange(1, size)[:, None]) & 1
+    best = 0
+    for seed in range(200):
+        vectors = np.resize(np.random.default_rng((level, seed)).permutation(np.arange(1, size)), 64)
+        tried = np.bitwise_count(vectors[None, :] & np.arange(1, size)[:, None]) & 1
+        if tried.sum(1).min() > best:
+            best, odd = tried.sum(1).min(), tried
     return [int(np.packbits(row.astype(np.uint8), bitorder="little").view(np.int64)[0]) for row in odd]
 
 
@@ -218,7 +234,7 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
 def one_of_each(docs: DataFrame, radius: int = 6, limit: int = 12, shingle: int = 5, most: int = 2000) -> DataFrame:
     """The documents, all columns, of which no near-duplicate has a smaller id; of repeated rows, one.
 
-    Two fingerprints a document: of its distinct words, which few edits hardly move, so that covering tables of a small
+    Two fingerprints a document: of its distinct longer words, which few edits hardly move, so that covering tables of a small
     radius find texts with four fifths of their five-word shingles in common; and of its shingles, to tell those from
     texts that only use the same words. Links need both; a shingle similarity of 0.8 is ten bits apart on average.
     """
