@@ -75,7 +75,7 @@ def pair_name(fp: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(fp * np.uint64(3) ^ mix(second))
 
 
-def telling_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = 5) -> np.ndarray:
+def telling_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = 3) -> np.ndarray:
     """Hashes of the distinct words of `size` bytes or more, or of all words if those are few. The short words of a
     language are in all its texts and would pull their fingerprints together."""
     long = ends - starts >= size
