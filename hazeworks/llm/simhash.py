@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeworks.llm.components import components
@@ -232,7 +232,8 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
 
 
 def one_of_each(docs: DataFrame, radius: int = 6, limit: int = 12, shingle: int = 5, most: int = 2000) -> DataFrame:
-    """The documents, all columns, of which no near-duplicate has a smaller id; of repeated rows, one.
+    """The documents, all columns, of which no near-duplicate has a smaller id; of rows with one id, that with the
+    smallest text. Rows without an id stay, since nothing can name them.
 
     Two fingerprints a document: of its distinct longer words, which few edits hardly move, so that covering tables of a small
     radius find texts with four fifths of their five-word shingles in common; and of its shingles, to tell those from
@@ -243,5 +244,7 @@ def one_of_each(docs: DataFrame, radius: int = 6, limit: int = 12, shingle: int
         F.min("fp").alias("fp"), F.min("second").alias("second"), F.min("doc_id").alias("first_doc")))
     roots = components(linked(classes.select("fp", "second"), radius, most, limit))
     rooted = classes.select("node", "first_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = rooted.groupBy("root").agg(F.min("first_doc").alias("__kept")).select("__kept")
-    return docs.dropDuplicates(["doc_id"]).join(kept, F.col("doc_id").eqNullSafe(F.col("__kept"))).drop("__kept")
+    kept = rooted.groupBy("root").agg(F.min("first_doc").alias("doc_id")).select("doc_id")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    named = docs.join(kept, "doc_id", "left_semi").withColumn("__first", first).where(F.col("__first") == 1)
+    return named.drop("__first").unionByName(docs.where(F.col("doc_id").isNull()))
