@@ -21,7 +21,6 @@ from hazeworks.operators import clean as cl  # noqa: E402
 from hazeworks.operators import latest as lt  # noqa: E402
 from hazeworks.operators import profile as pf  # noqa: E402
 from hazeworks.operators import rollup as rl  # noqa: E402
-from hazeworks.operators import selection as sl  # noqa: E402
 from hazeworks.operators import series as sr  # noqa: E402
 from hazeworks.operators import summary as sm  # noqa: E402
 from hazeworks.operators import upsert as up  # noqa: E402

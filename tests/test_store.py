@@ -16,8 +16,7 @@ from hazeworks.operators.quality import EmptyBatchError
 from hazeworks.plans.load import load_raw
 from hazeworks.plans.session import configure, shuffle_partitions
 from hazeworks.schemas import CLEAN, RAW, READING_COLUMNS
-from hazeworks.sinks import fact as fact_module
-from hazeworks.sinks.fact import BatchDates, FactStore, batch_dates
+from hazeworks.sinks.fact import FactStore, batch_dates
 from hazeworks.sinks.files import export_csv, stringify, write_clean_text, write_raw
 from hazeworks.sources import landed
 from hazeworks.sources.files import read_clean_text, read_raw
