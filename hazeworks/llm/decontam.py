@@ -1,9 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs of letters, digits and anything beyond ASCII, lower-cased (A-Z). Every n-gram of a benchmark item is
-counted over the whole corpus; of every `spread` n-grams in a row the rarest is a seed, so each stretch of an item has
-one, however often it was copied. Documents with a seed of an item are aligned with that item around the seeds, in
-words: match 2, mismatch -1, gap -1. The score is the best local alignment's, divided by that of an exact copy.
+Words are runs of letters, digits and anything beyond ASCII, lower-cased (A-Z). Every n-gram of a benchmark item is a
+seed. Documents with a seed of an item are aligned with that item around the seeds, in words: match 2, mismatch -1,
+gap -1. The score is the best local alignment's, divided by that of an exact copy. A document holds an item if the score
+is `least` or more, or if it has `verbatim` words in a row of the item, whose share of a long item may be small.
+
+Alignments without n equal words in a row (every third word replaced) have no seed and are not found.
 
 The benchmark is sent to all tasks in blocks of `block_words` words at most (or one item, if that is longer); a larger
 benchmark takes more passes over the documents. Documents are never moved, whatever their number of copies.
@@ -52,18 +54,6 @@ class Items:
     item: np.ndarray
     place: np.ndarray
 
-    def seeds(self, counts: np.ndarray, spread: int) -> Items:
-        """Only the rarest of every `spread` n-grams in a row of an item."""
-        rare = counts[self.of]
-        keep = np.zeros(len(self.of), bool)
-        for i in np.unique(self.item):
-            at = np.flatnonzero(self.item == i)
-            width = min(spread, len(at))
-            windows = np.lib.stride_tricks.sliding_window_view(rare[at], width)
-            keep[at[windows.argmin(1) + np.arange(len(windows))]] = True
-        names, of = np.unique(self.of[keep], return_inverse=True)
-        return Items(self.ids, self.words, self.bounds, self.n, self.names[names], of, self.item[keep], self.place[keep])
-
 
 def items_of(table: pa.Table, n: int) -> Items:
     data, offsets = tx.utf8(table["text"])
@@ -103,24 +93,6 @@ def batches_of(batch: pa.RecordBatch):
         yield x, words, bounds
 
 
-def count_grams(docs: DataFrame, items: Items) -> np.ndarray:
-    """How often each n-gram of the items occurs in all documents (across their ends too, which is of no account)."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(shared.value.names), np.int64)
-        for batch in batches:
-            for _, words, _ in batches_of(batch):
-                total += np.bincount(found(shared.value.names, gram_values(words, shared.value.n))[1], minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["gram", "n"])
-
-    counts = np.zeros(len(items.names), np.int64)
-    rows = docs.select("text").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    counts[rows["gram"].to_numpy()] = rows["n"].to_numpy()
-    return counts
-
-
 def local_scores(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best local alignment score of each row pair of two arrays of words, and where it ends in both."""
     rows, width = b.shape
@@ -139,7 +111,7 @@ def local_scores(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return best, end_a, end_b
 
 
-def align(items: Items, words: np.ndarray, bounds: np.ndarray, least: float):
+def align(items: Items, words: np.ndarray, bounds: np.ndarray, least: float, verbatim: int):
     """(text, item, score, first and last word) of alignments of some texts with the items they share seeds with."""
     places, gram = found(items.names, gram_values(words, items.n))
     by = np.argsort(items.of, kind="stable")
@@ -149,17 +121,24 @@ def align(items: Items, words: np.ndarray, bounds: np.ndarray, least: float):
     places = np.repeat(places, sizes)
     doc = np.searchsorted(bounds, places, "right") - 1
     inside = places + items.n <= bounds[doc + 1]
-    doc, item, diagonal = doc[inside], items.item[hit][inside], (places - items.place[hit])[inside]
+    doc, item, places, diagonal = doc[inside], items.item[hit][inside], places[inside], (places - items.place[hit])[inside]
     length = np.diff(items.bounds)
-    order = np.lexsort((diagonal, item, doc))
-    doc, item, diagonal = doc[order], item[order], diagonal[order]
+    order = np.lexsort((places, diagonal, item, doc))
+    doc, item, places, diagonal = doc[order], item[order], places[order], diagonal[order]
     if not len(doc):
         return []
-    slack = length[item] // 2 + 2
+    # seeds in a row on one diagonal are words in a row
+    apart = (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(diagonal) != 0) | (np.diff(places) != 1)
+    first = np.flatnonzero(np.concatenate(([True], apart)))
+    row_words = np.diff(np.concatenate((first, [len(doc)]))) + items.n - 1
+    copied = np.zeros(len(doc), bool)
+    copied[first] = row_words >= verbatim
+    # as many further words as an alignment with a score of `least` can have inside
+    slack = np.ceil(2 * (1 - least) * length[item]).astype(np.int64)
     new = np.concatenate(([True], (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(diagonal) > slack[1:])))
     at = np.flatnonzero(new)
     last = np.concatenate((at[1:], [len(doc)])) - 1
-    doc, item, slack = doc[at], item[at], slack[at]
+    doc, item, slack, copied = doc[at], item[at], slack[at], np.logical_or.reduceat(copied, at)
     low = np.maximum(bounds[doc], diagonal[at] - slack)
     high = np.minimum(bounds[doc + 1], diagonal[last] + length[item] + slack)
     order = np.argsort(high - low, kind="stable")
@@ -172,7 +151,7 @@ def align(items: Items, words: np.ndarray, bounds: np.ndarray, least: float):
             words, low[some], (high - low)[some], 1)
         best, end_a, end_b = local_scores(a, b)
         score = best / (2.0 * length[item[some]])
-        good = np.flatnonzero(score >= least)
+        good = np.flatnonzero((score >= least) | copied[some])
         if not len(good):
             continue
         # where it starts: the same, backwards from where it ends
@@ -204,18 +183,12 @@ def blocks(benchmark: DataFrame, block_words: int) -> Iterator[pa.Table]:
         yield benchmark.where(part == i).select("item_id", "text").toArrow().sort_by("item_id")
 
 
-def seeds(docs: DataFrame, benchmark: DataFrame, n: int, spread: int, block_words: int) -> Iterator[Items]:
-    for table in blocks(benchmark, block_words):
-        items = items_of(table, n)
-        yield items.seeds(count_grams(docs, items), spread)
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, n: int = 3, spread: int = 4,
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, n: int = 3, verbatim: int = 13,
                  block_words: int = 1_000_000) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word, n_item_words): documents that hold copies of items."""
     out = None
-    for items in seeds(docs, benchmark, n, spread, block_words):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+    for table in blocks(benchmark, block_words):
+        shared = docs.sparkSession.sparkContext.broadcast(items_of(table, n))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = shared.value
@@ -224,7 +197,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, n: i
                 ids, rows = batch.column("doc_id").to_pylist(), []
                 for x, words, bounds in batches_of(batch):
                     rows += [(ids[x + d], int(own.ids[i]), s, a, b, int(length[i]))
-                             for d, i, s, a, b in align(own, words, bounds, least)]
+                             for d, i, s, a, b in align(own, words, bounds, least, verbatim)]
                 columns = list(zip(*rows, strict=True)) or [()] * 6
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
@@ -235,18 +208,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, n: i
     return out
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, n: int = 3, spread: int = 4,
+def decontaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, n: int = 3, verbatim: int = 13,
                    block_words: int = 1_000_000) -> DataFrame:
     """The documents, all columns, that hold no copy of an item."""
     out = docs
-    for items in seeds(docs, benchmark, n, spread, block_words):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+    for table in blocks(benchmark, block_words):
+        shared = docs.sparkSession.sparkContext.broadcast(items_of(table, n))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
                 for x, words, bounds in batches_of(batch):
-                    clean[[x + m[0] for m in align(shared.value, words, bounds, least)]] = False
+                    clean[[x + m[0] for m in align(shared.value, words, bounds, least, verbatim)]] = False
                 yield batch.filter(pa.array(clean))
 
         out = out.mapInArrow(run, docs.schema)

@@ -181,6 +181,47 @@ def test_decontamination(spark):
     assert kept == {i for i in range(400) if i % 4}
 
 
+@pytest.mark.parametrize("every, size", [(4, 15), (4, 20), (5, 15), (5, 20), (5, 59)])
+def test_items_with_regular_edits(spark, every, size):
+    """Every 4th or 5th word replaced: each copy is found, whatever is rare in it."""
+    rng = np.random.default_rng(every * size)
+    items = [[f"v{w}" for w in rng.integers(0, 3000, size)] for _ in range(100)]
+    copies = [[f"new{i}" if i % every == every - 1 else w for i, w in enumerate(item)] for item in items]
+    fill = [f"f{i}" for i in range(30)]
+    docs = spark.createDataFrame([(k, " ".join([*fill, *c, *fill])) for k, c in enumerate(copies)], "doc_id long, text string")
+    # each n-gram as often as chance has it, so that the rarest ones lie anywhere
+    noise = spark.createDataFrame([(1000 + i, " ".join(items[i % 100][j:j + 3])) for i, j in enumerate(
+        rng.integers(0, size - 2, 2000).tolist())], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = decontam.contaminated(docs.unionByName(noise), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got if r.doc_id < 1000} == {(k, k) for k in range(100)}
+    assert {r.doc_id for r in decontam.decontaminated(docs, bench).collect()} == set()
+
+
+def test_excerpts_of_items(spark):
+    """Thirteen words in a row of an item are a copy, however long the item is; twelve are not."""
+    item = [f"w{i}" for i in range(59)]
+    fill = [f"f{i}" for i in range(40)]
+    rows = [(k, " ".join([*fill, *item[start:start + n], *fill]))
+            for k, (start, n) in enumerate([(20, 20), (0, 13), (46, 13), (20, 12), (0, 0)])]
+    rows.append((5, " ".join([*item[:12], *fill, *item[30:42]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: (r.score, r.first_word, r.last_word) for r in decontam.contaminated(docs, bench).collect()}
+    assert got == {0: (20 / 59, 40, 59), 1: (13 / 59, 40, 52), 2: (13 / 59, 40, 52)}
+    assert {r.doc_id for r in decontam.decontaminated(docs, bench).collect()} == {3, 4, 5}
+
+
+def test_words_put_into_an_item(spark):
+    """As many further words inside a copy as its score allows."""
+    item = [f"w{i}" for i in range(20)]
+    more = [f"n{i}" for i in range(23)]
+    docs = spark.createDataFrame([(1, " ".join([*item[:11], *more[:9], *item[11:16], *more[9:], *item[16:]]))], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = decontam.contaminated(docs, bench).collect()
+    assert [(r.score, r.first_word) for r in got] == [(23 / 40, 0)]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_alignment_equals_dynamic_programming(seed):
     rng = np.random.default_rng(seed)
