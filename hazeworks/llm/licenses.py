@@ -13,6 +13,8 @@ no label and score 0; repeated rows are reported each; an empty table gives an e
 
 from __future__ import annotations
 
+import bisect
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -77,27 +79,43 @@ def tools(notices: tuple[tuple[str, str], ...]):
 
 
 def fuzzy(line: str, notices: tuple[tuple[str, str], ...]) -> list[tuple[int, int, int, int]]:
-    """(notice, start, end, errors) of all verified places, the best where candidates of a notice overlap."""
+    """(notice, start, end, errors) of all verified places: of those of a notice that overlap, the one with the fewest
+    errors, then the first."""
     if not notices:
         return []
     automaton, patterns = tools(notices)
-    windows: dict[int, list[list[int]]] = {}
+    windows: dict[int, set[tuple[int, int]]] = {}
     for end, (size, places) in automaton.iter(line):
         for i, offset in places:
             notice = notices[i][0]
             e = errors_of(notice)
-            low = max(0, end + 1 - size - offset - e)
-            high = min(len(line), end + 1 - size - offset + len(notice) + e)
-            own = windows.setdefault(i, [])
-            if own and own[-1][1] >= low:
-                own[-1][0], own[-1][1] = min(own[-1][0], low), max(own[-1][1], high)
-            else:
-                own.append([low, high])
+            low = end + 1 - size - offset - e
+            windows.setdefault(i, set()).add((max(0, low), min(len(line), low + len(notice) + 2 * e)))
     out = []
     for i, spans in windows.items():
+        least = len(notices[i][0]) - errors_of(notices[i][0])
+        found: list[tuple[int, int, int, int, int]] = []
+
+        def search(low: int, high: int) -> None:
+            if high - low >= least and (m := patterns[i].search(line[low:high])):
+                heapq.heappush(found, (sum(m.fuzzy_counts), low + m.start(), low + m.end(), low, high))
+
         for low, high in spans:
-            for m in patterns[i].finditer(line, low, high):
-                out.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
+            search(low, high)
+        taken: list[tuple[int, int]] = []
+        while found:
+            errors, x, y, low, high = heapq.heappop(found)
+            at = bisect.bisect_left(taken, (x, y))
+            before = taken[at - 1] if at else (0, 0)
+            after = taken[at] if at < len(taken) else (len(line), len(line))
+            if before[1] <= x and y <= after[0]:
+                taken.insert(at, (x, y))
+                out.append((i, x, y, errors))
+            else:
+                # what of the window lies on both sides of the better place
+                x, y = before if before[1] > x else after
+                search(low, min(x, high))
+                search(max(low, y), high)
     return sorted(out, key=lambda m: m[1:])
 
 

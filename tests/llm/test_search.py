@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from hazeworks.llm import ann, decontam, licenses, warc
@@ -144,6 +145,39 @@ def test_notices_with_errors(text, label, errors):
     assert min(s["errors"] for s in row[7] if s["label"] == label) == errors
 
 
+def recursive_places(line, notice, low, high):
+    """The best place of all, then the same before and behind it."""
+    e = licenses.errors_of(notice)
+    m = regex.compile(f"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={e}}}").search(line, low, high)
+    return [] if m is None else [*recursive_places(line, notice, low, m.start()), (m.start(), m.end(), sum(m.fuzzy_counts)),
+                                 *recursive_places(line, notice, m.end(), high)]
+
+
+def test_notices_next_to_each_other():
+    bad, good = "released under the mit licence", "released under the mit license"
+    for text, errors in ((f"{bad} {good}", [1, 0]), (f"{good} {bad}", [0, 1]), (f"{bad} {bad} {good} {bad}", [1, 1, 0, 1])):
+        spans = [s for s in licenses.scan_text(text.encode(), tuple(licenses.NOTICES.items()))[7] if s["label"] == "mit"]
+        assert [(s["first_word"], s["last_word"], s["errors"]) for s in spans] == [
+            (5 * i, 5 * i + 4, e) for i, e in enumerate(errors)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_notices_equal_search_of_whole_text(seed):
+    rng = np.random.default_rng(seed)
+    notices = tuple(licenses.NOTICES.items())
+    for _ in range(30):
+        notice = notices[int(rng.integers(len(notices)))][0]
+        copies = []
+        for _ in range(6):
+            letters = list(notice)
+            for at in rng.choice(len(letters) - 1, int(rng.integers(0, licenses.errors_of(notice) + 1)), replace=False):
+                letters[at] = ["", "q", letters[at] + "q"][int(rng.integers(3))]
+            copies.append("".join(letters) + ["", " ", " license "][int(rng.integers(3))])
+        line = " " + "".join(copies) + " "
+        got = [m[1:] for m in licenses.fuzzy(line, ((notice, "x"),))]
+        assert got == recursive_places(line, notice, 0, len(line))
+
+
 def test_no_notice():
     assert licenses.scan_text(b"an apache helicopter, licensed to fly under the radar", tuple(licenses.NOTICES.items()))[5] == ""
     assert licenses.scan_text("the mit licensee; mit-license".encode(), ())[1:6] == (1, 3, 3, "mit", "mit")
