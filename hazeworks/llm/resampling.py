@@ -1,9 +1,10 @@
 """Quality classifier by importance resampling.
 
 Generative models of hashed n-grams (words and runs of punctuation, lower-cased; one and two in a row) are fitted for
-target text (labelled good and not toxic) and for raw text. The target model is smoothed towards the counts of the
-whole corpus. Raw text is a mixture of the kinds of labelled rejects, each with its share among the labelled documents,
-so that a rare kind of bad text weighs in. A reject model has its own probability for the cells whose counts differ from
+target text (labelled good and not toxic) and for rejects. The target model is smoothed towards the counts of the
+whole corpus. In place of a model of all raw text (the README has the reason and the price), the denominator is a mixture
+of the kinds of labelled rejects, each with its share among the labelled documents, so that a rare kind of bad text
+weighs in. A reject model has its own probability for the cells whose counts differ from
 the target's beyond doubt (`least` n-grams, `factor` times, six deviations), within exp(`clip`) of the target's, and the
 target's, scaled to what is left, for all others; otherwise chance would drown the few words that tell.
 
