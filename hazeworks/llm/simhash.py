@@ -85,7 +85,8 @@ def telling_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size:
 
 
 def double_fingerprints(docs: DataFrame, shingle: int = 5, seed: int = 42) -> DataFrame:
-    """(doc_id, fp, second, node): fingerprints of the distinct words and of the shingles, and a name for both."""
+    """(doc_id, name, fp, second, node): a hash of the text, fingerprints of the distinct words and of the shingles, and a
+    name for both fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,10 +100,11 @@ def double_fingerprints(docs: DataFrame, shingle: int = 5, seed: int = 42) -> Da
                 first[i] = majority(telling_words(own, starts, ends))
                 second[i] = fingerprint(raw[x:y], shingle, seed)
             columns = [pa.array(c.view(np.int64)) for c in (first, second, pair_name(first, second))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *columns],
-                                             ["doc_id", "fp", "second", "node"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("name"), *columns],
+                                             ["doc_id", "name", "fp", "second", "node"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint, second bigint, node bigint")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("name")).mapInArrow(
+        run, "doc_id bigint, name bigint, fp bigint, second bigint, node bigint")
 
 
 def masks(radius: int, level: int = 0) -> list[int]:
@@ -232,19 +234,23 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
 
 
 def one_of_each(docs: DataFrame, radius: int = 6, limit: int = 12, shingle: int = 5, most: int = 2000) -> DataFrame:
-    """The documents, all columns, of which no near-duplicate has a smaller id; of rows with one id, that with the
-    smallest text. Rows without an id stay, since nothing can name them.
+    """The documents, all columns, of which no near-duplicate has a smaller id, or the same id and a text with a smaller
+    hash; of equal rows, one. Rows of one id whose texts are no near-duplicates all stay, as do rows without an id, since
+    nothing can name them.
 
     Two fingerprints a document: of its distinct longer words, which few edits hardly move, so that covering tables of a small
     radius find texts with four fifths of their five-word shingles in common; and of its shingles, to tell those from
     texts that only use the same words. Links need both; a shingle similarity of 0.8 is ten bits apart on average.
     """
     fps = saved(double_fingerprints(docs, shingle))
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "name"))
     classes = saved(fps.groupBy("node").agg(
-        F.min("fp").alias("fp"), F.min("second").alias("second"), F.min("doc_id").alias("first_doc")))
+        F.min("fp").alias("fp"), F.min("second").alias("second"), F.min(named).alias("first_doc")))
     roots = components(linked(classes.select("fp", "second"), radius, most, limit))
     rooted = classes.select("node", "first_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = rooted.groupBy("root").agg(F.min("first_doc").alias("doc_id")).select("doc_id")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    named = docs.join(kept, "doc_id", "left_semi").withColumn("__first", first).where(F.col("__first") == 1)
-    return named.drop("__first").unionByName(docs.where(F.col("doc_id").isNull()))
+    kept = rooted.groupBy("root").agg(F.min("first_doc").alias("first_doc")).select(
+        F.col("first_doc.doc_id").alias("doc_id"), F.col("first_doc.name").alias("__name"))
+    first = F.row_number().over(Window.partitionBy("doc_id", "__name").orderBy("text"))
+    firsts = docs.withColumn("__name", F.xxhash64("text")).join(kept, ["doc_id", "__name"], "left_semi").withColumn(
+        "__first", first).where(F.col("__first") == 1)
+    return firsts.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))

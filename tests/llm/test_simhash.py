@@ -93,6 +93,17 @@ def test_odd_rows(odd, clashing, empty):
     assert sh.one_of_each(empty).collect() == []
 
 
+def test_rows_that_share_an_id(spark):
+    """Different texts under one id are different documents; one row stays of each component."""
+    texts = [" ".join(f"{c}{i}" for i in range(80)) for c in "abc"]
+    near = texts[1] + " tail"
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[1]), (5, near), (5, texts[2]), (6, texts[0]), (7, near), (None, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sh.one_of_each(docs).collect()
+    assert sorted(r.text[0] for r in got if r.doc_id == 5) == ["a", "b", "c"]
+    assert {r.doc_id for r in got} == {5, None} and len(got) == 4
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(100, 140)] + [(500, k) for k in range(501, 560)] + [(7, 7)]
     roots = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
