@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeworks.llm import mixing
+from hazeworks.llm import collocations as phrases
+from hazeworks.llm import mixing, spelling
 from hazeworks.llm.ann import nearest
 from hazeworks.llm.decontam import contaminated
 from hazeworks.llm.fm_substring import repeated_words
 from hazeworks.llm.licenses import scan
 from hazeworks.llm.lm_score import cross_entropy_difference
+from hazeworks.llm.prefix_hashes import fingerprints
 from hazeworks.llm.resampling import resampled
 from hazeworks.llm.saving import let_workers_import, shared_folder
 from hazeworks.llm.simhash import near_duplicates
@@ -69,6 +71,18 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, longest=4, first=2000, share=80)
+
+
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), shortest=7, least=2, every=31, times=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_lm_scoring,
@@ -81,9 +95,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_simhash_near_dedup,
         op9_license_scan,
         op10_benchmark_decontamination,
+        op11_phrase_collocations,
+        op12_document_fingerprints,
+        op13_spelling_variants,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB twins. The other queries are tested against brute force instead."""
-    return {"op2_source_mixing": mixing.SQL}
+    return {"op2_source_mixing": mixing.SQL, "op11_phrase_collocations": phrases.SQL, "op13_spelling_variants": spelling.SQL}
