@@ -209,11 +209,12 @@ cut AS (
 words AS (
   SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE len(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
 shorter AS (
-  SELECT DISTINCT word, n, unnest(list_concat([word], list_transform(
-    range(1, len(word) + 1), lambda i: substr(word, 1, i - 1) || substr(word, i + 1)))) AS part FROM words),
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS part
+  FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM words)),
 near AS (
-  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b USING (part)
-  WHERE a.word <> b.word AND levenshtein(a.word, b.word) = 1),
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b USING (i, part) WHERE a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM shorter a JOIN words b ON a.part = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM shorter a JOIN words b ON a.part = b.word),
 best AS (
   SELECT word, n, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n
   FROM near GROUP BY word, n),
