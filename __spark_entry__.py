@@ -18,6 +18,7 @@ from hazeworks.functions import (  # noqa: E402
     category_of, category_of_range, to_float, to_instant, to_int, to_number,
 )
 from hazeworks.operators import clean as cl  # noqa: E402
+from hazeworks.operators import hourly as hr  # noqa: E402
 from hazeworks.operators import latest as lt  # noqa: E402
 from hazeworks.operators import profile as pf  # noqa: E402
 from hazeworks.operators import rollup as rl  # noqa: E402
@@ -28,6 +29,7 @@ from hazeworks.operators.dedup import dedup_readings  # noqa: E402
 from hazeworks.operators.lookup import with_category_color, with_pollutant_name  # noqa: E402
 from hazeworks.operators.prepare import city_name, prepare, station_name, stored_names  # noqa: E402
 from hazeworks.operators.quality import quality_counts  # noqa: E402
+from hazeworks.operators.selection import filter_stored  # noqa: E402
 from hazeworks.plans import dashboard as db  # noqa: E402
 from hazeworks.plans.partials import Partials  # noqa: E402
 from hazeworks.schemas import POLLUTANTS, RAW  # noqa: E402
@@ -37,7 +39,10 @@ from hazeworks.sources import landed  # noqa: E402
 from hazeworks.sources.events import readings_from_events, responses_from_readings  # noqa: E402
 from hazeworks.sources.files import read_clean_text, read_raw  # noqa: E402
 from hazeworks.sources.scratch import scratch_dir  # noqa: E402
-from hazeworks.streaming.ingest import start_ingest, stream_raw  # noqa: E402
+from hazeworks.streaming.hourly import HourlyStream  # noqa: E402
+from hazeworks.streaming.ingest import (  # noqa: E402
+    read_quarantine, start_ingest, start_reply_ingest, stream_raw, stream_replies,
+)
 try:  # a separate part, which may be absent
     import corpus_pipeline
     from hazeworks.llm import queries as corpus
@@ -159,6 +164,72 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_time(store.read().select("city", "recorded_at"), "recorded_at")
 
 
+def stream_with_partials(spark: SparkSession, sf_dir: str) -> Partials:
+    """The small tables beside the store, kept up to date by a stream of several batches."""
+    folder = scratch_dir(spark)
+    raw_file_rows(spark, sf_dir).repartition(3, "city").write.json(f"{folder}/landing")
+    store = FactStore(spark, f"{folder}/fact")
+    partials = Partials(store, f"{folder}/partials")
+    start_ingest(stream_raw(spark, f"{folder}/landing", max_files=1), store, f"{folder}/checkpoint",
+                 partials=partials).awaitTermination()
+    return partials
+
+
+def overview_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What does not depend on which reading of a key came first."""
+    measured = rl.overview(stream_with_partials(spark, sf_dir).read("rollup"))
+    return measured.select("records", "cities")
+
+
+def landed_replies(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    responses_from_readings(raw(spark, sf_dir)).repartition(3).select(F.col("document").alias("value")).write.text(
+        f"{folder}/landing")
+    return stream_replies(spark, f"{folder}/landing", max_files=1)
+
+
+def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies that a stream set aside, while it stored the others."""
+    folder = scratch_dir(spark)
+    store = FactStore(spark, f"{folder}/fact")
+    start_reply_ingest(landed_replies(spark, sf_dir, folder), store, f"{folder}/quarantine",
+                       f"{folder}/checkpoint").awaitTermination()
+    return read_quarantine(spark, f"{folder}/quarantine").select("feed", "status")
+
+
+def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours that a stream closed, from files in the order of their times."""
+    folder = scratch_dir(spark)
+    rows = raw_file_rows(spark, sf_dir)
+    at = F.unix_timestamp(F.to_timestamp("recorded_at"))
+    first, second = rows.agg(F.percentile_approx(at, [1 / 3, 2 / 3])).first()[0]
+    for part in (at < first, (at >= first) & (at < second), at >= second):
+        rows.where(part).coalesce(1).write.mode("append").json(f"{folder}/landing")
+    stream = HourlyStream(spark, folder)
+    for query in stream.start(stream_raw(spark, f"{folder}/landing", max_files=1)):
+        query.awaitTermination()
+    return plain_time(stream.hours(), "hour")
+
+
+def coverage_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per month: exact numbers of cities and stations, and whether those from the kept sketches are within 3 % of them."""
+    partials = kept_partials(spark, sf_dir)
+    month = F.date_format("recorded_date", "yyyy-MM").alias("month")
+    close = partials.coverage(by=month).withColumnsRenamed({"cities": "_cities", "stations": "_stations"})
+    exact = partials._stored("rollup").groupBy(month).agg(
+        F.count_distinct("city").alias("cities"), F.count_distinct("station").alias("stations"))
+    return exact.join(close, "month").select("month", "cities", "stations", *[
+        (F.abs(F.col(f"_{c}") - F.col(c)) <= 0.03 * F.col(c)).alias(f"{c}_close") for c in ("cities", "stations")])
+
+
+def selection_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of very many chosen cities: every displayed name that has an even zone, among names that no city has."""
+    stored = fact(spark, sf_dir)
+    named = stored.select(city_name(F.col("city")).alias("city")).distinct()
+    even = named.where(F.regexp_extract("city", r"(\d)", 1).isin("0", "2", "4", "6"))
+    nobody = spark.range(100_000).select(F.concat(F.lit("Nowhere "), F.col("id")).alias("city"))
+    return prepare(filter_stored(stored, even.unionByName(nobody)))
+
+
 def parse_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = raw(spark, sf_dir)
     text = F.when(F.col("reading_id") % 17 == 0, "x").otherwise(
@@ -233,6 +304,11 @@ def queries() -> dict[str, Query]:
         "scan_fact": scan_fact,
         "append_twice": append_twice,
         "stream_ingest": stream_ingest,
+        "overview_from_stream": overview_from_stream,
+        "stream_rejected": stream_rejected,
+        "stream_hourly": stream_hourly,
+        "hourly_from_partials": on_partials(lambda p: p.hourly_avg(), "hour"),
+        "coverage_from_sketches": coverage_from_sketches,
         "overview_from_partials": on_partials(lambda p: rl.overview(p.read("rollup")), "last_seen"),
         "distribution_from_partials": on_partials(lambda p: rl.distribution(p.read("rollup"))),
         "latest_from_partials": on_partials(
@@ -272,6 +348,7 @@ def queries() -> dict[str, Query]:
             raw(s, d).select("reading_id", F.col("dominant_pollutant").alias("pollutant"))),
         # Selection
         "filter_selection": filter_selection,
+        "selection_join": selection_join,
         "distinct_cities": on_fact(db.distinct_cities),
         "distinct_categories": on_fact(db.distinct_categories),
         "default_cities": on_fact(db.default_cities),
@@ -280,6 +357,10 @@ def queries() -> dict[str, Query]:
         "status_panel": on_latest(lt.status_panel),
         "peak_city": on_latest(lt.peak_city),
         "delta_to_threshold": on_latest(lt.delta_to_threshold),
+        # Documented in the surveyed application's texts, not computed there.
+        "alert_flags": on_latest(hr.alert_flags),
+        "hourly_avg": lambda s, d: plain_time(hr.hourly_avg(fact(s, d)), "hour"),
+        "rolling_avg_2h": lambda s, d: plain_time(hr.rolling_avg(fact(s, d)), "recorded_at"),
         "freshness": on_prepared(sm.freshness),
         "kpi_summary": on_prepared(sm.kpi_summary),
         "kpi_rounded": on_prepared(sm.kpi_rounded),

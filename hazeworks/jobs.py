@@ -26,13 +26,14 @@ from hazeworks.operators.quality import require_rows
 from hazeworks.operators.series import LOG_SIZE
 from hazeworks.plans.dashboard import monitoring_log
 from hazeworks.plans.load import load_raw
+from hazeworks.plans.partials import Partials
 from hazeworks.plans.session import configure
 from hazeworks.schemas import POLLUTANTS
 from hazeworks.sinks.fact import FactStore
 from hazeworks.sinks.files import export_csv, write_clean_text
 from hazeworks.sources.files import read_clean_text, read_raw
 from hazeworks.sources.landed import ingest, read_responses
-from hazeworks.streaming.ingest import start_ingest, stream_raw, stream_responses
+from hazeworks.streaming.ingest import start_ingest, start_reply_ingest, stream_raw, stream_replies, stream_responses
 
 
 def parser() -> argparse.ArgumentParser:
@@ -56,6 +57,8 @@ def parser() -> argparse.ArgumentParser:
     one_step.add_argument("--array-files", action="store_true")
     stream = command("stream", "landing", "store", "checkpoint")
     stream.add_argument("--replies", action="store_true", help="LANDING holds station replies")
+    stream.add_argument("--quarantine", help="where rejected replies go; without it they are left out")
+    stream.add_argument("--partials", help="folder of the small tables, to be kept up to date")
     stream.add_argument("--archive", help="where files go once they are read")
     export = command("export", "store", "folder")
     export.add_argument("--pollutant", choices=POLLUTANTS, default=POLLUTANTS[0])
@@ -86,8 +89,14 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> str:
                else read_raw(spark, args.raw, array_files=args.array_files))
         result = load_raw(raw, store)
     elif args.command == "stream":
-        source = stream_responses if args.replies else stream_raw
-        start_ingest(source(spark, args.landing, archive=args.archive), store, args.checkpoint).awaitTermination()
+        partials = Partials(store, args.partials) if args.partials else None
+        if args.replies and args.quarantine:
+            replies = stream_replies(spark, args.landing, archive=args.archive)
+            query = start_reply_ingest(replies, store, args.quarantine, args.checkpoint, partials=partials)
+        else:
+            source = stream_responses if args.replies else stream_raw
+            query = start_ingest(source(spark, args.landing, archive=args.archive), store, args.checkpoint, partials=partials)
+        query.awaitTermination()
         return "read all landed files"
     else:
         chosen = monitoring_log(store.read(), args.pollutant, args.rows or None, args.cities, args.categories)

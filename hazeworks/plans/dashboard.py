@@ -94,7 +94,7 @@ def default_selection(fact: DataFrame, categories: Sequence[str] | None = None,
 def refresh(
     fact: DataFrame,
     *,
-    cities: Sequence[str] | None = None,
+    cities: Sequence[str] | DataFrame | None = None,
     categories: Sequence[str] | None = None,
     first_cities: int | None = None,
     pollutant: str = "pm25",
@@ -104,6 +104,7 @@ def refresh(
     names: DataFrame | None = None,
     partials: DataFrame | None = None,
     newest: DataFrame | None = None,
+    spellings: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every table of the monitor, lazily, for a selection of displayed cities and categories.
 
@@ -113,7 +114,8 @@ def refresh(
 
     Each table is a query of its own. A caller that shows many of them first writes small tables, `rollup(fact)` and
     `newest_readings(fact)`, and passes what it reads back as `partials` and `newest`; `names`, from
-    `stored_names(fact)`, pays where most rows are shown. Six tables then come from the rollup and five from the newest
+    `stored_names(fact)`, pays where most rows are shown; `spellings`, kept beside the store, spares a scan of the city
+    column for each selection. Six tables then come from the rollup and five from the newest
     readings, the trend reads one hour, and only series and log still read the stored rows.
     """
     fact = sr.recent_readings(fact, row_limit)
@@ -121,7 +123,7 @@ def refresh(
     newest = newest_readings(fact) if newest is None else newest
     if first_cities is not None:
         cities = [row["city"] for row in sl.first_values(partials, "city", first_cities).collect()]
-    stored = sl.filter_stored(fact, cities, categories)
+    stored = sl.filter_stored(fact, cities, categories, spellings)
 
     def select(rows: DataFrame) -> DataFrame:
         return sl.filter_selection(rows, cities, categories)
@@ -152,5 +154,5 @@ def refresh(
     if location is not None:
         tables["profile"] = pf.pollutant_profile(candidates, location)
         tables["pollutant_series"] = sr.city_series(
-            prepare(sl.filter_stored(stored, [location])), location, pollutant)
+            prepare(sl.filter_stored(stored, [location], names_from=spellings)), location, pollutant)
     return tables

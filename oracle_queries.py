@@ -142,7 +142,7 @@ def _text(column: str) -> str:
 #: Queries that reach another one's result by another way.
 SAME = {
     "overview_from_partials": "overview", "distribution_from_partials": "category_distribution",
-    "latest_from_partials": "latest_by_city",
+    "latest_from_partials": "latest_by_city", "hourly_from_partials": "hourly_avg",
 }
 
 
@@ -180,6 +180,26 @@ FROM (SELECT reading_id, list, unnest(range(len(list))) AS i FROM tokens)"""),
         "append_twice": _sql(_UPSERT, f"""SELECT {_COLUMNS} FROM stored
 UNION ALL SELECT {_COLUMNS} FROM fact f WHERE NOT {_KNOWN}"""),
         "stream_ingest": _sql(_STORING, "SELECT city, recorded_at FROM fact"),
+        "overview_from_stream": _sql(_PREPARING, "SELECT count(*) AS records, count(DISTINCT city) AS cities FROM prepared"),
+        "stream_rejected": _sql(replies, "SELECT feed, status FROM responses WHERE status <> 'ok'"),
+        "stream_hourly": _sql(_CLEANING, f"""SELECT city, hour, count(*) AS readings, sum(aqi) / count(*) AS avg_aqi
+FROM (SELECT {_display('city')} AS city, date_trunc('hour', recorded_at) AS hour, aqi FROM typed WHERE aqi IS NOT NULL)
+WHERE hour + INTERVAL 3 HOUR <= (SELECT max(recorded_at) FROM typed WHERE aqi IS NOT NULL) GROUP BY city, hour"""),
+        "coverage_from_sketches": _sql((*_STORING, _STORED, """loaded AS (SELECT * FROM stored UNION ALL SELECT * FROM fact f
+ WHERE NOT """ + _KNOWN + ")"), f"""SELECT strftime(recorded_at, '%Y-%m') AS month, count(DISTINCT city) AS cities,
+ count(DISTINCT station) AS stations, TRUE AS cities_close, TRUE AS stations_close
+FROM (SELECT recorded_at, {_display('city')} AS city, {_display('coalesce(station, ' + _display('city') + ')')} AS station
+ FROM loaded) GROUP BY ALL"""),
+        "selection_join": _sql(_PREPARING, f"""SELECT {_COLUMNS} FROM prepared
+WHERE regexp_extract(city, '([0-9])', 1) IN ('0', '2', '4', '6')"""),
+        "alert_flags": _sql(_MONITORING, """SELECT city, aqi, pm25, coalesce(aqi > 100, false) AS mitigation,
+ coalesce(aqi > 150, false) AS advisory, coalesce(pm25 > 35, false) AS filtration FROM latest"""),
+        "hourly_avg": _sql(_PREPARING, """SELECT city, date_trunc('hour', recorded_at) AS hour, count(*) AS readings,
+ avg(aqi) AS avg_aqi FROM prepared GROUP BY ALL"""),
+        "rolling_avg_2h": _sql(_PREPARING, """SELECT city, recorded_at, readings, sum(aqi_sum) OVER two / sum(aqi_rows) OVER two
+ AS rolling_avg FROM (SELECT city, recorded_at, count(*) AS readings, sum(aqi) AS aqi_sum, count(aqi) AS aqi_rows
+ FROM prepared WHERE recorded_at IS NOT NULL GROUP BY ALL)
+WINDOW two AS (PARTITION BY city ORDER BY recorded_at RANGE BETWEEN INTERVAL 2 HOUR PRECEDING AND CURRENT ROW)"""),
         "scan_fact": _sql(_STORING, f"SELECT {_COLUMNS} FROM fact"),
         "clean_city": _sql(raw, "SELECT reading_id, lower(trim(city)) AS city FROM readings"),
         "clean_station": _sql(raw, "SELECT reading_id, trim(station) AS station FROM readings"),
