@@ -21,10 +21,10 @@ further columns are not read.
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -32,139 +32,163 @@ from pyspark.sql import functions as F
 
 from hazeworks.llm.bitmaps import bitmap_of
 from hazeworks.llm.saving import saved
+from hazeworks.llm.text import U, batches, mix, utf8, word_hashes, words
 
-#: Lower case for A-Z; what ends a piece becomes a line feed.
-_PLAIN = bytes(10 if c in b".,;:!?\x0a\x0b\x0c\x0d" else c + 32 if 65 <= c <= 90 else c for c in range(256))
-#: Distinct entries that a task counts before it hands them on, and words whose rarity it remembers.
-_HELD = 1 << 19
+#: Lower case for A-Z; what ends a piece becomes a line feed, a tab a space.
+_PLAIN = np.array([10 if c in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c
+                   for c in range(256)], np.uint8)
+#: Distinct texts or pairs that a task holds before it hands them on, and bytes of text that it looks at together.
+_TEXTS, _PAIRS, _CHUNK = 1 << 18, 1 << 21, 1 << 20
 #: Prefixes that can be over the budget, at most: the budget grows with the corpus so that they stay a short list.
 _HEAVY = 10_000
 
 
-def pieces(text: bytes) -> Iterator[list[bytes]]:
-    """The words of each piece. Of what bytes.split() takes for blanks, only space and tab are left inside a piece."""
-    for piece in text.translate(_PLAIN).split(b"\n"):
-        words = piece.split()
-        if words:
-            yield words
+class Words:
+    """The words of some texts: where they are, what language they are in, and which stand in one piece with the next."""
 
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, langs: list[bytes]):
+        self.raw = _PLAIN[data]
+        self.starts, self.ends, first = words(self.raw, offsets)
+        self.doc = np.repeat(np.arange(len(langs)), np.diff(first))
+        self.langs = langs
+        piece = np.cumsum(self.raw == 10)[self.starts] if len(self.starts) else self.starts
+        self.joined = (piece[:-1] == piece[1:]) & (self.doc[:-1] == self.doc[1:])
+        self.keys = lang_keys(langs)[self.doc] ^ word_hashes(self.raw, self.starts, self.ends)
 
-def start(lang: bytes) -> int:
-    """What the keys of a language's words begin with."""
-    return zlib.crc32(lang + b"\n")
+    def pairs(self, frequent) -> tuple[np.ndarray, np.ndarray]:
+        """For each word but the last: the key of it and the next one, and whether both are in one piece and not surely
+        rare."""
+        often = frequent.holds(self.keys)
+        return pair_keys(self.keys[:-1], self.keys[1:]), self.joined & often[:-1] & often[1:]
 
 
-def pair_key(first: int, second: bytes) -> int:
-    """From the key of a word and the word after it."""
-    return zlib.crc32(second, first ^ 0x5BD1E995)
+def lang_keys(langs: list[bytes]) -> np.ndarray:
+    data = np.frombuffer(b"".join(langs), np.uint8)
+    ends = np.cumsum(np.fromiter(map(len, langs), np.int64, len(langs)))
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    return mix(word_hashes(data, starts, ends)) if len(langs) else np.zeros(0, U)
 
 
-class Frequent(dict):
-    """word -> its key, or -1 if it is surely rare; remembers the words it was asked for."""
+def word_keys(langs: list[bytes], texts: list[bytes]) -> np.ndarray:
+    """Of single words: the same keys that `Words` has."""
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    return lang_keys(langs) ^ word_hashes(np.frombuffer(b"".join(texts), np.uint8), starts, ends)
 
-    def __init__(self, lang: bytes, words):
-        super().__init__()
-        self.start, self.words = start(lang), words
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _HELD:
-            self.clear()
-        key = zlib.crc32(word, self.start)
-        self[word] = key if key in self.words else -1
-        return self[word]
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(first * U(3) ^ mix(second))
 
 
-def counted(docs: DataFrame, add: Callable[[Counter, bytes, list[bytes]], None],
-            out: Callable[[Counter], list[pa.Array]], schema: str, setup: Callable[[], object] | None = None) -> DataFrame:
-    """Over all pieces of all texts: add(counts, lang, words); whenever many entries are held, out(counts) goes on."""
+def over_texts(docs: DataFrame, add: Callable[[Words, dict], int], out: Callable[[dict], list[pa.Array]],
+               schema: str, most: int = _TEXTS) -> DataFrame:
+    """add(words, state) for all texts, some at a time, tells how many entries it holds; out(state) hands them on and
+    empties the state."""
     names = [c.split()[0] for c in schema.split(", ")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        state = setup() if setup else None
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                for words in pieces(text):
-                    if state is None:
-                        add(counts, lang, words)
-                    else:
-                        add(counts, lang, words, state)
-                    if len(counts) >= _HELD:
-                        yield pa.RecordBatch.from_arrays(out(counts), names)
-                        counts.clear()
-        if counts:
-            yield pa.RecordBatch.from_arrays(out(counts), names)
-
-    return docs.select(F.coalesce("lang", F.lit("und")).cast("binary").alias("lang"),
-                       F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInArrow(run, schema)
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: dict = {}
+        for batch in rows:
+            data, offsets = utf8(batch.column("text"))
+            langs = batch.column("lang").to_pylist()
+            for x, y in batches(offsets, _CHUNK):
+                part = Words(data[offsets[x]:offsets[y]], offsets[x:y + 1] - offsets[x], langs[x:y])
+                if len(part.starts) and add(part, state) >= most:
+                    yield pa.RecordBatch.from_arrays(out(state), names)
+        if state:
+            yield pa.RecordBatch.from_arrays(out(state), names)
 
+    return docs.select(F.coalesce("lang", F.lit("und")).cast("binary").alias("lang"), "text").mapInArrow(run, schema)
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, n) of all words."""
 
-    def add(counts: Counter, lang: bytes, words: list[bytes]) -> None:
-        counts.update([(lang, w) for w in words])
+def _entries(state: dict) -> tuple[list[bytes], list[bytes], list[int]]:
+    """Of a Counter for each language: languages, texts and counts; the state is empty after it."""
+    langs, texts, counts = [], [], []
+    for lang, counter in state.items():
+        langs += [lang] * len(counter)
+        texts += counter.keys()
+        counts += counter.values()
+    state.clear()
+    return langs, texts, counts
 
-    def out(counts: Counter) -> list[pa.Array]:
-        langs, words = zip(*counts, strict=True)
-        return [pa.array(langs, pa.binary()), pa.array(words, pa.binary()), pa.array(counts.values(), pa.int64())]
 
-    found = counted(docs, add, out, "lang binary, word binary, n bigint")
-    return found.groupBy("lang", "word").agg(F.sum("n").alias("n")).select(
-        F.col("lang").cast("string").alias("lang"), F.col("word").cast("string").alias("word"), "n")
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(lang, word, key, n) of all words."""
+
+    def add(part: Words, state: dict) -> int:
+        raw, doc = part.raw.tobytes(), part.doc
+        edges = np.flatnonzero(np.diff(doc)) + 1
+        for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(doc)], strict=True):
+            state.setdefault(part.langs[doc[i]], Counter()).update(raw[part.starts[i]:part.ends[j - 1]].split())
+        return sum(map(len, state.values()))
 
+    def out(state: dict) -> list[pa.Array]:
+        langs, texts, counts = _entries(state)
+        return [pa.array(langs, pa.binary()), pa.array(texts, pa.binary()),
+                pa.array(word_keys(langs, texts).view(np.int64)), pa.array(counts, pa.int64())]
 
-def pair_counts(docs: DataFrame, words: Broadcast) -> DataFrame:
-    """(key, n) of the pairs of frequent words. Pairs that share a 32-bit key add up, so that none seems too rare."""
+    found = over_texts(docs, add, out, "lang binary, word binary, key bigint, n bigint")
+    return found.groupBy("lang", "word", "key").agg(F.sum("n").alias("n")).select(
+        F.col("lang").cast("string").alias("lang"), F.col("word").cast("string").alias("word"), "key", "n")
 
-    def add(counts: Counter, lang: bytes, words_: list[bytes], state: dict) -> None:
-        keys = _keys(words_, lang, state, words)
-        counts.update([pair_key(k, w) for k, next_, w in zip(keys, keys[1:], words_[1:], strict=False) if k >= 0 <= next_])
 
-    def out(counts: Counter) -> list[pa.Array]:
-        return [pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())]
+def pair_counts(docs: DataFrame, frequent: Broadcast) -> DataFrame:
+    """(key, n) of the pairs of frequent words. Pairs that share a key add up, so that none seems too rare."""
 
-    return counted(docs, add, out, "key bigint, n bigint", dict).groupBy("key").agg(F.sum("n").alias("n"))
+    def add(part: Words, state: dict) -> int:
+        keys, often = part.pairs(frequent.value)
+        state.setdefault("keys", []).append(keys[often])
+        return sum(map(len, state["keys"]))
 
+    def out(state: dict) -> list[pa.Array]:
+        keys, counts = np.unique(np.concatenate(state.pop("keys")), return_counts=True)
+        return [pa.array(keys.view(np.int64)), pa.array(counts)]
 
-def _keys(words: list[bytes], lang: bytes, state: dict, frequent: Broadcast) -> list[int]:
-    if lang not in state:
-        state[lang] = Frequent(lang, frequent.value)
-    known = state[lang]
-    return [known[w] for w in words]
+    return over_texts(docs, add, out, "key bigint, n bigint", _PAIRS).groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def suffixes(docs: DataFrame, longest: int, words: Broadcast, pairs: Broadcast, heavy: Broadcast) -> DataFrame:
+def suffixes(docs: DataFrame, longest: int, frequent: Broadcast, pairs: Broadcast, heavy: Broadcast) -> DataFrame:
     """(prefix, split, lang, w1.., n): suffixes of frequent pairs and the group key of their prefix. `split` tells that a
     prefix of two words was over the budget and the whole suffix is the prefix."""
 
-    def add(counts: Counter, lang: bytes, words_: list[bytes], state: dict) -> None:
-        keys = _keys(words_, lang, state, words)
-        known = pairs.value
-        follows = [k >= 0 <= next_ and pair_key(k, w) in known
-                   for k, next_, w in zip(keys, keys[1:], words_[1:], strict=False)]
-        depth = 1
-        entries = []
-        for i in range(len(follows) - 1, -1, -1):
-            depth = min(depth + 1, longest) if follows[i] else 1
-            if depth > 1:
-                entries.append((lang, *words_[i:i + depth]))
-        counts.update(entries)
-
-    def out(counts: Counter) -> list[pa.Array]:
+    def add(part: Words, state: dict) -> int:
+        keys, follows = part.pairs(frequent.value)
+        follows = np.concatenate([follows & pairs.value.holds(keys), np.zeros(longest, bool)])
+        begin = np.flatnonzero(follows)
+        last, open_ = begin.copy(), np.ones(len(begin), bool)
+        for k in range(longest - 1):  # the k-th next word belongs to the suffix while every pair before it is frequent
+            open_ &= follows[begin + k]
+            last += open_
+        raw, starts, ends = part.raw.tobytes(), part.starts[begin], part.ends[last]
+        # Words with more than a space between them are put together again.
+        sizes = np.concatenate([[0], np.cumsum(part.ends - part.starts)])
+        tidy = sizes[last + 1] - sizes[begin] + last - begin == ends - starts
+        texts = [raw[x:y] if t else b" ".join(raw[x:y].split())
+                 for x, y, t in zip(starts.tolist(), ends.tolist(), tidy.tolist(), strict=True)]
+        doc = part.doc[begin]
+        edges = (np.flatnonzero(np.diff(doc)) + 1).tolist() if len(doc) else []
+        for i, j in zip([0, *edges], [*edges, len(doc)], strict=True):
+            if j > i:
+                state.setdefault(part.langs[doc[i]], Counter()).update(texts[i:j])
+        return sum(map(len, state.values()))
+
+    def out(state: dict) -> list[pa.Array]:
+        langs, texts, counts = _entries(state)
+        split_texts = [t.split(b" ") for t in texts]
+        first = word_keys(langs, [t[0] for t in split_texts])
+        pair = pair_keys(first, word_keys(langs, [t[1] for t in split_texts]))
         heavy_words, heavy_pairs = heavy.value
-        prefixes, split = [], []
-        for lang, *suffix in counts:
-            first = zlib.crc32(suffix[0], start(lang))
-            pair = pair_key(first, suffix[1])
-            over = first in heavy_words and pair in heavy_pairs
-            split.append(over)
-            prefixes.append(zlib.crc32(b" ".join(suffix), pair) if over else pair if first in heavy_words else first)
-        columns = [pa.array([e[i] if i < len(e) else None for e in counts], pa.binary()) for i in range(longest + 1)]
-        return [pa.array(prefixes, pa.int64()), pa.array(split, pa.bool_()), *columns, pa.array(counts.values(), pa.int64())]
+        extended = np.isin(first, heavy_words)
+        split = extended & np.isin(pair, heavy_pairs)
+        prefix = np.where(extended, pair, first)
+        whole = np.flatnonzero(split).tolist()
+        prefix[whole] = word_keys([langs[i] for i in whole], [texts[i] for i in whole])
+        columns = [pa.array([t[i] if i < len(t) else None for t in split_texts], pa.binary()) for i in range(longest)]
+        return [pa.array(prefix.view(np.int64)), pa.array(split), pa.array(langs, pa.binary()), *columns,
+                pa.array(counts, pa.int64())]
 
     fields = ", ".join(f"w{i} binary" for i in range(1, longest + 1))
-    return counted(docs, add, out, f"prefix bigint, split boolean, lang binary, {fields}, n bigint", dict)
+    return over_texts(docs, add, out, f"prefix bigint, split boolean, lang binary, {fields}, n bigint")
 
 
 def read_subtrees(longest: int, least: int):
@@ -217,18 +241,17 @@ def read_subtrees(longest: int, least: int):
 def phrase_counts(docs: DataFrame, least: int = 30, longest: int = 4, budget: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
     """(lang, n): words of each language; and (lang, phrase, words, f): phrases that occur `least` times, of one word on."""
     spark = docs.sparkSession
-    words = saved(word_counts(docs))
-    sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    counted = saved(word_counts(docs))
+    sizes = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     budget = max(budget, math.ceil(total / _HEAVY))
-    key = F.crc32(F.concat("lang", F.lit("\n"), "word"))
-    often = words.where(F.col("n") >= least)
-    frequent = spark.sparkContext.broadcast(bitmap_of(often.select(key.alias("key")), "key"))
+    often = counted.where(F.col("n") >= least)
+    frequent = spark.sparkContext.broadcast(bitmap_of(often.select("key"), "key"))
     pairs = saved(pair_counts(docs, frequent).where(F.col("n") >= least))
     kept = pairs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    heavy = spark.sparkContext.broadcast((
-        {r["key"] for r in often.where(F.col("n") > budget).select(key.alias("key")).collect()},
-        {r["key"] for r in pairs.where(F.col("n") > budget).select("key").collect()}))
+    heavy = spark.sparkContext.broadcast(tuple(
+        np.array([r["key"] for r in over.where(F.col("n") > budget).select("key").collect()], np.int64).view(U)
+        for over in (often, pairs)))
     known = spark.sparkContext.broadcast(bitmap_of(pairs, "key"))
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * kept / budget))
     path = ["split", "lang", *[f"w{i}" for i in range(1, longest + 1)]]
