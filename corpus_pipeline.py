@@ -1,7 +1,8 @@
 """Corpus pipeline: from all documents to a training mix, in five stages.
 
 1. quality: documents that importance resampling rejects go.
-2. near_duplicates: of the documents that SimHash links, the one with the smallest id stays.
+2. near_duplicates: of the documents that SimHash links (four-word shingles, four bits at most), the one with the
+   smallest id stays.
 3. repeated_text: strings of 200 bytes or more that occur again anywhere are cut out of all texts; documents stay.
 4. benchmark: documents that hold a copy of a benchmark item go.
 5. mix: what the mix to target weights takes, in the order in which it takes it.
@@ -30,7 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     let_workers_import(spark)
-    return one_of_each(docs)
+    return one_of_each(docs, radius=4, shingle=4)
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

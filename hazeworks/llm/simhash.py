@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from hazeworks.llm.components import components
 from hazeworks.llm.saving import saved
-from hazeworks.llm.text import LOWER, mix, utf8, word_hashes, words
+from hazeworks.llm.text import utf8
 
 _LEVELS = 3
 
@@ -56,8 +56,8 @@ def majority(values: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(values), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): the fingerprint's 64 bits as a signed number."""
+def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, *carry: str) -> DataFrame:
+    """(doc_id, fp): the fingerprint's 64 bits as a signed number; and further columns of numbers, if given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,45 +66,11 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame
             values = [fingerprint(data[x:y], shingle, seed)
                       for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             fps = pa.array(np.array(values, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), fps], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), fps, *map(batch.column, carry)],
+                                             ["doc_id", "fp", *carry])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
-
-
-def pair_name(fp: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix(fp * np.uint64(3) ^ mix(second))
-
-
-def telling_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = 3) -> np.ndarray:
-    """Hashes of the distinct words of `size` bytes or more, or of all words if those are few. The short words of a
-    language are in all its texts and would pull their fingerprints together."""
-    long = ends - starts >= size
-    if long.sum() >= 5:
-        starts, ends = starts[long], ends[long]
-    return np.unique(word_hashes(data, starts, ends)) if len(starts) else np.zeros(0, np.uint64)
-
-
-def double_fingerprints(docs: DataFrame, shingle: int = 5, seed: int = 42) -> DataFrame:
-    """(doc_id, name, fp, second, node): a hash of the text, fingerprints of the distinct words and of the shingles, and a
-    name for both fingerprints."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = utf8(batch.column("text"))
-            raw = data.tobytes()
-            first = np.zeros(batch.num_rows, np.uint64)
-            second = np.zeros(batch.num_rows, np.uint64)
-            for i, (x, y) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-                own = LOWER[data[x:y]]
-                starts, ends, _ = words(own, np.array([0, y - x]))
-                first[i] = majority(telling_words(own, starts, ends))
-                second[i] = fingerprint(raw[x:y], shingle, seed)
-            columns = [pa.array(c.view(np.int64)) for c in (first, second, pair_name(first, second))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("name"), *columns],
-                                             ["doc_id", "name", "fp", "second", "node"])
-
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("name")).mapInArrow(
-        run, "doc_id bigint, name bigint, fp bigint, second bigint, node bigint")
+    schema = "".join(f", {c} bigint" for c in carry)
+    return docs.select("doc_id", "text", *carry).mapInArrow(run, f"doc_id bigint, fp bigint{schema}")
 
 
 def masks(radius: int, level: int = 0) -> list[int]:
@@ -129,14 +95,10 @@ def keys(fp: Column, parent: Column, radius: int, level: int) -> Column:
     return F.array(*[F.xxhash64(parent, F.lit(i), fp.bitwiseAND(F.lit(m))) for i, m in enumerate(masks(radius, level))])
 
 
-def forest(fp: np.ndarray, key: np.ndarray, radius: int, second: np.ndarray | None = None,
-           limit: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join all fingerprints of one bucket that are linked, directly or not; rows are sorted by key.
-
-    With second fingerprints, links also need those to be within `limit`, and names stand for both.
-    """
-    names, row, node = np.unique(fp if second is None else pair_name(fp, second), return_index=True, return_inverse=True)
-    fp, second = fp[row], None if second is None else second[row]
+def forest(fp: np.ndarray, key: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join all fingerprints of one bucket that are linked, directly or not; rows are sorted by key."""
+    names, row, node = np.unique(fp, return_index=True, return_inverse=True)
+    fp = fp[row]
     root = np.arange(len(names))
 
     def settle(x: np.ndarray, y: np.ndarray) -> None:
@@ -154,8 +116,6 @@ def forest(fp: np.ndarray, key: np.ndarray, radius: int, second: np.ndarray | No
         for part in np.array_split(at, max(1, len(at) >> 20)):
             x, y = node[part], node[part + step]
             near = np.bitwise_count(fp[x] ^ fp[y]) <= radius
-            if second is not None:
-                near &= np.bitwise_count(second[x] ^ second[y]) <= limit
             found.append((x[near], y[near]))
             size += int(near.sum())
         if size > 1 << 20:
@@ -168,16 +128,16 @@ def forest(fp: np.ndarray, key: np.ndarray, radius: int, second: np.ndarray | No
     return names[child], names[root[child]]
 
 
-def compare(radius: int, limit: int | None):
+def compare(radius: int):
     """Over rows sorted by key: the forest of each bucket. Reads on until a bucket ends, so that none is cut."""
-    columns = ("fp", "key") if limit is None else ("fp", "key", "second")
+    columns = ("fp", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         rows = 0
 
-        def links(fp: np.ndarray, key: np.ndarray, *second: np.ndarray) -> pa.RecordBatch:
-            a, b = forest(fp.view(np.uint64), key, radius, *(c.view(np.uint64) for c in second), limit=limit or 64)
+        def links(fp: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+            a, b = forest(fp.view(np.uint64), key, radius)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
         for batch in batches:
@@ -197,60 +157,53 @@ def compare(radius: int, limit: int | None):
     return run
 
 
-def linked(fps: DataFrame, radius: int, most: int, limit: int | None = None) -> DataFrame:
-    """Links (a, b) that join all distinct fingerprints within the radius of each other, directly or by steps.
-
-    With a limit, `second` fingerprints must be within it as well, and links are between pair_names.
-    """
-    second = [] if limit is None else ["second"]
+def linked(fps: DataFrame, radius: int, most: int) -> DataFrame:
+    """Links (a, b) that join all distinct fingerprints within the radius of each other, directly or by steps."""
     rows, found = fps.withColumn("parent", F.lit(0).cast("long")), None
     for level in range(_LEVELS):
-        dealt = rows.select("fp", *second, F.explode(keys(F.col("fp"), F.col("parent"), radius, level)).alias("key"))
+        dealt = rows.select("fp", F.explode(keys(F.col("fp"), F.col("parent"), radius, level)).alias("key"))
         small = dealt
         if level < _LEVELS - 1:
             large = saved(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("key"))
             some = large.limit(1).count() > 0
             if some:
-                small = dealt.join(large, "key", "left_anti").select("fp", *second, "key")
-                rows = dealt.join(large, "key", "left_semi").select("fp", *second, F.col("key").alias("parent"))
-        compared = small.repartition("key").sortWithinPartitions("key").mapInArrow(compare(radius, limit), "a bigint, b bigint")
+                small = dealt.join(large, "key", "left_anti").select("fp", "key")
+                rows = dealt.join(large, "key", "left_semi").select("fp", F.col("key").alias("parent"))
+        compared = small.repartition("key").sortWithinPartitions("key").mapInArrow(compare(radius), "a bigint, b bigint")
         found = compared if found is None else found.unionByName(compared)
         if level == _LEVELS - 1 or not some:
             return found
     raise AssertionError("unreachable")
 
 
+def with_roots(classes: DataFrame, radius: int, most: int) -> DataFrame:
+    """Distinct fingerprints (`fp`, one row each) with the root of their component."""
+    roots = components(linked(classes.select("fp"), radius, most))
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: int = 42, most: int = 2000) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id reachable)."""
     fps = saved(fingerprints(docs, shingle, seed))
     classes = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first_doc")))
-    roots = components(linked(classes.select("fp"), radius, most))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
+    rooted = with_roots(classes, radius, most)
     smallest = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = 6, limit: int = 12, shingle: int = 5, most: int = 2000) -> DataFrame:
-    """The documents, all columns, of which no near-duplicate has a smaller id, or the same id and a text with a smaller
-    hash; of equal rows, one. Rows of one id whose texts are no near-duplicates all stay, as do rows without an id, since
-    nothing can name them.
-
-    Two fingerprints a document: of its distinct longer words, which few edits hardly move, so that covering tables of a small
-    radius find texts with four fifths of their five-word shingles in common; and of its shingles, to tell those from
-    texts that only use the same words. Links need both; a shingle similarity of 0.8 is ten bits apart on average.
-    """
-    fps = saved(double_fingerprints(docs, shingle))
-    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "name"))
-    classes = saved(fps.groupBy("node").agg(
-        F.min("fp").alias("fp"), F.min("second").alias("second"), F.min(named).alias("first_doc")))
-    roots = components(linked(classes.select("fp", "second"), radius, most, limit))
-    rooted = classes.select("node", "first_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = rooted.groupBy("root").agg(F.min("first_doc").alias("first_doc")).select(
-        F.col("first_doc.doc_id").alias("doc_id"), F.col("first_doc.name").alias("__name"))
-    first = F.row_number().over(Window.partitionBy("doc_id", "__name").orderBy("text"))
+def one_of_each(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: int = 42, most: int = 2000) -> DataFrame:
+    """The documents, all columns, one of each component: the one with the smallest id, of those the one with the smallest
+    hash of its text; of equal rows, one. Rows of one id and in different components all stay, as do rows without an id,
+    since nothing can name them."""
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("name"))
+    fps = saved(fingerprints(named, shingle, seed, "name"))
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "name"))).alias("first")
+    rooted = with_roots(saved(fps.groupBy("fp").agg(first)), radius, most)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(
+        F.col("first.doc_id").alias("doc_id"), F.col("first.name").alias("__name"))
+    place = F.row_number().over(Window.partitionBy("doc_id", "__name").orderBy("text"))
     firsts = docs.withColumn("__name", F.xxhash64("text")).join(kept, ["doc_id", "__name"], "left_semi").withColumn(
-        "__first", first).where(F.col("__first") == 1)
+        "__place", place).where(F.col("__place") == 1)
     return firsts.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
