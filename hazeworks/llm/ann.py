@@ -2,12 +2,14 @@
 
 Vectors are projected to a few dimensions by Gaussian (2-stable) coordinates: for a true distance d, the squared
 projected distance is d**2 times a chi-square variable with that many degrees of freedom. A shard's projections are
-indexed by a kd-tree; a query takes the tree's leaves by growing projected distance, and the true distances of what
-they hold are computed. It stops when the chi-square distribution says that a vector as near as the k-th found so far
-would, with probability `sure`, have been projected nearer than all that is left.
+indexed by a kd-tree; a query takes the points one after another by growing projected distance - a point's turn comes
+when no unopened leaf's box is nearer - and their true distances are computed. It stops when the chi-square distribution
+says that a vector as near as the k-th found so far would, with probability `sure`, have been projected nearer than the
+next point.
 
 Every row is indexed; nothing is fitted. Queries are a stated set against all rows: they are sent in blocks of bounded
-size (`block_mb`), the vectors stay where they are, and each shard reports its k nearest for the merge.
+size (`block_mb`), one block after another, and each block's copies are released before the next. The vectors stay where
+they are, and each shard reports its k nearest for the merge.
 
 Cases: vectors that are null, zero or hold null or non-finite components take no part, nor do those of another length
 than the most frequent one (the smallest, if several are); rows with the query's own id are no candidates; equal
@@ -25,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazeworks.llm.saving import saved
+
 NEAREST = "query_id bigint, vec_id bigint, score double"
 
 
@@ -32,7 +36,7 @@ class Tree:
     """A kd-tree: each split halves the points at the median of their widest dimension, down to `leaf` points."""
 
     def __init__(self, points: np.ndarray, leaf: int = 32):
-        self.leaves, todo = [], [np.arange(len(points))]
+        self.points, self.leaves, todo = points, [], [np.arange(len(points))]
         while todo:
             rows = todo.pop()
             if len(rows) <= leaf:
@@ -48,6 +52,27 @@ class Tree:
         """Squared distance of a query from every leaf's box."""
         return (np.maximum(0, np.maximum(self.low - query, query - self.high)) ** 2).sum(1)
 
+    def by_distance(self, query: np.ndarray, some: int) -> Iterator[tuple[np.ndarray, float]]:
+        """All points by growing distance from the query, `some` at a time, each time with the first one's squared
+        distance. Leaves are opened as the distance reaches their boxes."""
+        box = self.distances(query)
+        order = np.argsort(box, kind="stable")
+        far, rows, opened, step = np.zeros(0), np.zeros(0, np.int64), 0, 1
+        while opened < len(order) or len(rows):
+            if opened < len(order):
+                new = np.concatenate([self.leaves[i] for i in order[opened:opened + step]])
+                far = np.concatenate((far, ((self.points[new] - query) ** 2).sum(1)))
+                rows = np.concatenate((rows, new))
+                opened += step
+                step = min(2 * step, 16)
+            reached = box[order[opened]] if opened < len(order) else np.inf
+            ready = np.flatnonzero(far <= reached)
+            ready = ready[np.argsort(far[ready], kind="stable")]
+            for i in range(0, len(ready), some):
+                yield rows[ready[i:i + some]], float(far[ready[i]])
+            left = far > reached
+            far, rows = far[left], rows[left]
+
 
 def few_of_equal(ids: np.ndarray, points: np.ndarray, most: int) -> np.ndarray:
     """Rows, of equal vectors only the `most` smallest ids: no search can return more of them."""
@@ -72,21 +97,16 @@ def chi_square_below(x: float, half: int) -> float:
 
 def search(tree: Tree, vectors: np.ndarray, ids: np.ndarray, query: np.ndarray, projected: np.ndarray, own: int, k: int,
            half: int, sure: float) -> tuple[np.ndarray, np.ndarray]:
-    box = tree.distances(projected)
-    order = np.argsort(box, kind="stable")
-    near, names, done, step = np.zeros(0), np.zeros(0, np.int64), 0, 1
-    while done < len(order):
-        rows = np.concatenate([tree.leaves[i] for i in order[done:done + step]])
+    near, names = np.zeros(0), np.zeros(0, np.int64)
+    for rows, left in tree.by_distance(projected, max(k, 16)):
+        # `left` is the projected distance that all of these rows and of those to come have at least
+        if len(near) == k and left > 0 and (near[-1] == 0 or chi_square_below(left / near[-1], half) >= sure):
+            break
         rows = rows[ids[rows] != own]
         distance = ((vectors[rows] - query) ** 2).sum(1)
         near, names = np.concatenate((near, distance)), np.concatenate((names, ids[rows]))
         best = np.lexsort((names, near))[:k]
         near, names = near[best], names[best]
-        done += step
-        step = min(2 * step, 64)
-        if done < len(order) and len(near) == k and (left := box[order[done]]) > 0 and (
-                near[-1] == 0 or chi_square_below(left / near[-1], half) >= sure):
-            break
     return np.sqrt(near), names
 
 
@@ -96,7 +116,7 @@ def valid(vector: Column) -> Column:
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
-            half: int = 4, sure: float = 0.95, shard_rows: int = 8192, block_mb: int = 16, seed: int = 11) -> DataFrame:
+            half: int = 6, sure: float = 0.9, shard_rows: int = 8192, block_mb: int = 64, seed: int = 11) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest rows found, by Euclidean distance.
 
     `queries` says which rows are queries, `half` is half the number of projected dimensions.
@@ -111,9 +131,12 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec
     d, count = lengths["d"], lengths["n"]
     rows = rows.where(F.size("v") == d)
     asking = rows.where("asks").groupBy("vec_id").agg(F.min("v").alias("v"))
-    number = max(1, math.ceil((lengths["q"] or 0) * d * 8 / (block_mb << 20)))
+    number = max(1, math.ceil((lengths["q"] or 0) * d * 8 / (block_mb * 2**20)))
     base = np.random.default_rng(seed).standard_normal((d, 2 * half))
     dealt = rows.select("vec_id", "v").repartition(max(1, math.ceil(count / shard_rows)))
+    if number > 1:
+        dealt, asking = saved(dealt), saved(asking)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     out = None
     for i in range(number):
         block = asking.where(F.pmod(F.xxhash64("vec_id"), F.lit(number)) == i).toArrow()
@@ -147,10 +170,12 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec
             if size:
                 yield shard()
 
-        found_ = dealt.mapInArrow(run, NEAREST)
-        out = found_ if out is None else out.unionByName(found_)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        merged = dealt.mapInArrow(run, NEAREST).withColumn("rank", rank).where(F.col("rank") <= k)
+        if number > 1:
+            merged = saved(merged)
+            asked.destroy()
+        out = merged if out is None else out.unionByName(merged)
+    return out.select("query_id", "rank", "vec_id", "score")
 
 
 def _matrix(column: pa.Array, d: int) -> np.ndarray:
