@@ -13,12 +13,12 @@ no label and score 0; repeated rows are reported each; an empty table gives an e
 
 from __future__ import annotations
 
-import bisect
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -96,24 +96,34 @@ def fuzzy(line: str, notices: tuple[tuple[str, str], ...]) -> list[tuple[int, in
         least = len(notices[i][0]) - errors_of(notices[i][0])
         found: list[tuple[int, int, int, int, int]] = []
 
+        seen: dict[str, tuple[int, int, int] | None] = {}  # a window's text decides what is found in it
+
         def search(low: int, high: int) -> None:
-            if high - low >= least and (m := patterns[i].search(line[low:high])):
-                heapq.heappush(found, (sum(m.fuzzy_counts), low + m.start(), low + m.end(), low, high))
+            if high - low < least:
+                return
+            part = line[low:high]
+            if part not in seen:
+                if len(seen) >= 1 << 14:
+                    seen.clear()
+                m = patterns[i].search(part)
+                seen[part] = m and (sum(m.fuzzy_counts), m.start(), m.end())
+            if seen[part]:
+                errors, x, y = seen[part]
+                heapq.heappush(found, (errors, low + x, low + y, low, high))
 
         for low, high in spans:
             search(low, high)
-        taken: list[tuple[int, int]] = []
+        size = len(notices[i][0]) + errors_of(notices[i][0])
+        taken: dict[int, list[tuple[int, int]]] = {}  # by start // size: a place overlaps those of three entries at most
         while found:
             errors, x, y, low, high = heapq.heappop(found)
-            at = bisect.bisect_left(taken, (x, y))
-            before = taken[at - 1] if at else (0, 0)
-            after = taken[at] if at < len(taken) else (len(line), len(line))
-            if before[1] <= x and y <= after[0]:
-                taken.insert(at, (x, y))
+            near = [t for b in range(x // size - 1, x // size + 2) for t in taken.get(b, ()) if t[0] < y and x < t[1]]
+            if not near:
+                taken.setdefault(x // size, []).append((x, y))
                 out.append((i, x, y, errors))
             else:
                 # what of the window lies on both sides of the better place
-                x, y = before if before[1] > x else after
+                x, y = min(near)
                 search(low, min(x, high))
                 search(max(low, y), high)
     return sorted(out, key=lambda m: m[1:])
@@ -123,18 +133,25 @@ def scan_text(text: bytes, notices: tuple[tuple[str, str], ...]) -> tuple:
     words = text.translate(_TABLE).split()
     line = (b" " + b" ".join(words) + b" ").decode("utf-8")
     places, base = [], set()
+    spaces = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), np.uint32) == 0x20)
+
+    def word_at(places: list[int]) -> list[int]:
+        """For places in the line, the index of the word there or before."""
+        return (np.searchsorted(spaces, places, "right") - 1).tolist()
+
     for phrase, label in BASE.items():
         needle, at = f" {phrase} ", -1
         while (at := line.find(needle, at + 1)) >= 0:
-            places.append(line.count(" ", 0, at + 1) - 1)
+            places.append(at)
             base.add(label)
+    places = word_at(places)
     labels, spans, best = set(base), [], 1.0 if base else 0.0
-    for i, x, y, errors in fuzzy(line, notices):
+    found = fuzzy(line, notices)
+    firsts, lasts = word_at([x for _, x, _, _ in found]), word_at([max(x, y - 2) for _, x, y, _ in found])
+    for (i, _, _, errors), first, last in zip(found, firsts, lasts, strict=True):
         notice, label = notices[i]
         labels.add(label)
-        first = line.count(" ", 0, x + 1) - 1
-        spans.append({"label": label, "first_word": max(0, first),
-                      "last_word": max(0, line.count(" ", 0, max(x + 1, y - 1)) - 1), "errors": errors})
+        spans.append({"label": label, "first_word": max(0, first), "last_word": max(0, last), "errors": errors})
         best = max(best, 1 - errors / len(notice))
     return (len(words), len(places), min(places, default=None), max(places, default=None),
             ",".join(sorted(base)), ",".join(sorted(labels)), best, spans)
