@@ -5,6 +5,12 @@ seed. Documents with a seed of an item are aligned with that item around the see
 gap -1. The score is the best local alignment's, divided by that of an exact copy. A document holds an item if the score
 is `least` or more, or if it has `verbatim` words in a row of the item, whose share of a long item may be small.
 
+Rarity of a seed, the number of items that have it, sets the order: candidates with a rare seed are aligned first, so that
+a document that is to go is mostly decided by them. No seed is left out. Before the alignment, a candidate has to have
+enough of the item's words, first in the document and then where the alignment would be: a score of `least` needs that
+share of them, so nothing is lost, while common seeds alone cost a look at the words. Seeds' places in the items are
+looked up for a bounded number at a time, however common a seed is.
+
 Alignments without n equal words in a row (every third word replaced) have no seed and are not found.
 
 The benchmark is sent to all tasks in blocks of `block_words` words at most (or one item, if that is longer); a larger
@@ -53,6 +59,12 @@ class Items:
     of: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    #: The n-grams ordered by `of`, and where those of each name begin (with the count last).
+    by: np.ndarray
+    begin: np.ndarray
+    #: Sorted distinct words, and the index of each item's words in them.
+    vocabulary: np.ndarray
+    word_ids: np.ndarray
 
 
 def items_of(table: pa.Table, n: int) -> Items:
@@ -69,8 +81,11 @@ def items_of(table: pa.Table, n: int) -> Items:
     values = np.concatenate(values) if values else np.zeros(0, np.uint64)
     names, of = np.unique(values, return_inverse=True)
     empty = np.zeros(0, np.int64)
+    by = np.argsort(of, kind="stable")
+    begin = np.searchsorted(of[by], np.arange(len(names) + 1))
+    vocabulary, word_ids = np.unique(words, return_inverse=True)
     return Items(ids, words, bounds, n, names, of, np.concatenate(item) if item else empty,
-                 np.concatenate(place) if place else empty)
+                 np.concatenate(place) if place else empty, by, begin, vocabulary, word_ids)
 
 
 def found(names: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,22 +126,74 @@ def local_scores(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return best, end_a, end_b
 
 
-def align(items: Items, words: np.ndarray, bounds: np.ndarray, least: float, verbatim: int):
-    """(text, item, score, first and last word) of alignments of some texts with the items they share seeds with."""
-    places, gram = found(items.names, gram_values(words, items.n))
-    by = np.argsort(items.of, kind="stable")
-    begin, end = np.searchsorted(items.of[by], gram), np.searchsorted(items.of[by], gram, "right")
-    sizes = end - begin
-    hit = by[np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
-    places = np.repeat(places, sizes)
+def best_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Only the scores: one column of words for each row pair, so that a step is a few operations on rows of cells."""
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    kind = np.int16 if 2 * len(a) + len(b) < 30_000 else np.int32
+    width, rows = b.shape
+    above, steps, best = np.zeros((width + 1, rows), kind), np.arange(width, dtype=kind)[:, None], np.zeros(rows, kind)
+    for word in a:
+        now = np.where(b == word, kind(2), kind(-1))
+        now += above[:-1]
+        above -= 1
+        np.maximum(now, above[1:], out=now)
+        now += steps
+        np.maximum.accumulate(now, axis=0, out=now)
+        now -= steps
+        np.maximum(now, 0, out=above[1:])
+        above[0] = 0
+        np.maximum(best, now.max(0), out=best)
+    return best
+
+
+#: Places of seeds in items that are looked at together, and cells of the alignments made together.
+_HITS, _CELLS = 1 << 17, 1 << 19
+
+
+def portions(sizes: np.ndarray, places: np.ndarray, overlap: int) -> Iterator[slice]:
+    """Runs of seeds with about _HITS places in items together. Each begins `overlap` words before the end of the last
+    one, so that seeds in a row are together in one of them."""
+    total, first = np.concatenate([[0], np.cumsum(sizes)]), 0
+    while first < len(places):
+        last = max(int(np.searchsorted(total, total[first] + _HITS, "right")) - 1, first + 1)
+        if last < len(places):  # beyond the overlap, or there is no progress
+            last = max(last, int(np.searchsorted(places, places[first] + overlap, "right")))
+        yield slice(first, last)
+        if last >= len(places):
+            return
+        first = max(first + 1, int(np.searchsorted(places, places[last - 1] - overlap + 1)))
+
+
+@dataclass
+class Candidates:
+    """Parts of texts that may hold an item, and what is known of each."""
+
+    doc: np.ndarray
+    item: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    copied: np.ndarray  # has enough words in a row
+    rarity: np.ndarray  # items that have its rarest seed
+
+    def of(self, some: np.ndarray) -> Candidates:
+        return Candidates(*(c[some] for c in (self.doc, self.item, self.low, self.high, self.copied, self.rarity)))
+
+
+def candidates(items: Items, places: np.ndarray, gram: np.ndarray, bounds: np.ndarray, least: float,
+               verbatim: int) -> Candidates:
+    """From seeds of texts: chains of seeds on near diagonals, with all words that an alignment through them can have."""
+    begin, sizes = items.begin[gram], items.begin[gram + 1] - items.begin[gram]
+    hit = items.by[np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+    places, common = np.repeat(places, sizes), np.repeat(sizes, sizes)
     doc = np.searchsorted(bounds, places, "right") - 1
     inside = places + items.n <= bounds[doc + 1]
     doc, item, places, diagonal = doc[inside], items.item[hit][inside], places[inside], (places - items.place[hit])[inside]
-    length = np.diff(items.bounds)
     order = np.lexsort((places, diagonal, item, doc))
-    doc, item, places, diagonal = doc[order], item[order], places[order], diagonal[order]
+    doc, item, places, diagonal, common = doc[order], item[order], places[order], diagonal[order], common[inside][order]
     if not len(doc):
-        return []
+        none = np.zeros(0, np.int64)
+        return Candidates(none, none, none, none, none.astype(bool), none)
+    length = np.diff(items.bounds)
     # seeds in a row on one diagonal are words in a row
     apart = (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(diagonal) != 0) | (np.diff(places) != 1)
     first = np.flatnonzero(np.concatenate(([True], apart)))
@@ -138,32 +205,103 @@ def align(items: Items, words: np.ndarray, bounds: np.ndarray, least: float, ver
     new = np.concatenate(([True], (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(diagonal) > slack[1:])))
     at = np.flatnonzero(new)
     last = np.concatenate((at[1:], [len(doc)])) - 1
-    doc, item, slack, copied = doc[at], item[at], slack[at], np.logical_or.reduceat(copied, at)
-    low = np.maximum(bounds[doc], diagonal[at] - slack)
-    high = np.minimum(bounds[doc + 1], diagonal[last] + length[item] + slack)
-    order = np.argsort(high - low, kind="stable")
+    low = np.maximum(bounds[doc[at]], diagonal[at] - slack[at])
+    high = np.minimum(bounds[doc[at] + 1], diagonal[last] + length[item[at]] + slack[at])
+    return Candidates(doc[at], item[at], low, high, np.logical_or.reduceat(copied, at), np.minimum.reduceat(common, at))
+
+
+def enough_words(items: Items, found_: Candidates, ids: np.ndarray, bounds: np.ndarray, least: float) -> Candidates:
+    """The candidates that have as many of the item's words as a score of `least` takes: each point of the score is two for
+    a word that is equal, less penalties. First whole texts are looked at, then the candidates' own parts."""
+    length = np.diff(items.bounds)
+
+    def item_words(c: Candidates) -> tuple[np.ndarray, np.ndarray]:
+        sizes = length[c.item]
+        begin = np.cumsum(sizes) - sizes
+        return items.word_ids[np.repeat(items.bounds[c.item] - begin, sizes) + np.arange(sizes.sum())], begin
+
+    def kept(c: Candidates, has: np.ndarray, begin: np.ndarray) -> Candidates:
+        equal = np.add.reduceat(has.astype(np.int64), begin) if len(begin) else begin
+        return c.of(np.flatnonzero((equal >= np.ceil(least * length[c.item] - 1e-9)) | c.copied))
+
+    present = np.zeros(len(items.vocabulary) + 1, bool)  # the last is for words that no item has
+    parts, edges = [], np.flatnonzero(np.diff(found_.doc, prepend=-1, append=-1))
+    for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        own = ids[bounds[found_.doc[i]]:bounds[found_.doc[i] + 1]]
+        present[own] = True
+        present[-1] = False
+        some = found_.of(np.arange(i, j))
+        which, begin = item_words(some)
+        parts.append(kept(some, present[which], begin))
+        present[own] = False
+    if not parts:
+        return found_
+    names = ("doc", "item", "low", "high", "copied", "rarity")
+    near = Candidates(*(np.concatenate([getattr(p, c) for p in parts]) for c in names))
+    # Where words occur: sorted by word, then place.
+    known = np.flatnonzero(ids < len(items.vocabulary))
+    where = np.sort(ids[known] * len(ids) + known)
+    which, begin = item_words(near)
+    sizes = length[near.item]
+    after = np.searchsorted(where, which * len(ids) + np.repeat(near.low, sizes))
+    has = np.concatenate([where, [np.iinfo(np.int64).max]])[after] < which * len(ids) + np.repeat(near.high, sizes)
+    return kept(near, has, begin)
+
+
+def align(items: Items, words: np.ndarray, bounds: np.ndarray, least: float, verbatim: int, any_: bool = False):
+    """(text, item, score, first and last word) of alignments of some texts with the items they share seeds with. With
+    `any_`, texts that have an item already are not looked at further."""
+    places, gram = found(items.names, gram_values(words, items.n))
+    at = np.minimum(np.searchsorted(items.vocabulary, words), len(items.vocabulary) - 1) if len(items.vocabulary) else None
+    if at is None or not len(places):
+        return []
+    ids = np.where(items.vocabulary[at] == words, at, len(items.vocabulary))  # in the vocabulary of all items
+    length = np.diff(items.bounds)
     out: dict[tuple[int, int], tuple[float, int, int]] = {}
-    done = 0
+    done_texts = np.zeros(len(bounds), bool)
+    for part in portions(items.begin[gram + 1] - items.begin[gram], places, max(verbatim, items.n)):
+        c = candidates(items, places[part], gram[part], bounds, least, verbatim)
+        c = enough_words(items, c, ids, bounds, least)
+        if any_:
+            c = c.of(np.flatnonzero(~done_texts[c.doc]))
+        # Rare seeds first, and of equal size what is aligned together.
+        rounds = np.split(np.argsort(c.rarity, kind="stable"), [len(c.doc) // 8]) if any_ else [np.arange(len(c.doc))]
+        for some in rounds:
+            if any_:
+                some = some[~done_texts[c.doc[some]]]
+            for key, best in _aligned(items, words, ids, bounds, c.of(some), length, least):
+                done_texts[key[0]] = True
+                if key not in out or best[0] > out[key][0]:
+                    out[key] = best
+    return [(*k, *v) for k, v in sorted(out.items())]
+
+
+def _aligned(items: Items, words: np.ndarray, ids: np.ndarray, bounds: np.ndarray, c: Candidates, length: np.ndarray,
+             least: float):
+    """((text, item), (score, first and last word)) of the candidates that hold their item."""
+    order, done = np.argsort(c.high - c.low, kind="stable"), 0
     while done < len(order):
-        some = order[done:done + max(1, (1 << 19) // int((high - low)[order[min(len(order), done + 256) - 1]]) )][:256]
+        widest = int((c.high - c.low)[order[min(len(order), done + 256) - 1]])
+        some = order[done:done + max(1, _CELLS // widest)][:256]
         done += len(some)
-        a, b = _padded(items.words, items.bounds[item[some]], length[item[some]], 0), _padded(
-            words, low[some], (high - low)[some], 1)
-        best, end_a, end_b = local_scores(a, b)
-        score = best / (2.0 * length[item[some]])
-        good = np.flatnonzero((score >= least) | copied[some])
-        if not len(good):
+        low, high, item = c.low[some], c.high[some], c.item[some]
+        score = best_scores(_padded(items.word_ids, items.bounds[item], length[item], -1),
+                            _padded(ids, low, high - low, -2)) / (2.0 * length[item])
+        some = some[(score >= least) | c.copied[some]]
+        if not len(some):
             continue
+        low, high, item = c.low[some], c.high[some], c.item[some]
+        best, end_a, end_b = local_scores(_padded(items.words, items.bounds[item], length[item], 0),
+                                          _padded(words, low, high - low, 1))
+        score = best / (2.0 * length[item])
         # where it starts: the same, backwards from where it ends
-        back_a = _padded(items.words[::-1], len(items.words) - items.bounds[item[some[good]]] - end_a[good], end_a[good], 0)
-        back_b = _padded(words[::-1], len(words) - low[some[good]] - end_b[good], end_b[good], 1)
-        start_b = end_b[good] - local_scores(back_a, back_b)[2]
-        for g, s in zip(good.tolist(), start_b.tolist(), strict=True):
-            i = some[g]
-            key, base = (int(doc[i]), int(item[i])), int(low[i] - bounds[doc[i]])
-            if key not in out or score[g] > out[key][0]:
-                out[key] = (float(score[g]), base + s, base + int(end_b[g]) - 1)
-    return [(*k, *v) for k, v in sorted(out.items())]
+        back_a = _padded(items.words[::-1], len(items.words) - items.bounds[item] - end_a, end_a, 0)
+        back_b = _padded(words[::-1], len(words) - low - end_b, end_b, 1)
+        start_b = end_b - local_scores(back_a, back_b)[2]
+        for g, s in enumerate(start_b.tolist()):
+            doc = int(c.doc[some[g]])
+            base = int(low[g] - bounds[doc])
+            yield (doc, int(item[g])), (float(score[g]), base + s, base + int(end_b[g]) - 1)
 
 
 def _padded(words: np.ndarray, start: np.ndarray, size: np.ndarray, pad: int) -> np.ndarray:
@@ -219,7 +357,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, n:
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
                 for x, words, bounds in batches_of(batch):
-                    clean[[x + m[0] for m in align(shared.value, words, bounds, least, verbatim)]] = False
+                    clean[[x + m[0] for m in align(shared.value, words, bounds, least, verbatim, any_=True)]] = False
                 yield batch.filter(pa.array(clean))
 
         out = out.mapInArrow(run, docs.schema)

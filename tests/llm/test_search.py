@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -36,6 +38,47 @@ def test_neighbours_recall(spark):
         assert all(s == pytest.approx(exact.get(i, s), rel=1e-12) for s, i in got[q])
 
 
+def test_neighbours_are_verified_one_by_one():
+    """The stopping test holds before all vectors are verified: about two thirds of vectors without structure, few of
+    clustered ones."""
+    rng = np.random.default_rng(2)
+    table = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    given = np.array(table["embedding"].to_pylist(), float)
+    centres = rng.standard_normal((40, 64)) * 10
+    clustered = centres[rng.integers(0, 40, 2000)] + rng.standard_normal((2000, 64))
+    for points, most in ((given[np.isfinite(given).all(1) & (given != 0).any(1)], 0.72), (clustered, 0.1)):
+        base = np.random.default_rng(11).standard_normal((points.shape[1], 12))
+        tree, ids, verified, hits = ann.Tree(points @ base), np.arange(len(points)), 0, 0
+        orders = tree.by_distance
+
+        def counted(query, some, orders=orders):
+            nonlocal verified
+            far = -1.0
+            for rows, left in orders(query, some):
+                assert left >= far and np.isclose(((tree.points[rows] - query) ** 2).sum(1).min(), left)
+                yield rows, left
+                far, verified = left, verified + len(rows)
+
+        tree.by_distance = counted
+        for q in range(0, len(points), 100):
+            _, names = ann.search(tree, points, ids, points[q], points[q] @ base, q, 10, 6, 0.9)
+            far = ((points - points[q]) ** 2).sum(1)
+            far[q] = np.inf
+            hits += len(set(names.tolist()) & set(np.argsort(far, kind="stable")[:10].tolist()))
+        queries = len(range(0, len(points), 100))
+        assert hits >= 0.95 * 10 * queries
+        assert verified <= most * len(points) * queries
+
+
+def test_neighbours_in_blocks_of_queries(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    many = docs.crossJoin(spark.range(3).withColumnRenamed("id", "copy")).withColumn(
+        "vec_id", F.col("vec_id") + F.col("copy") * 1000).drop("copy")
+    asks = F.col("vec_id") % 2 == 0
+    one = ann.nearest(many, asks, block_mb=64).collect()
+    assert sorted(one) == sorted(ann.nearest(many, asks, block_mb=0.05).collect())
+
+
 def test_neighbours_of_odd_rows(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (100, [0.0, 0.0]), (200, None), (300, [nan, 1.0]), (400, [1.0, None]), (500, [float("inf"), 1.0]),
@@ -178,6 +221,15 @@ def test_notices_equal_search_of_whole_text(seed):
         assert got == recursive_places(line, notice, 0, len(line))
 
 
+def test_long_texts_full_of_places():
+    notices, start = tuple(licenses.NOTICES.items()), time.process_time()
+    row = licenses.scan_text(b"cc by the " * 1_000_000, notices)
+    assert row[:4] == (3_000_000, 1_000_000, 0, 2_999_997)
+    row = licenses.scan_text(b"released under the mit licence " * 30_000, notices)
+    assert [(s["first_word"], s["last_word"], s["errors"]) for s in row[7]] == [(5 * i, 5 * i + 4, 1) for i in range(30_000)]
+    assert time.process_time() - start < 60
+
+
 def test_no_notice():
     assert licenses.scan_text(b"an apache helicopter, licensed to fly under the radar", tuple(licenses.NOTICES.items()))[5] == ""
     assert licenses.scan_text("the mit licensee; mit-license".encode(), ())[1:6] == (1, 3, 3, "mit", "mit")
@@ -278,3 +330,65 @@ def test_decontamination_of_odd_rows(odd, clashing, empty, spark):
     assert decontam.contaminated(empty, bench).collect() == []
     assert decontam.contaminated(odd, bench.limit(0)).collect() == []
     assert decontam.decontaminated(odd, bench.limit(0)).count() == odd.count()
+
+
+def full_alignments(docs, bench, least=0.4, n=3, verbatim=13):
+    """Every document against every item, whole texts."""
+    def values(text):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        return decontam.word_values(data, np.array([0, len(data)]))[0]
+
+    want = {}
+    for doc_id, text in docs:
+        words = values(text)
+        for item_id, item in bench:
+            own = values(item)
+            if len(own) < n or len(words) < n:
+                continue
+            grams = set(decontam.gram_values(words, n).tolist())
+            if not grams & set(decontam.gram_values(own, n).tolist()):
+                continue
+            score = int(decontam.local_scores(own[None], words[None])[0][0]) / (2 * len(own))
+            copied = len(own) >= verbatim and len(words) >= verbatim and bool(
+                set(decontam.gram_values(words, verbatim).tolist()) & set(decontam.gram_values(own, verbatim).tolist()))
+            if score >= least or copied:
+                want[doc_id, item_id] = score
+    return want
+
+
+@pytest.mark.parametrize("hits", [1 << 17, 7])
+def test_contaminated_equals_alignment_of_all_pairs(spark, monkeypatch, hits):
+    """Also where the places of common seeds are looked at a few at a time."""
+    monkeypatch.setattr(decontam, "_HITS", hits)
+    rng = np.random.default_rng(8)
+    word = lambda: f"v{int(rng.zipf(1.4)) % 300}"
+    prompt = [word() for _ in range(5)]  # begins every item and stands in most documents
+    items = [prompt + [word() for _ in range(int(rng.integers(5, 40)))] for _ in range(25)] + [["one", "two"], []]
+    rows = []
+    for i in range(60):
+        text = [word() for _ in range(int(rng.integers(0, 150)))]
+        if i % 3:
+            text[len(text) // 2:len(text) // 2] = edits(items[i % 25], rng, 0.1 * (i % 5))
+        if i % 4 == 0:
+            text += prompt * 3
+        rows.append((i, " ".join(text)))
+    bench = [(i, " ".join(w)) for i, w in enumerate(items)]
+    want = full_alignments(rows, bench)
+    data, offsets = decontam.tx.utf8(decontam.pa.array([t for _, t in rows]))
+    words, bounds = decontam.word_values(data, offsets)
+    own = decontam.items_of(decontam.pa.table({"item_id": [i for i, _ in bench], "text": [t for _, t in bench]}), 3)
+    got = {(d, i): s for d, i, s, _, _ in decontam.align(own, words, bounds, 0.4, 13)}
+    assert got == pytest.approx(want) and len(got) > 25
+    assert {d for d, *_ in decontam.align(own, words, bounds, 0.4, 13, any_=True)} == {d for d, _ in want}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench_df = spark.createDataFrame(bench, "item_id long, text string")
+    found = decontam.contaminated(docs, bench_df).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in found} == pytest.approx(want)
+    assert {r.doc_id for r in decontam.decontaminated(docs, bench_df).collect()} == set(range(60)) - {d for d, _ in want}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_scores_without_places(seed):
+    rng = np.random.default_rng(seed)
+    a, b = rng.integers(0, 6, (20, 15)), rng.integers(0, 6, (20, 30))
+    assert decontam.best_scores(a, b).tolist() == decontam.local_scores(a, b)[0].tolist()
