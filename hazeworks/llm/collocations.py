@@ -3,9 +3,10 @@
 A suffix is the words from one place on, up to the longest phrase, inside its piece of text. The tree of all suffixes is
 never built as a whole: it is cut below word prefixes, and each group of prefixes has its subtrees built on its own.
 
-1. Prefixes are counted, one word long, then two. Below a prefix that is rarer than `least` there is no candidate, so
-   suffixes are truncated before the first pair of words that is too rare: a bitmap of bounded size, which never hides a
-   frequent pair, tells the tasks which those are.
+1. Prefixes are counted, one word long, then two, and so on up to one less than the longest phrase. Below a prefix that is
+   rarer than `least` there is no candidate, so only prefixes are counted whose parts are frequent, and suffixes are
+   truncated where a part becomes too rare. Bitmaps of bounded size, which never hide a frequent prefix, tell the tasks
+   which those are; longer prefixes are counted by 40-bit keys, where two that meet only seem more frequent.
 2. A prefix with more suffixes than the memory budget is extended by a word, and beyond that to the whole suffix. There
    are as many groups as the counted suffixes need under the budget; prefixes are dealt into them by hash.
 3. A group's suffixes, sorted, are its subtrees: depth first, with one open path. A node's count is the total of the
@@ -55,11 +56,17 @@ class Words:
         self.joined = (piece[:-1] == piece[1:]) & (self.doc[:-1] == self.doc[1:])
         self.keys = lang_keys(langs)[self.doc] ^ word_hashes(self.raw, self.starts, self.ends)
 
-    def pairs(self, frequent) -> tuple[np.ndarray, np.ndarray]:
-        """For each word but the last: the key of it and the next one, and whether both are in one piece and not surely
-        rare."""
-        often = frequent.holds(self.keys)
-        return pair_keys(self.keys[:-1], self.keys[1:]), self.joined & often[:-1] & often[1:]
+    def grams(self, frequent: list[Broadcast]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For prefixes of two words, then three, one longer than the bitmaps at most: the key at each start, and whether
+        the words are in one piece and no part of them is surely rare; the last ones are not looked up themselves."""
+        keys, often, joined = self.keys, frequent[0].value.holds(self.keys), self.joined
+        for k in range(2, len(frequent) + 2):
+            keys = gram_keys(keys[:-1], self.keys[k - 1:])
+            often = often[:-1] & often[1:] & joined[:len(keys)]
+            joined = np.ones(len(keys), bool)  # from three words on, the parts are in one piece
+            if k <= len(frequent):
+                often &= frequent[k - 1].value.holds(keys)
+            yield keys, often
 
 
 def lang_keys(langs: list[bytes]) -> np.ndarray:
@@ -76,8 +83,9 @@ def word_keys(langs: list[bytes], texts: list[bytes]) -> np.ndarray:
     return lang_keys(langs) ^ word_hashes(np.frombuffer(b"".join(texts), np.uint8), starts, ends)
 
 
-def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix(first * U(3) ^ mix(second))
+def gram_keys(before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """From the keys of all words but the last, and of the last word."""
+    return mix(before * U(3) ^ mix(last)) & U((1 << 40) - 1)
 
 
 def over_texts(docs: DataFrame, add: Callable[[Words, dict], int], out: Callable[[dict], list[pa.Array]],
@@ -113,7 +121,7 @@ def _entries(state: dict) -> tuple[list[bytes], list[bytes], list[int]]:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, key, n) of all words."""
+    """(lang, word, n) of all words."""
 
     def add(part: Words, state: dict) -> int:
         raw, doc = part.raw.tobytes(), part.doc
@@ -124,19 +132,29 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def out(state: dict) -> list[pa.Array]:
         langs, texts, counts = _entries(state)
-        return [pa.array(langs, pa.binary()), pa.array(texts, pa.binary()),
-                pa.array(word_keys(langs, texts).view(np.int64)), pa.array(counts, pa.int64())]
+        return [pa.array(langs, pa.binary()), pa.array(texts, pa.binary()), pa.array(counts, pa.int64())]
 
-    found = over_texts(docs, add, out, "lang binary, word binary, key bigint, n bigint")
-    return found.groupBy("lang", "word", "key").agg(F.sum("n").alias("n")).select(
-        F.col("lang").cast("string").alias("lang"), F.col("word").cast("string").alias("word"), "key", "n")
+    found = over_texts(docs, add, out, "lang binary, word binary, n bigint")
+    return found.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def pair_counts(docs: DataFrame, frequent: Broadcast) -> DataFrame:
-    """(key, n) of the pairs of frequent words. Pairs that share a key add up, so that none seems too rare."""
+def with_word_keys(counts: DataFrame) -> DataFrame:
+    """(lang, word, n, key)."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            keys = word_keys(batch.column("lang").to_pylist(), batch.column("word").to_pylist())
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("lang", "word", "n")), pa.array(keys.view(np.int64))],
+                                             ["lang", "word", "n", "key"])
+
+    return counts.select("lang", "word", "n").mapInArrow(run, "lang binary, word binary, n bigint, key bigint")
+
+
+def gram_counts(docs: DataFrame, frequent: list[Broadcast]) -> DataFrame:
+    """(key, n) of prefixes one word longer than the bitmaps' longest, whose parts are frequent."""
 
     def add(part: Words, state: dict) -> int:
-        keys, often = part.pairs(frequent.value)
+        *_, (keys, often) = part.grams(frequent)
         state.setdefault("keys", []).append(keys[often])
         return sum(map(len, state["keys"]))
 
@@ -147,18 +165,16 @@ def pair_counts(docs: DataFrame, frequent: Broadcast) -> DataFrame:
     return over_texts(docs, add, out, "key bigint, n bigint", _PAIRS).groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def suffixes(docs: DataFrame, longest: int, frequent: Broadcast, pairs: Broadcast, heavy: Broadcast) -> DataFrame:
-    """(prefix, split, lang, w1.., n): suffixes of frequent pairs and the group key of their prefix. `split` tells that a
-    prefix of two words was over the budget and the whole suffix is the prefix."""
+def suffixes(docs: DataFrame, longest: int, frequent: list[Broadcast], heavy: Broadcast) -> DataFrame:
+    """(prefix, split, lang, w1.., n): suffixes, as long as their parts are frequent, and the group key of their prefix.
+    `split` tells that a prefix of two words was over the budget and the whole suffix is the prefix."""
 
     def add(part: Words, state: dict) -> int:
-        keys, follows = part.pairs(frequent.value)
-        follows = np.concatenate([follows & pairs.value.holds(keys), np.zeros(longest, bool)])
-        begin = np.flatnonzero(follows)
-        last, open_ = begin.copy(), np.ones(len(begin), bool)
-        for k in range(longest - 1):  # the k-th next word belongs to the suffix while every pair before it is frequent
-            open_ &= follows[begin + k]
-            last += open_
+        depth = np.zeros(len(part.keys), np.int64)
+        for _, often in part.grams(frequent):
+            depth[:len(often)] += often
+        begin = np.flatnonzero(depth)
+        last = begin + depth[begin]
         raw, starts, ends = part.raw.tobytes(), part.starts[begin], part.ends[last]
         # Words with more than a space between them are put together again.
         sizes = np.concatenate([[0], np.cumsum(part.ends - part.starts)])
@@ -176,7 +192,7 @@ def suffixes(docs: DataFrame, longest: int, frequent: Broadcast, pairs: Broadcas
         langs, texts, counts = _entries(state)
         split_texts = [t.split(b" ") for t in texts]
         first = word_keys(langs, [t[0] for t in split_texts])
-        pair = pair_keys(first, word_keys(langs, [t[1] for t in split_texts]))
+        pair = gram_keys(first, word_keys(langs, [t[1] for t in split_texts]))
         heavy_words, heavy_pairs = heavy.value
         extended = np.isin(first, heavy_words)
         split = extended & np.isin(pair, heavy_pairs)
@@ -238,32 +254,35 @@ def read_subtrees(longest: int, least: int):
     return run
 
 
-def phrase_counts(docs: DataFrame, least: int = 30, longest: int = 4, budget: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, least: int = 30, longest: int = 4, budget: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
     """(lang, n): words of each language; and (lang, phrase, words, f): phrases that occur `least` times, of one word on."""
     spark = docs.sparkSession
     counted = saved(word_counts(docs))
     sizes = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     budget = max(budget, math.ceil(total / _HEAVY))
-    often = counted.where(F.col("n") >= least)
-    frequent = spark.sparkContext.broadcast(bitmap_of(often.select("key"), "key"))
-    pairs = saved(pair_counts(docs, frequent).where(F.col("n") >= least))
-    kept = pairs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = saved(with_word_keys(counted.where(F.col("n") >= least)))
+    frequent, levels = [spark.sparkContext.broadcast(bitmap_of(often, "key"))], [often]
+    for _ in range(2, longest):
+        levels.append(saved(gram_counts(docs, frequent).where(F.col("n") >= least)))
+        frequent.append(spark.sparkContext.broadcast(bitmap_of(levels[-1], "key")))
+    # Every suffix begins with a frequent pair, if pairs were counted.
+    kept = levels[1].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] if longest > 2 else total
     heavy = spark.sparkContext.broadcast(tuple(
         np.array([r["key"] for r in over.where(F.col("n") > budget).select("key").collect()], np.int64).view(U)
-        for over in (often, pairs)))
-    known = spark.sparkContext.broadcast(bitmap_of(pairs, "key"))
+        for over in (levels * 2)[:2]))
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * kept / budget))
     path = ["split", "lang", *[f"w{i}" for i in range(1, longest + 1)]]
-    nodes = suffixes(docs, longest, frequent, known, heavy).repartition(groups, "prefix").select(
+    nodes = suffixes(docs, longest, frequent, heavy).repartition(groups, "prefix").select(
         *path, "n").sortWithinPartitions(*path).mapInArrow(
         read_subtrees(longest, least), "split boolean, lang binary, phrase binary, words int, f bigint")
     nodes = saved(nodes.select("split", F.col("lang").cast("string").alias("lang"),
                                F.col("phrase").cast("string").alias("phrase"), "words", "f"))
     whole = nodes.where("NOT split").drop("split")
     added = nodes.where("split").groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-    single = often.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), F.col("n").alias("f"))
-    return sizes, whole.unionByName(added).unionByName(single)
+    single = often.select(F.col("lang").cast("string").alias("lang"), F.col("word").cast("string").alias("phrase"),
+                          F.lit(1).alias("words"), F.col("n").alias("f"))
+    return sizes.withColumn("lang", F.col("lang").cast("string")), whole.unionByName(added).unionByName(single)
 
 
 def part(words: Column, first: int, count: int) -> Column:
@@ -324,7 +343,7 @@ def first_of_each(rows: DataFrame, group: str, order: list[Column], first: int)
 
 
 def collocations(docs: DataFrame, least: int = 30, longest: int = 4, first: int = 2000, share: int = 80,
-                 budget: int = 1 << 20) -> DataFrame:
+                 budget: int = 1 << 18) -> DataFrame:
     """Per language its first phrases by score: lang, rank, phrase, a, l, r, n, score."""
     sizes, phrases = phrase_counts(docs, least, longest, budget)
     phrases = saved(phrases)
