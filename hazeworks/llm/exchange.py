@@ -77,15 +77,15 @@ def to_buckets(home: int, keys: np.ndarray, columns: list[np.ndarray], buckets:
             for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x or all_buckets]
 
 
-def with_homes(docs: DataFrame, home_bytes: int, like: DataFrame | None = None) -> DataFrame:
-    """Rows dealt by doc_id into homes of about home_bytes of text each; `like`, if given, has the texts.
+def with_homes(docs: DataFrame, home_bytes: int, like: DataFrame | None = None, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Rows dealt by doc_id, or the columns `by`, into homes of about home_bytes of text each; `like`, if given, has the texts.
 
     The number of homes follows from the total size of all texts. Every use of the result in one plan reads the same
     exchange.
     """
     total = (like or docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     homes = max(1, math.ceil(total / home_bytes))
-    return docs.withColumn(HOME, F.pmod(F.xxhash64("doc_id"), F.lit(homes)).cast("int"))
+    return docs.withColumn(HOME, F.pmod(F.xxhash64(*by), F.lit(homes)).cast("int"))
 
 
 def spread(blocks: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Substring deduplication over words: FM-index per shard, matching statistics of streamed text.
 
 Method: a shard (see repeats: the contexts under a range of anchors) is kept as an FM-index, a wavelet matrix over the
-Burrows-Wheeler transform of its words. The shard's contexts are streamed against it by backward search; where the
+Burrows-Wheeler transform of its words. The words of contexts are streamed against it by backward search; where the
 matching statistics reach the window length, the interval of suffixes names all documents that have the window, and
 the smallest of them decides. Maximal runs of covered words are the reported intervals.
 
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from hazeworks.llm import text as tx
 from hazeworks.llm.repeats import _NEVER, Scheme, sha256, without_repeats
-from hazeworks.llm.suffixes import FMIndex, starts_of_windows
+from hazeworks.llm.suffixes import FMIndex
 
 DIGEST = (T.StructType().add("doc_id", "long").add("n_words", "long").add("n_removed", "long")
           .add("kept_sha256", "string").add("spans", T.ArrayType(T.ArrayType(T.LongType()))))
@@ -33,12 +33,14 @@ def compare_words(texts: list[np.ndarray], smallest: np.ndarray, window: int, na
     _, words = np.unique(tx.word_hashes(data, starts, ends), return_inverse=True)
     symbols = int(words.max(initial=0)) + 2
     index = FMIndex(np.split(words + 1, bounds[1:-1]), symbols)
-    start, counts = starts_of_windows(index.begins, window)
-    length, low, high = index.match(index.text, start + window, window)
-    if (length < window).any():
-        raise AssertionError("a shard does not hold what was built into it")
+    counts = np.maximum(0, np.diff(bounds) - window + 1)
+    start = np.repeat(bounds[:-1] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    length, low, high = index.match(words + 1, start + window, window)
+    reached = length == window
     owner = np.append(smallest[np.searchsorted(index.begins, index.order, "right") - 1], _NEVER)
-    least = np.minimum.reduceat(owner, np.stack((low, high), 1).reshape(-1))[::2] if len(low) else low
+    least = np.full(len(start), _NEVER)
+    if reached.any():
+        least[reached] = np.minimum.reduceat(owner, np.stack((low[reached], high[reached]), 1).reshape(-1))[::2]
     return np.split(least, np.cumsum(counts)[:-1])
 
 

@@ -12,7 +12,9 @@ anchor's context; every window belongs to exactly one context.
 
 An anchor with more than `most` different contexts (a line in very many documents) would make one large block. Its
 homes send the hashes of its windows in step 2 instead, which spread over all buckets, and equal ones combine. No
-window is left out either way.
+window is left out either way. A home that has more than `most_in_home` contexts of an anchor does not list them in step 1:
+it says so in one entry, and the anchor is dealt with in this way everywhere. An anchor thus has a bounded number of
+entries a home, however many documents hold it.
 
 Contexts are taken as equal if anchor and context hash are, windows sent as hashes if two hashes are: 128 bits each.
 """
@@ -34,6 +36,8 @@ from hazeworks.llm import text as tx
 _CHUNK = (1 << 20) - 4096  # places whose position fits into the low 20 bits of a sort key
 _NEVER = np.iinfo(np.int64).max
 WHOLE, COPY, LISTED, SPLIT = 1, 2, 4, 8
+#: In place of the number of a context: the anchor has more contexts in this home than are listed.
+UNLISTED = 3
 
 
 @dataclass(frozen=True)
@@ -51,6 +55,7 @@ class Scheme:
     by_smaller: bool
     compare: Callable[[list[np.ndarray], np.ndarray, int, np.ndarray, np.ndarray], list[np.ndarray]]
     most: int = 2000
+    most_in_home: int = 64
     block: int = 1 << 21
 
 
@@ -152,6 +157,15 @@ def send_anchors(table: pa.Table, scheme: Scheme, buckets: int) -> pa.Table:
     *keys, doc = (np.concatenate(c) for c in zip(*found, strict=True))
     least = doc_ids(table, scheme)[doc]
     (anchor, context), least, many, _ = combined(keys, least, np.ones(len(least), np.uint8))
+    if len(anchor):
+        at = np.flatnonzero(np.concatenate(([True], np.diff(anchor) != 0)))
+        sizes = np.diff(np.concatenate((at, [len(anchor)])))
+        over = at[sizes > scheme.most_in_home]
+        least[over] = np.minimum.reduceat(least, at)[sizes > scheme.most_in_home]
+        many[over], context[over] = UNLISTED, 0
+        listed = np.repeat(sizes <= scheme.most_in_home, sizes)
+        listed[over] = True
+        anchor, context, least, many = anchor[listed], context[listed], least[listed], many[listed]
     home = int(table[ex.HOME][0].as_py())
     return ex.blocks_table(ex.to_buckets(home, anchor, [context, least, many], buckets))
 
@@ -180,7 +194,8 @@ def meet_anchors(table: pa.Table, scheme: Scheme) -> pa.Table:
     contexts = np.add.reduceat(new_pair.astype(np.int64), at)[group]
     smallest = np.minimum.reduceat(least, at)[group]
     copied = np.add.reduceat(many, at_pair)[pair] > 1
-    alone, split = contexts == 1, contexts > scheme.most
+    unlisted = np.maximum.reduceat(many == UNLISTED, at)[group]
+    alone, split = (contexts == 1) & ~unlisted, (contexts > scheme.most) | unlisted
     kind = np.where(alone, WHOLE, np.where(split, SPLIT, np.where(new_pair, COPY, LISTED)))
     if not scheme.by_smaller:  # a context with a copy is decided; one copy still goes to the block, for the others
         kind = np.where(copied & ~alone & ~split, np.where(new_pair, WHOLE | COPY, WHOLE), kind)
@@ -346,7 +361,7 @@ def without_repeats(docs: DataFrame, scheme: Scheme, describe: Callable[[pa.Tabl
     docs has doc_id, text and any other columns; describe gets them all.
     """
     buckets = ex.bucket_count(docs)
-    homes = ex.with_homes(docs, home_bytes)
+    homes = ex.with_homes(docs, home_bytes, by=("doc_id", "text"))
 
     def tell(key, table):
         return send_anchors(table, scheme, buckets)

@@ -23,9 +23,6 @@ from hazeworks.llm.repeats import _NEVER, Scheme, sha256, without_repeats
 DIGEST = (T.StructType().add("doc_id", "long").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
           .add("kept_sha256", "string"))
 
-DIGEST = (T.StructType().add("doc_id", "long").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
-          .add("kept_sha256", "string"))
-
 
 #: Windows whose anchors have offsets in one class of this many share all but so many bytes.
 _CLASS = 16

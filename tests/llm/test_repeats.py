@@ -6,11 +6,14 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from hazeworks.llm import exchange as ex
 from hazeworks.llm import repeats as rp
 from hazeworks.llm import suffixes as sx
 from hazeworks.llm.fm_substring import compare_words, repeated_words
+from hazeworks.llm.fm_substring import scheme as word_scheme
 from hazeworks.llm.suffix_dedup import repeated_bytes, scheme, without_repeated_bytes
 
 
@@ -94,6 +97,39 @@ def test_a_line_in_many_documents_is_split(spark):
     assert whole == split == sorted(brute_bytes(rows, 60))
 
 
+@pytest.mark.parametrize("plan", [scheme(200), word_scheme(13)])
+def test_a_line_in_very_many_documents_makes_no_large_bucket(plan):
+    """One line in 8,000 documents of different surroundings: its anchors have few entries a home."""
+    rng = np.random.default_rng(4)
+    line = "one and the same line that stands in all of them and is long enough for a window of words or bytes here"
+    words = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(rng.choice(words, 60)) + f" {line} " + " ".join(rng.choice(words, 60)) for _ in range(8000)]
+    sizes, buckets = np.zeros(64, int), 64
+    for home in range(4):
+        own = texts[home::4]
+        table = pa.table({"doc_id": np.arange(len(own)), "text": own, ex.HOME: np.full(len(own), home, np.int32)})
+        blocks = rp.send_anchors(table, plan, buckets)
+        for bucket, block in zip(blocks[ex.BUCKET].to_pylist(), blocks[ex.BLOCK].to_pylist(), strict=True):
+            sizes[bucket] += len(ex.unpack(block)[0])
+    assert sizes.max() <= 3 * np.median(sizes)
+
+
+def test_homes_that_do_not_list_the_contexts_of_an_anchor(spark, monkeypatch):
+    import dataclasses
+
+    from hazeworks.llm import fm_substring as fm
+    from hazeworks.llm import suffix_dedup as sd
+
+    line = "the very same line of text in every single one of all documents here and there and everywhere else too"
+    rows = [(i % 100, f"{hashlib.md5(b'%d' % i).hexdigest() * 3} {line if i % 3 else line * 2} {i * 7919}") for i in range(120)]
+    rows += [(1000, rows[0][1]), (None, rows[1][1] + "x"), (None, line)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(sd, "scheme", lambda n: dataclasses.replace(scheme(n), most_in_home=2))
+    monkeypatch.setattr(fm, "scheme", lambda n: dataclasses.replace(word_scheme(n), most_in_home=2))
+    assert sorted(map(tuple, repeated_bytes(docs, 60, 4096).collect()), key=str) == brute_bytes(rows, 60)
+    assert sorted((tuple(r)[:4] for r in repeated_words(docs, 13, 4096).collect()), key=str) == brute_words(rows, 13)
+
+
 def test_texts_are_cut_at_characters(spark):
     same = "漢字かな" * 30
     docs = spark.createDataFrame([(1, "a" + same + "é", "k"), (2, "é" + same + "b", None), (3, None, "x")],
