@@ -10,10 +10,10 @@ never built as a whole: it is cut below word prefixes, and each group of prefixe
 2. A prefix with more suffixes than the memory budget is extended by a word, and beyond that to the whole suffix. There
    are as many groups as the counted suffixes need under the budget; prefixes are dealt into them by hash.
 3. A group's suffixes, sorted, are its subtrees: depth first, with one open path. A node's count is the total of the
-   leaves below it. Spark sorts on disk if it must, and the reader holds a path, so memory does not grow with a group.
+   leaves below it. A group is as large as the budget says, whatever the corpus is.
 
-Equal suffixes of a task are one row with a count before they move. Counts of nodes whose prefix was extended past
-them add up over groups; all others are whole.
+Tasks put equal suffixes together and send each group a packed block, not rows. Counts of nodes whose prefix was extended
+past them add up over groups; all others are whole.
 
 Cases: null text has no words; a null language is `und`; repeated rows count each; an empty table gives an empty result;
 further columns are not read.
@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeworks.llm.bitmaps import bitmap_of
+from hazeworks.llm.exchange import pack, unpack
 from hazeworks.llm.saving import saved
 from hazeworks.llm.text import U, batches, mix, utf8, word_hashes, words
 
@@ -165,9 +166,9 @@ def gram_counts(docs: DataFrame, frequent: list[Broadcast]) -> DataFrame:
     return over_texts(docs, add, out, "key bigint, n bigint", _PAIRS).groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def suffixes(docs: DataFrame, longest: int, frequent: list[Broadcast], heavy: Broadcast) -> DataFrame:
-    """(prefix, split, lang, w1.., n): suffixes, as long as their parts are frequent, and the group key of their prefix.
-    `split` tells that a prefix of two words was over the budget and the whole suffix is the prefix."""
+def suffixes(docs: DataFrame, frequent: list[Broadcast], heavy: Broadcast, groups: int) -> DataFrame:
+    """(group, block): suffixes, as long as their parts are frequent, dealt by their prefix into groups. A block has counts,
+    languages and texts, and whether a prefix of two words was over the budget and the whole suffix is the prefix."""
 
     def add(part: Words, state: dict) -> int:
         depth = np.zeros(len(part.keys), np.int64)
@@ -190,7 +191,7 @@ def suffixes(docs: DataFrame, longest: int, frequent: list[Broadcast], heavy: Br
 
     def out(state: dict) -> list[pa.Array]:
         langs, texts, counts = _entries(state)
-        split_texts = [t.split(b" ") for t in texts]
+        split_texts = [t.split(b" ", 2) for t in texts]
         first = word_keys(langs, [t[0] for t in split_texts])
         pair = gram_keys(first, word_keys(langs, [t[1] for t in split_texts]))
         heavy_words, heavy_pairs = heavy.value
@@ -199,59 +200,79 @@ def suffixes(docs: DataFrame, longest: int, frequent: list[Broadcast], heavy: Br
         prefix = np.where(extended, pair, first)
         whole = np.flatnonzero(split).tolist()
         prefix[whole] = word_keys([langs[i] for i in whole], [texts[i] for i in whole])
-        columns = [pa.array([t[i] if i < len(t) else None for t in split_texts], pa.binary()) for i in range(longest)]
-        return [pa.array(prefix.view(np.int64)), pa.array(split), pa.array(langs, pa.binary()), *columns,
-                pa.array(counts, pa.int64())]
-
-    fields = ", ".join(f"w{i} binary" for i in range(1, longest + 1))
-    return over_texts(docs, add, out, f"prefix bigint, split boolean, lang binary, {fields}, n bigint")
-
-
-def read_subtrees(longest: int, least: int):
-    """Over sorted suffixes: nodes of two words or more, each once its last leaf is read. Whole counts below `least` stay
-    behind; parts of counts all go on."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path: list = []  # split, lang and the words of the open path
-        totals: list[int] = []  # of the nodes of the path
-        nodes: list[tuple] = []
-
-        def close(depth: int) -> None:
-            while len(path) > depth:
-                total = totals.pop()
-                if len(path) > 3 and (path[0] or total >= least):
-                    nodes.append((path[0], path[1], b" ".join(path[2:]), len(path) - 2, total))
-                path.pop()
-                if totals:
-                    totals[-1] += total
-
-        def ready() -> pa.RecordBatch:
-            kinds = (pa.bool_(), pa.binary(), pa.binary(), pa.int32(), pa.int64())
-            columns = zip(*nodes, strict=True) if nodes else ((),) * 5
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                              ["split", "lang", "phrase", "words", "f"])
-
-        for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(longest + 2)]
-            for *suffix, n in zip(*columns, batch.column(longest + 2).to_pylist(), strict=True):
-                while suffix[-1] is None:
-                    suffix.pop()
-                same = 0
-                for x, y in zip(path, suffix, strict=False):
-                    if x != y:
-                        break
-                    same += 1
-                close(same)
-                totals.extend([0] * (len(suffix) - same))
-                path.extend(suffix[same:])
-                totals[-1] += n
-            if len(nodes) > 1 << 14:
-                yield ready()
-                nodes.clear()
-        close(0)
-        yield ready()
-
-    return run
+        group = (mix(prefix) % U(groups)).astype(np.int64)
+        by = np.argsort(group, kind="stable")
+        names, at = np.unique(group[by], return_index=True)
+        number, which = np.array(counts, np.int64), by.tolist()
+        blocks = []
+        for x, y in zip(at.tolist(), [*at[1:].tolist(), len(by)], strict=True):
+            some = which[x:y]
+            known, lang = np.unique(np.array([langs[i] for i in some], object), return_inverse=True)
+            blocks.append(pack(number[by[x:y]], split[by[x:y]], lang, *lines(known.tolist()), *lines([texts[i] for i in some])))
+        return [pa.array(names.astype(np.int32)), pa.array(blocks, pa.binary())]
+
+    return over_texts(docs, add, out, "group int, block binary")
+
+
+def lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array(list(map(len, texts)), np.int32), np.frombuffer(b"".join(texts), np.uint8)
+
+
+def texts_of(sizes: np.ndarray, data: np.ndarray) -> list[bytes]:
+    raw, ends = data.tobytes(), np.cumsum(sizes, dtype=np.int64)
+    return [raw[x:y] for x, y in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
+
+
+def suffixes_of(blocks: list[bytes]) -> list[tuple[bool, bytes, list[bytes], int]]:
+    """(split, lang, words, count) of all blocks of a group, sorted; equal suffixes put together."""
+    total: Counter = Counter()
+    for block in blocks:
+        counts, split, lang, *data = unpack(block)
+        langs = texts_of(*data[:2])
+        for s, l_, text, n in zip(split.tolist(), lang.tolist(), texts_of(*data[2:]), counts.tolist(), strict=True):
+            total[s, langs[l_], text] += n
+    return sorted((s, lang, text.split(b" "), n) for (s, lang, text), n in total.items())
+
+
+def read_subtrees(suffixes: list[tuple[bool, bytes, list[bytes], int]], least: int) -> list[tuple]:
+    """Nodes of two words or more, each once its last leaf is read: (split, lang, phrase, words, count). Whole counts below
+    `least` stay behind; parts of counts all go on."""
+    path: list = []  # split, lang and the words of the open path
+    totals: list[int] = []  # of the nodes of the path
+    nodes: list[tuple] = []
+
+    def close(depth: int) -> None:
+        while len(path) > depth:
+            total = totals.pop()
+            if len(path) > 3 and (path[0] or total >= least):
+                nodes.append((path[0], path[1], b" ".join(path[2:]), len(path) - 2, total))
+            path.pop()
+            if totals:
+                totals[-1] += total
+
+    for split, lang, words_, n in suffixes:
+        own, same = [split, lang, *words_], 0
+        for x, y in zip(path, own, strict=False):
+            if x != y:
+                break
+            same += 1
+        close(same)
+        totals.extend([0] * (len(own) - same))
+        path.extend(own[same:])
+        totals[-1] += n
+    close(0)
+    return nodes
+
+
+def subtrees(dealt: DataFrame, least: int) -> DataFrame:
+    kinds = {"split": pa.bool_(), "lang": pa.binary(), "phrase": pa.binary(), "words": pa.int32(), "f": pa.int64()}
+
+    def run(table: pa.Table) -> pa.Table:
+        nodes = read_subtrees(suffixes_of(table["block"].to_pylist()), least)
+        columns = zip(*nodes, strict=True) if nodes else ((),) * len(kinds)
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+    return dealt.groupBy("group").applyInArrow(run, "split boolean, lang binary, phrase binary, words int, f bigint")
 
 
 def phrase_counts(docs: DataFrame, least: int = 30, longest: int = 4, budget: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
@@ -272,10 +293,7 @@ def phrase_counts(docs: DataFrame, least: int = 30, longest: int = 4, budget: in
         np.array([r["key"] for r in over.where(F.col("n") > budget).select("key").collect()], np.int64).view(U)
         for over in (levels * 2)[:2]))
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * kept / budget))
-    path = ["split", "lang", *[f"w{i}" for i in range(1, longest + 1)]]
-    nodes = suffixes(docs, longest, frequent, heavy).repartition(groups, "prefix").select(
-        *path, "n").sortWithinPartitions(*path).mapInArrow(
-        read_subtrees(longest, least), "split boolean, lang binary, phrase binary, words int, f bigint")
+    nodes = subtrees(suffixes(docs, frequent, heavy, groups).repartition(groups, "group"), least)
     nodes = saved(nodes.select("split", F.col("lang").cast("string").alias("lang"),
                                F.col("phrase").cast("string").alias("phrase"), "words", "f"))
     whole = nodes.where("NOT split").drop("split")
