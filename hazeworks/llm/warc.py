@@ -5,21 +5,28 @@ with the smallest page_id is a response, the others are revisits that refer to i
 responses. Records are text up to their last byte (the payload is), and two line ends close each record; so Spark's text
 writer writes them, to whatever store the folder is in, one compressed archive per task.
 
-Reading: every archive is parsed on its own, payload digests are verified, and its captures are sorted by URL key and
-timestamp: a run. Captures are dealt into ranges of (URL key, timestamp, page); each range merges the parts of all runs
-that fall into it with a loser tree, so that ranges in order are the capture histories of all URLs in order. A URL with
-very many captures is spread over ranges by time. An archive is read whole, by one task: `records` bounds its records.
+Reading: Spark's text source cuts archives at record starts, and a task takes records one after another, so that an
+archive may have any size; memory is bounded by the largest record. A payload that holds a record start is put together
+again by its length. Payload digests are verified. Captures are sorted by URL key and timestamp in runs of bounded rows
+and bytes, and the runs are stored as a Parquet table. Archives are parsed once; all that follows reads the runs.
+
+Merging: every so many rows of each run are samples of its order, and bounds taken from them deal the runs into ranges of
+(URL key, timestamp, page); a URL with very many captures is spread over ranges by time. What a run has in a range is
+cut into blocks. Spark sorts blocks (not captures) by the capture that the block before ended with: just the order in
+which a merge uses blocks up. A loser tree therefore takes its next block from the front of the stream, and a task
+holds one block per run, whatever the range's size. Ranges in order are the capture histories of all URLs in order.
 
 Cases: null html counts as empty, null url as an empty URL; control characters in a URL are percent-encoded in the
 archive and restored; a null page_id is never smaller than another, and its record is a response; repeated rows are
-records of their own, and none is a revisit of itself; an empty table gives an empty result.
+records of their own, and none is a revisit of itself; an empty table gives an empty result. `offset` is a record's place
+in its decompressed archive.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -28,9 +35,20 @@ from pyspark.sql import functions as F
 
 CAPTURES = ("page_id bigint, url string, url_key string, captured string, payload_bytes bigint, payload_digest string, "
             "record_type string, refers_to bigint, archive string, offset bigint")
-_NAMES = [c.split()[0] for c in CAPTURES.split(", ")]
-_KINDS = [pa.string() if c.split()[1] == "string" else pa.int64() for c in CAPTURES.split(", ")]
+RUNS = CAPTURES + ", run bigint, place bigint"
+BLOCKS = ("range int, run string, last boolean, after_key string, after_captured string, after_none boolean, "
+          "after_page bigint, archive string, after_offset bigint, rows binary")
 _END = "\r\n"
+_START = b"WARC/1.1\r\n"
+_NEXT = b"\r\n\r\n" + _START
+_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
+
+
+def _schema(columns: str) -> pa.Schema:
+    return pa.schema([(name, _TYPES[kind]) for name, kind in (c.split() for c in columns.split(", "))])
+
+
+_CAPTURES, _RUNS, _BLOCKS = _schema(CAPTURES), _schema(RUNS), _schema(BLOCKS)
 
 
 def url_key(url: str) -> str:
@@ -81,18 +99,45 @@ def write(pages: DataFrame, folder: str, least: int = 100, records_per_archive:
         "maxRecordsPerFile", records_per_archive).text(folder)
 
 
-def parse(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """Offset, header and block of every record of an archive."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        version, *lines = data[at:end].decode("utf-8").split(_END)
-        if not version.startswith("WARC/"):
-            raise ValueError(f"no record at {at}")
-        header = dict(line.split(": ", 1) for line in lines)
-        size = int(header["Content-Length"])
-        yield at, header, data[end + 4:end + 4 + size]
-        at = end + 4 + size + 4
+def parse(pieces: Iterable[tuple[str, bytes]]) -> Iterator[tuple[str, int, dict[str, str], bytes]]:
+    """Archive, offset, header and block of every record, from archives that were cut at record starts.
+
+    A payload may hold a record start too, even one that overlaps the next record's: a record takes further pieces until
+    its block has the length that its header tells, and what is left begins the next record.
+    """
+    archive, at, held, size, need = "", 0, [], 0, 0
+    for name, piece in pieces:
+        if name != archive:
+            if held:
+                raise ValueError(f"{archive}: the record at {at} is cut off")
+            if not piece.startswith(_START):
+                raise ValueError(f"{name}: no record at 0")
+            archive, at, piece = name, 0, piece[len(_START):]
+        elif held:
+            piece = _NEXT + piece
+        held.append(piece)
+        size += len(piece)
+        while held:
+            if not need:
+                body = b"".join(held)
+                held, end = [body], body.index(b"\r\n\r\n")
+                header = dict(line.split(": ", 1) for line in body[:end].decode("utf-8").split(_END))
+                need = end + 4 + int(header["Content-Length"])
+            if size < need:
+                break
+            body = b"".join(held)
+            yield archive, at, header, body[body.index(b"\r\n\r\n") + 4:need]
+            left = body[need:]
+            at += len(_START) + need + 4
+            if left in (b"", b"\r\n\r\n"):
+                held, size = [], 0
+            elif left.startswith(_NEXT):
+                held, size = [left[len(_NEXT):]], len(left) - len(_NEXT)
+            else:
+                raise ValueError(f"{archive}: no record at {at}")
+            need = 0
+    if held:
+        raise ValueError(f"{archive}: the record at {at} is cut off")
 
 
 def _number(name: str | None) -> int | None:
@@ -115,10 +160,13 @@ def order(row: tuple) -> tuple:
 
 
 class LoserTree:
-    """Merges sorted runs: inner nodes keep the loser of each match, so that the next winner is found by one path."""
+    """Merges sorted runs: inner nodes keep the loser of each match, so that the next winner is found by one path.
+
+    `runs` has the first block of every run; `more(run)` gives its next one, or an empty list after the last.
+    """
 
-    def __init__(self, runs: list[list[tuple]]):
-        self.runs, self.at = runs, [0] * len(runs)
+    def __init__(self, runs: list[list[tuple]], more: Callable[[int], list[tuple]] = lambda run: []):
+        self.runs, self.at, self.more = runs, [0] * len(runs), more
         self.size = 1 << max(0, (len(runs) - 1).bit_length())
         self.heads = [self._head(i) for i in range(self.size)]
         self.losers = [0] * self.size
@@ -130,8 +178,11 @@ class LoserTree:
 
     def _head(self, run: int) -> tuple:
         """The key of a run's next row; a run that is used up comes after all others."""
-        if run < len(self.runs) and self.at[run] < len(self.runs[run]):
-            return (0, order(self.runs[run][self.at[run]]))
+        if run < len(self.runs):
+            if self.at[run] == len(self.runs[run]) > 0:
+                self.runs[run], self.at[run] = self.more(run), 0
+            if self.runs[run]:
+                return (0, order(self.runs[run][self.at[run]]))
         return (1,)
 
     def __iter__(self) -> Iterator[tuple]:
@@ -148,45 +199,140 @@ class LoserTree:
             self.winner = run
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [()] * len(_NAMES)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], _NAMES)
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def read_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """The captures of all archives of a folder, those of each archive in order."""
+def _rows(batch: pa.RecordBatch) -> list[tuple]:
+    return list(zip(*(column.to_pylist() for column in batch.columns), strict=True))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                data = zlib.decompress(content.as_py(), 31) if path.as_py().endswith(".gz") else content.as_py()
-                name = path.as_py().rpartition("/")[2]
-                yield _batch(sorted((capture(name, *r) for r in parse(data)), key=order))
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content")
-    return files.mapInArrow(run, CAPTURES)
 
+def read_runs(spark: SparkSession, folder: str, most: int = 20_000, most_bytes: int = 16 << 20) -> DataFrame:
+    """The captures of all archives of a folder in sorted runs. A run has captures of one archive, at most `most`, and
+    is closed when its URLs have `most_bytes`; `run` is its number in the archive and `place` a row's in the run."""
 
-def merged(runs: DataFrame) -> DataFrame:
-    """All captures, ordered by URL key and timestamp, over ranges."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, archive, number, size = [], "", 0, 0
+
+        def closed() -> pa.RecordBatch:
+            return _batch([(*row, number, i) for i, row in enumerate(sorted(held, key=order))], _RUNS)
+
+        pieces = ((name.as_py(), piece.as_py()) for batch in batches
+                  for name, piece in zip(batch.column("name"), batch.column("piece"), strict=True))
+        for name, *record in parse(pieces):
+            if held and (name != archive or len(held) == most or size >= most_bytes):
+                yield closed()
+                held, number, size = [], number + 1 if name == archive else 0, 0
+            archive = name
+            held.append(capture(name, *record))
+            size += len(held[-1][1])
+        if held:
+            yield closed()
+
+    # Compressed files are not split, so one task reads an archive's pieces, in order.
+    pieces = spark.read.option("lineSep", _NEXT.decode()).option("pathGlobFilter", "part-*.gz").text(folder)
+    return pieces.select(F.col("_metadata.file_name").alias("name"), F.col("value").cast("binary").alias("piece")).mapInArrow(
+        run, RUNS)
+
+
+def _bounds(runs: DataFrame, ranges: int, each: int, letters: int = 256) -> list[tuple]:
+    """Up to ranges - 1 bounds in the order of captures, from about `each` samples a range. A long URL key is cut to a
+    number of letters: that moves a bound, and changes nothing else."""
+    step = max(1, runs.count() // (ranges * each))
+    start = F.pmod(F.crc32(F.concat_ws(":", "archive", "run").cast("binary")), F.lit(step))
+    sample = runs.where(F.col("place") % step == start)
+    keys = sorted((r["url_key"], r["captured"], r["page_id"] is None, r["page_id"] or 0, r["archive"], r["offset"]) for r in
+                  sample.select(F.substring("url_key", 1, letters).alias("url_key"), "captured", "page_id", "archive",
+                                "offset").collect())
+    return [keys[i * len(keys) // ranges] for i in range(1, ranges)] if keys else []
+
+
+def _blocks(runs: DataFrame, bounds: list[tuple], most: int, most_bytes: int = 64 << 10) -> DataFrame:
+    """Sorted runs, cut at the bounds of ranges and into blocks that know which capture the block before ended with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_archive: dict[str, list[tuple]] = {}
+        held, of, was, name = None, None, 0, ""
+
+        def closed(last: bool) -> tuple:
+            (name, number), after, rows, _ = held
+            key, captured, none, page, archive, offset = after or (None, None, None, None, rows[0][8], None)
+            packed = _batch([r[:len(_CAPTURES)] for r in rows], _CAPTURES).serialize().to_pybytes()
+            return number, name, last, key, captured, none, page, archive, offset, packed
+
         for batch in batches:
-            for row in zip(*(batch.column(n).to_pylist() for n in _NAMES), strict=True):
-                by_archive.setdefault(row[8], []).append(row)
-        rows = list(LoserTree([by_archive[k] for k in sorted(by_archive)])) if by_archive else []
-        for i in range(0, len(rows), 10_000):
-            yield _batch(rows[i:i + 10_000])
+            rows, labels, out = _rows(batch), [], []
+            for row in rows:
+                if row[8:9] + row[10:11] != of or row[11] <= was:
+                    of, name = row[8:9] + row[10:11], f"{row[8]}:{row[10]}:{row[11]}"
+                was = row[11]
+                labels.append((name, bisect_right(bounds, order(row))))
+            start = size = 0
+            for end in range(1, len(rows) + 1):
+                size += len(rows[end - 1][1])
+                if end < len(rows) and labels[end] == labels[start] and end - start < most and size < most_bytes:
+                    continue
+                goes_on = held is not None and held[0] == labels[start]
+                if held:
+                    out.append(closed(not goes_on))
+                held = labels[start], held[3] if goes_on else None, rows[start:end], order(rows[end - 1])
+                start, size = end, 0
+            yield _batch(out, _BLOCKS)
+        if held:
+            yield _batch([closed(True)], _BLOCKS)
+
+    return runs.mapInArrow(run, BLOCKS)
+
+
+def merged(runs: DataFrame, ranges: int | None = None, block: int = 64, each: int = 32) -> DataFrame:
+    """All captures of stored runs, ordered by URL key and timestamp, over ranges (by default one per shuffle partition)."""
 
-    number = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = ["url_key", "captured", "page_id"]
-    # The shuffle mixes the batches of runs; sorting by place puts each run's part back in its own order.
-    parts = runs.repartitionByRange(number, *key).sortWithinPartitions("archive", *key[:2], F.asc_nulls_last("page_id"), "offset")
-    return parts.mapInArrow(run, CAPTURES)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = ((name.as_py(), last.as_py(), key.is_valid, rows.as_py()) for batch in batches for name, last, key, rows in
+                  zip(*(batch.column(c) for c in ("run", "last", "after_key", "rows")), strict=True))
+
+        def unpacked(rows: bytes) -> list[tuple]:
+            return _rows(pa.ipc.read_record_batch(pa.py_buffer(rows), _CAPTURES))
+
+        names, ends, firsts, ahead = [], [], [], None
+        for name, last, follows, rows in blocks:
+            if follows:
+                ahead = name, last, rows
+                break
+            names.append(name)
+            ends.append(last)
+            firsts.append(unpacked(rows))
+
+        def more(i: int) -> list[tuple]:
+            nonlocal ahead
+            if ends[i]:
+                return []
+            (name, ends[i], rows), ahead = ahead or ("", True, b""), None
+            if name != names[i]:
+                raise ValueError(f"expected a block of {names[i]}, not of {name}")
+            for name, last, _, rows_after in blocks:
+                ahead = name, last, rows_after
+                break
+            return unpacked(rows)
+
+        out = []
+        for row in LoserTree(firsts, more):
+            out.append(row)
+            if len(out) == 10_000:
+                yield _batch(out, _CAPTURES)
+                out = []
+        yield _batch(out, _CAPTURES)
+
+    ranges = ranges or int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = _blocks(runs, _bounds(runs, ranges, each), block).repartitionById(ranges, "range")
+    # What comes first in a run follows no capture (null) and is sorted to the front.
+    after = [F.asc_nulls_first("after_key"), "after_captured", "after_none", "after_page", "archive", "after_offset"]
+    return blocks.sortWithinPartitions(*after).mapInArrow(run, CAPTURES)
 
 
 def archived(pages: DataFrame, folder: str, least: int = 100) -> DataFrame:
-    """Writes the pages' archives to a folder, reads them back, and returns the merged captures."""
-    write(pages, folder, least)
-    return merged(read_runs(pages.sparkSession, folder))
+    """Writes the pages' archives to a folder, reads them back into stored runs, and returns the merged captures."""
+    spark = pages.sparkSession
+    write(pages, f"{folder}/archives", least)
+    read_runs(spark, f"{folder}/archives").write.parquet(f"{folder}/runs")
+    return merged(spark.read.parquet(f"{folder}/runs"))

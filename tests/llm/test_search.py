@@ -134,7 +134,8 @@ def test_archive_of_odd_rows(spark):
     page = "<p>é\r\n\r\nWARC/1.1\r\n</p>" * 9
     rows = [(5, "http://b.org/x%0A?q=1", page), (3, "http://a.org/\r\nX: y", page), (9, None, page), (9, None, page),
             (1, "", None), (2, "not a url [", ""), (4, "http://a.org/", "short"), (6, "http://a.org/", "short"),
-            (None, "http://c.org", page), (7, "http://d.org", "漢" * 100_000)]
+            (None, "http://c.org", page), (7, "http://d.org", "漢" * 100_000), (8, "http://d.org", "a\r\n\r\nWARC/1.1"),
+            (10, "http://d.org", "\r\n\r\nWARC/1.1\r\n" * 3), (11, "http://d.org", "\r\n\r\n"), (12, "http://d.org", "\r\n")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("mine"))
     got = archive(pages)
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == (
@@ -143,6 +144,38 @@ def test_archive_of_odd_rows(spark):
     assert archive(pages.limit(0)) == []
 
 
+@pytest.mark.parametrize("runs_of, ranges, block, each", [(7, 5, 3, 4), (1, 3, 1, 32), (50, 1, 2, 1), (1000, 40, 64, 2)])
+def test_merge_of_many_small_runs(spark, runs_of, ranges, block, each):
+    rows = [(i if i % 9 else None, f"http://h{i % 3}.org/{'x' * (i % 4) * 200}" if i % 5 else "http://hot.org/", f"page {i % 40}" * 20)
+            for i in range(600)]
+    folder = shared_folder(spark, "warc")
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), folder + "/a", records_per_archive=90)
+    warc.read_runs(spark, folder + "/a", most=runs_of).write.parquet(folder + "/r")
+    runs = spark.read.parquet(folder + "/r")
+    assert runs.groupBy("archive", "run").count().agg(F.max("count")).first()[0] <= runs_of
+    got = [tuple(r) for r in warc.merged(runs, ranges, block, each).collect()]
+    assert got == sorted((tuple(r)[:10] for r in runs.collect()), key=warc.order)
+    assert len(got) == 600
+
+
+def test_blocks_arrive_as_the_merge_needs_them(spark):
+    # One run has keys far apart, the other all of its keys between two of them: blocks are used up at different speeds.
+    rows = [(i, "u", f"k{i:05d}", "t", i, "d", "response", None, "a", i, 0, n) for n, i in enumerate(range(0, 4000, 400))]
+    rows += [(i, "u", f"k{i:05d}", "t", i, "d", "response", None, "b", i, 0, n) for n, i in enumerate(range(401, 799))]
+    runs = spark.createDataFrame(rows, warc.RUNS).coalesce(1)
+    got = [r.page_id for r in warc.merged(runs, 1, 2).collect()]
+    assert got == sorted(r[0] for r in rows)
+
+
+def test_archive_that_is_cut_off(spark):
+    whole = (b"WARC/1.1\r\nContent-Length: 5\r\n\r\nhello", b"Content-Length: 3\r\n\r\nyou\r\n\r\n")
+    got = list(warc.parse([("a", whole[0]), ("a", whole[1])]))
+    assert [(r[0], r[1], r[3]) for r in got] == [("a", 0, b"hello"), ("a", 40, b"you")]
+    for pieces in ([("a", whole[0][:-1])], [("a", whole[0][:-1]), ("b", whole[0])], [("a", whole[0] + b"x")], [("a", b"x")]):
+        with pytest.raises(ValueError):
+            list(warc.parse(pieces))
+
+
 @pytest.mark.parametrize("count", [0, 1, 2, 3, 7, 8])
 def test_loser_tree(count):
     rng = np.random.default_rng(count)
