@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_module
 from hazeworks.operators import rollup as rl
 from hazeworks.operators.hourly import alert_flags, hourly_avg, rolling_avg
 from hazeworks.operators.selection import LONG_LIST, filter_selection, filter_stored
@@ -122,6 +123,30 @@ def test_stream_closes_the_hours_of_the_batch_and_notes_late_readings(spark, tmp
     assert stream.late().count() == 2 and stream.hours().count() == 6
 
 
+@pytest.mark.parametrize("hours", [list(range(60)), [0] * 50 + [9] * 10])  # with the latter, parts are empty
+def test_hours_of_a_stream_are_landed_by_every_task(spark, tmp_path, monkeypatch, hours):
+    rng, counts = random.Random(7), {}
+    for file in range(4):
+        rows = [(file * 1000 + i, rng.choice([START + timedelta(hours=h, minutes=i % 60), None] if i % 9 == 0 else
+                                             [START + timedelta(hours=h, minutes=i % 60)]),
+                 rng.choice([1, 2, 39, None]), "view", float(rng.randrange(1, 200))) for i, h in enumerate(hours * 3)]
+        for number, time, user, _, value in rows:
+            if time is not None and number % 17:
+                city = "Unknown" if user in (39, None) else f"View (Zone {user})"
+                counts.setdefault((city, time.replace(minute=0)), []).append(int(value))
+        spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").coalesce(
+            1).write.mode("append").parquet(str(tmp_path / "tables" / "events.parquet"))
+    monkeypatch.setattr(entry_module, "scratch_dir", lambda _: str(tmp_path / "scratch"))
+    got = {(r["city"], r["hour"]): (r["readings"], r["avg_aqi"])
+           for r in entry_module.stream_hourly(spark, str(tmp_path / "tables")).collect()}
+    newest = max(hour for _, hour in counts)
+    assert got == {(city, hour): (len(v), sum(v) / len(v)) for (city, hour), v in counts.items()
+                   if hour + timedelta(hours=3) <= newest}
+    landed = [f for f in (tmp_path / "scratch" / "landing").glob("*.json") if f.stat().st_size]
+    parts = 3 if len(set(hours)) > 2 else 1
+    assert len(landed) >= 4 * parts  # one of each file of the table, not one a part
+
+
 # ------------------------------------------------------------------------------------------------ upkeep by a stream
 
 def landed_rows(seed, count=60):
